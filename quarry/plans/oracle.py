@@ -110,3 +110,243 @@ ORDER BY g.grp, g.day, g.hour""")
 ORACLE["heat_peak"] = _with(LOG_CTE, "SELECT grp, MAX(requests) AS peak_requests FROM heat GROUP BY grp")
 ORACLE["log_time_span"] = _with(LOG_CTE, """
 SELECT grp, MIN(t) AS first_request, MAX(t) AS last_request FROM lead_times GROUP BY grp""")
+
+
+# ------------------------------------------------------------ splits -------
+
+KEY = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+def _uniform(key_sql: str, seed: int) -> str:
+    return (f"(CAST(CAST(('0x' || substr(md5('{seed}|' || {key_sql}), 1, 8)) AS BIGINT) AS DOUBLE)"
+            f" / CAST(4294967296 AS DOUBLE))")
+
+
+PARTICLE_CTE = f"""
+particle AS (
+  SELECT {KEY} AS row_key,
+         CAST(CASE WHEN l_quantity * (1 - l_discount) > 24 THEN 1 ELSE 0 END AS DOUBLE) AS label,
+         TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS l_quantity,
+         TRY_CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS l_extendedprice,
+         TRY_CAST(CAST(l_discount AS VARCHAR) AS DOUBLE) AS l_discount,
+         TRY_CAST(CAST(l_tax AS VARCHAR) AS DOUBLE) AS l_tax
+  FROM lineitem
+)"""
+
+RATINGS_CTE = """
+ratings AS (
+  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+         CAST(ceil(l_quantity / 10) AS DOUBLE) AS rating,
+         date_diff('second', TIMESTAMP '1970-01-01 00:00:00', o_orderdate) AS timestamp
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+pr AS (SELECT *, percent_rank() OVER (ORDER BY timestamp) AS percent_rank FROM ratings),
+fr AS (SELECT CAST(f AS DOUBLE) AS fraction FROM (VALUES (0.5), (0.65), (0.8)) v(f)),
+tagged AS (
+  SELECT fr.fraction, CASE WHEN percent_rank < fr.fraction THEN 'train' ELSE 'test' END AS side,
+         userId, movieId, rating, timestamp
+  FROM pr, fr
+)"""
+
+CLAIMS_CTE = f"""
+claims AS (
+  SELECT {KEY} AS row_key,
+         l_orderkey AS Row_ID, l_suppkey AS Household_ID, p_brand AS Blind_Make,
+         CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS Cat1,
+         l_linestatus AS Cat2,
+         CASE WHEN l_returnflag = 'R' THEN l_returnflag ELSE NULL END AS Cat7,
+         CAST(p_size % 5 + 1 AS VARCHAR) AS OrdCat,
+         CAST(year(l_shipdate) AS INTEGER) AS Calendar_Year,
+         l_quantity AS Var1, l_tax AS Var2, p_retailprice AS Var3, l_discount AS Var4,
+         CASE WHEN l_discount >= 0.09 THEN l_extendedprice * l_discount ELSE CAST(0 AS DOUBLE) END
+           AS Claim_Amount
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+claims_train AS (
+  SELECT * FROM claims WHERE {_uniform('row_key', 21)} < CAST(0.7 AS DOUBLE)
+)"""
+
+ORACLE["bulk_cast"] = _with(PARTICLE_CTE, "SELECT * FROM particle")
+ORACLE["percent_rank"] = _with(RATINGS_CTE, "SELECT * FROM pr")
+ORACLE["chrono_split"] = _with(RATINGS_CTE, """
+SELECT fraction, side, COUNT(*) AS n_rows, MIN(timestamp) AS min_ts, MAX(timestamp) AS max_ts
+FROM tagged GROUP BY fraction, side""")
+ORACLE["hash_split"] = _with(PARTICLE_CTE, f"""
+SELECT row_key, CASE WHEN {_uniform('row_key', 21)} < CAST(0.7 AS DOUBLE) THEN 'train' ELSE 'test' END AS side
+FROM particle""")
+ORACLE["hash_sample"] = _with(PARTICLE_CTE, f"""
+SELECT * FROM particle WHERE {_uniform('row_key', 42)} < CAST(0.01 AS DOUBLE)""")
+ORACLE["zero_positive_counts"] = _with(CLAIMS_CTE, """
+SELECT COUNT(*) FILTER (WHERE Claim_Amount = 0) AS n_zero,
+       COUNT(*) FILTER (WHERE Claim_Amount > 0) AS n_positive,
+       COUNT(*) AS n_total,
+       CAST(COUNT(*) FILTER (WHERE Claim_Amount > 0) AS DOUBLE)
+         / CAST(COUNT(*) FILTER (WHERE Claim_Amount = 0) AS DOUBLE) AS fraction
+FROM claims_train""")
+ORACLE["downsample_union"] = _with(CLAIMS_CTE + """,
+frac AS (
+  SELECT LEAST(1.0, CAST(COUNT(*) FILTER (WHERE Claim_Amount > 0) AS DOUBLE)
+                    / CAST(COUNT(*) FILTER (WHERE Claim_Amount = 0) AS DOUBLE)) AS f
+  FROM claims_train
+)""", f"""
+SELECT row_key, Claim_Amount FROM claims_train, frac
+WHERE Claim_Amount = 0 AND {_uniform('row_key', 3)} < frac.f
+UNION ALL
+SELECT row_key, Claim_Amount FROM claims_train WHERE Claim_Amount > 0""")
+
+# ------------------------------------------------------------ tabular ------
+
+CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat",
+                 "Calendar_Year", "Var1", "Var2", "Var3", "Var4", "Claim_Amount"]
+CLAIM_CATEGORICAL = ["Blind_Make", "Cat1", "Cat2", "OrdCat"]
+
+_CELLS = "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM claims" for c in CLAIM_COLUMNS)
+MODES_CTE = CLAIMS_CTE + f""",
+cells AS (
+  {_CELLS}
+),
+modes AS (
+  SELECT column_name, value AS mode, mode_count FROM (
+    SELECT column_name, value, COUNT(*) AS mode_count,
+           row_number() OVER (PARTITION BY column_name
+                              ORDER BY COUNT(*) DESC, value ASC NULLS FIRST) AS rn
+    FROM cells GROUP BY column_name, value) WHERE rn = 1
+)"""
+
+_FILL = ",\n       ".join(
+    "row_key" if c == "row_key" else
+    f"COALESCE({c}, CAST((SELECT mode FROM modes WHERE column_name = '{c}') AS "
+    f"{ {'Row_ID': 'BIGINT', 'Household_ID': 'BIGINT', 'Calendar_Year': 'INTEGER'}.get(c, 'DOUBLE') if c not in ('Blind_Make', 'Cat1', 'Cat2', 'OrdCat') else 'VARCHAR'})) AS {c}"
+    for c in ["row_key"] + [c for c in CLAIM_COLUMNS if c != "Cat7"])
+FILLED_CTE = MODES_CTE + f""",
+filled AS (
+  SELECT {_FILL}
+  FROM claims
+)"""
+
+_INDEX = ",\n".join(
+    f"""idx_{c} AS (
+  SELECT {c} AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, {c} ASC) - 1 AS DOUBLE) AS i,
+         COUNT(*) OVER () AS n_labels
+  FROM filled GROUP BY {c}
+)""" for c in CLAIM_CATEGORICAL)
+INDEXED_CTE = FILLED_CTE + ",\n" + _INDEX + """,
+indexed AS (
+  SELECT f.row_key, """ + ", ".join(
+    f"idx_{c}.i AS {c}_index, idx_{c}.n_labels AS {c}_n" for c in CLAIM_CATEGORICAL) + """
+  FROM filled f """ + " ".join(
+    f"JOIN idx_{c} ON f.{c} = idx_{c}.v" for c in CLAIM_CATEGORICAL) + """
+)"""
+
+ORACLE["token_to_null"] = _with(CLAIMS_CTE, "SELECT * FROM claims")
+ORACLE["null_profile"] = _with(CLAIMS_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM claims"
+    for c in CLAIM_COLUMNS))
+ORACLE["mode_nullaware"] = _with(MODES_CTE, "SELECT * FROM modes")
+ORACLE["mode_fill"] = _with(FILLED_CTE, "SELECT * FROM filled")
+ORACLE["string_index"] = _with(INDEXED_CTE, "SELECT row_key, " + ", ".join(
+    f"{c}_index" for c in CLAIM_CATEGORICAL) + " FROM indexed")
+ORACLE["one_hot"] = _with(INDEXED_CTE, "SELECT row_key, " + ", ".join(
+    f"CAST({c}_n - 1 AS INTEGER) AS {c}_size, "
+    f"CASE WHEN {c}_index < {c}_n - 1 THEN CAST({c}_index AS INTEGER) END AS {c}_hot"
+    for c in CLAIM_CATEGORICAL) + " FROM indexed")
+ORACLE["claim_flag"] = _with(CLAIMS_CTE, """
+SELECT row_key, Claim_Amount, CASE WHEN Claim_Amount > 0 THEN 1 ELSE 0 END AS binary FROM claims""")
+
+# ------------------------------------------------------------ recsys -------
+
+MOVIES_CTE = """
+movies AS (
+  SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title,
+         replace(p_name, ' ', '|') AS genres
+  FROM part
+)"""
+
+PROFILE_CTE = RATINGS_CTE + "," + MOVIES_CTE + """,
+top_seg AS (
+  SELECT c_mktsegment AS cluster FROM customer GROUP BY c_mktsegment
+  ORDER BY COUNT(*) DESC, c_mktsegment ASC LIMIT 1
+),
+members AS (
+  SELECT CAST(c_custkey AS INTEGER) AS userId FROM customer
+  WHERE c_mktsegment IN (SELECT cluster FROM top_seg)
+),
+liked AS (
+  SELECT DISTINCT fraction, side, movieId FROM tagged
+  WHERE rating >= 4 AND userId IN (SELECT userId FROM members)
+),
+sides AS (SELECT DISTINCT fraction, side FROM tagged)"""
+
+
+def _profile(selection: str) -> str:
+    return _with(PROFILE_CTE + f""",
+chosen AS ({selection}),
+g AS (SELECT fraction, side, unnest(string_split(genres, '|')) AS genre FROM chosen),
+counts AS (SELECT fraction, side, genre, COUNT(*) AS movies FROM g GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY fraction, side ORDER BY movies DESC, genre ASC) AS rank
+  FROM counts
+)""", "SELECT fraction, side, CAST(rank AS INTEGER) AS rank, genre, movies FROM ranked WHERE rank <= 5")
+
+
+ORACLE["genre_explode"] = _with(MOVIES_CTE, """
+SELECT movieId, title, unnest(string_split(genres, '|')) AS genre FROM movies""")
+ORACLE["genre_profile_anti"] = _profile("""
+  SELECT s.fraction, s.side, m.movieId, m.genres FROM sides s, movies m
+  WHERE NOT EXISTS (SELECT 1 FROM liked l
+                    WHERE l.fraction = s.fraction AND l.side = s.side AND l.movieId = m.movieId)""")
+ORACLE["genre_profile_semi"] = _profile("""
+  SELECT l.fraction, l.side, m.movieId, m.genres FROM liked l JOIN movies m USING (movieId)""")
+ORACLE["cluster_outer_join"] = _with(RATINGS_CTE, """
+SELECT u.userId, s.cluster
+FROM (SELECT DISTINCT userId FROM ratings) u
+LEFT JOIN (SELECT CAST(c_custkey AS INTEGER) AS userId, c_mktsegment AS cluster FROM customer) s
+USING (userId)""")
+
+# ------------------------------------------------------------ metrics ------
+
+ORACLE["reg_metrics"] = """
+WITH e AS (
+  SELECT floor(l_extendedprice / 1500) - l_quantity AS err FROM lineitem
+)
+SELECT COUNT(*) AS n, sqrt(SUM(err * err) / COUNT(*)) AS rmse, SUM(err * err) / COUNT(*) AS mse,
+       SUM(abs(err)) / COUNT(*) AS mae
+FROM e"""
+
+CLS_CTE = """
+cls AS (
+  SELECT CASE WHEN l_extendedprice > 40000 THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+         CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+  FROM lineitem
+)"""
+ORACLE["cls_accuracy"] = _with(CLS_CTE, """
+SELECT COUNT(*) AS n, CAST(COUNT(*) FILTER (WHERE label = prediction) AS DOUBLE) / COUNT(*) AS accuracy
+FROM cls""")
+ORACLE["cls_f1"] = _with(CLS_CTE + """,
+per AS (
+  SELECT c.label, c.n_label, c.tp, COALESCE(p.n_pred, 0) AS n_pred FROM
+    (SELECT label, COUNT(*) AS n_label, COUNT(*) FILTER (WHERE label = prediction) AS tp
+     FROM cls GROUP BY label) c
+  LEFT JOIN (SELECT prediction AS label, COUNT(*) AS n_pred FROM cls GROUP BY prediction) p
+  USING (label)
+),
+pr AS (
+  SELECT n_label,
+         CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS prec,
+         CASE WHEN n_label > 0 THEN tp / n_label ELSE 0.0 END AS rec
+  FROM per
+)""", """
+SELECT CAST(SUM(n_label) AS BIGINT) AS n,
+       SUM(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END * n_label)
+         / SUM(n_label) AS f1
+FROM pr""")
+ORACLE["auc_hard"] = _with(CLS_CTE + """,
+c AS (
+  SELECT COUNT(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+         COUNT(*) FILTER (WHERE label = 1 AND prediction <> 1) AS fn,
+         COUNT(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp,
+         COUNT(*) FILTER (WHERE label <> 1 AND prediction <> 1) AS tn
+  FROM cls
+)""", """
+SELECT tp + fn + fp + tn AS n, (1.0 + tp / (tp + fn) - fp / (fp + tn)) / 2 AS auc_hard FROM c""")

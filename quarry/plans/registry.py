@@ -84,3 +84,173 @@ def q_heat_peak(spark, sf_dir):
 @query("log_time_span")
 def q_log_time_span(spark, sf_dir):
     return wl.time_span(wl.leader_rows(_parsed(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ splits -------
+
+from quarry.operators import evaluation as ev  # noqa: E402
+from quarry.operators import recsys as rs  # noqa: E402
+from quarry.operators import splits as sp  # noqa: E402
+from quarry.operators import tabular as tb  # noqa: E402
+from quarry.sources.files import cast_all  # noqa: E402
+from quarry.sources.tables import load_table  # noqa: E402
+
+
+def _particle(spark, sf_dir):
+    return cast_all(si.load_particle_text(spark, sf_dir), "double", exclude=("row_key",))
+
+
+@query("bulk_cast")
+def q_bulk_cast(spark, sf_dir):
+    return _particle(spark, sf_dir)
+
+
+@query("percent_rank")
+def q_percent_rank(spark, sf_dir):
+    return sp.percent_rank(si.load_ratings(spark, sf_dir))
+
+
+@query("chrono_split")
+def q_chrono_split(spark, sf_dir):
+    return sp.chrono_split_summary(si.load_ratings(spark, sf_dir))
+
+
+@query("hash_split")
+def q_hash_split(spark, sf_dir):
+    return sp.hash_split(_particle(spark, sf_dir), "row_key", (0.7, 0.3), seed=21).select("row_key", "side")
+
+
+@query("hash_sample")
+def q_hash_sample(spark, sf_dir):
+    return sp.hash_sample(_particle(spark, sf_dir), "row_key", 0.01, seed=42)
+
+
+def _claims(spark, sf_dir):
+    return tb.token_to_null(si.load_claims_raw(spark, sf_dir))
+
+
+def _claims_train(spark, sf_dir):
+    return (sp.hash_split(_claims(spark, sf_dir), "row_key", (0.7, 0.3), seed=21)
+            .filter("side = 'train'").drop("side"))
+
+
+@query("zero_positive_counts")
+def q_zero_positive_counts(spark, sf_dir):
+    return sp.zero_positive_counts(_claims_train(spark, sf_dir))
+
+
+@query("downsample_union")
+def q_downsample_union(spark, sf_dir):
+    return sp.downsample(_claims_train(spark, sf_dir), "row_key", seed=3).select("row_key", "Claim_Amount")
+
+
+# ------------------------------------------------------------ tabular ------
+
+CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat",
+                 "Calendar_Year", "Var1", "Var2", "Var3", "Var4", "Claim_Amount"]
+
+
+@query("token_to_null")
+def q_token_to_null(spark, sf_dir):
+    return _claims(spark, sf_dir)
+
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    return tb.null_profile(_claims(spark, sf_dir), CLAIM_COLUMNS)
+
+
+@query("mode_nullaware")
+def q_mode_nullaware(spark, sf_dir):
+    return tb.mode_nullaware(_claims(spark, sf_dir), CLAIM_COLUMNS)
+
+
+def _filled(spark, sf_dir):
+    return tb.mode_fill(_claims(spark, sf_dir), CLAIM_COLUMNS, keep=["row_key"])[0]
+
+
+@query("mode_fill")
+def q_mode_fill(spark, sf_dir):
+    return _filled(spark, sf_dir)
+
+
+def _categorical(df):
+    return [c for c in si.CLAIMS_STANDIN_CATEGORICAL if c in df.columns]
+
+
+@query("string_index")
+def q_string_index(spark, sf_dir):
+    filled = _filled(spark, sf_dir)
+    cats = _categorical(filled)
+    _, out = tb.index_columns(filled, cats)
+    return out.select("row_key", *[c + "_index" for c in cats])
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    filled = _filled(spark, sf_dir)
+    cats = _categorical(filled)
+    _, idx = tb.index_columns(filled, cats)
+    _, enc = tb.one_hot(idx, [c + "_index" for c in cats], suffix="_ohe")
+    cols = ["row_key"]
+    for c in cats:
+        size, hot = tb.hot_position(c + "_index_ohe")
+        cols += [size.alias(c + "_size"), hot.alias(c + "_hot")]
+    return enc.select(*cols)
+
+
+@query("claim_flag")
+def q_claim_flag(spark, sf_dir):
+    return tb.claim_flag(_claims(spark, sf_dir)).select("row_key", "Claim_Amount", "binary")
+
+
+# ------------------------------------------------------------ recsys -------
+
+@query("genre_explode")
+def q_genre_explode(spark, sf_dir):
+    return rs.genre_explode(si.load_movies(spark, sf_dir))
+
+
+def _genre_profile(spark, sf_dir, mode):
+    ratings = si.load_ratings(spark, sf_dir)
+    members = rs.largest_group(si.user_segments(load_table(spark, sf_dir, "customer")))
+    return rs.genre_profiles(ratings, si.load_movies(spark, sf_dir), members,
+                             rs.chrono_cuts(ratings), mode=mode)
+
+
+@query("genre_profile_anti")
+def q_genre_profile_anti(spark, sf_dir):
+    return _genre_profile(spark, sf_dir, "anti")
+
+
+@query("genre_profile_semi")
+def q_genre_profile_semi(spark, sf_dir):
+    return _genre_profile(spark, sf_dir, "semi")
+
+
+@query("cluster_outer_join")
+def q_cluster_outer_join(spark, sf_dir):
+    return rs.user_clusters_outer(si.load_ratings(spark, sf_dir),
+                                  si.user_segments(load_table(spark, sf_dir, "customer")))
+
+
+# ------------------------------------------------------------ metrics ------
+
+@query("reg_metrics")
+def q_reg_metrics(spark, sf_dir):
+    return ev.regression_metrics(si.rule_regression(load_table(spark, sf_dir, "lineitem")), "label")
+
+
+@query("cls_accuracy")
+def q_cls_accuracy(spark, sf_dir):
+    return ev.accuracy(si.rule_classification(load_table(spark, sf_dir, "lineitem")), "label")
+
+
+@query("cls_f1")
+def q_cls_f1(spark, sf_dir):
+    return ev.weighted_f1(si.rule_classification(load_table(spark, sf_dir, "lineitem")), "label")
+
+
+@query("auc_hard")
+def q_auc_hard(spark, sf_dir):
+    return ev.auc_hard(si.rule_classification(load_table(spark, sf_dir, "lineitem")), "label")

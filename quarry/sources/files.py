@@ -86,11 +86,12 @@ def read_particle_csv(spark: SparkSession, path: str,
     return _spread(cast_all(raw, "double"), partitions)
 
 
-def cast_all(df: DataFrame, to: str, only_type: str = "string") -> DataFrame:
+def cast_all(df: DataFrame, to: str, only_type: str = "string",
+             exclude: tuple[str, ...] = ()) -> DataFrame:
     """P5: cast every column of type ``only_type`` in one projection."""
     cols = []
     for field in df.schema.fields:
-        if field.dataType.simpleString() == only_type:
+        if field.dataType.simpleString() == only_type and field.name not in exclude:
             cols.append(F.col(field.name).try_cast(to).alias(field.name))
         else:
             cols.append(F.col(field.name))

@@ -93,7 +93,8 @@ def particle_text(lineitem: DataFrame) -> DataFrame:
 
 def row_key() -> F.Column:
     """A text key of a lineitem row (order, line, part, supplier)."""
-    return F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in
+                              ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
 
 CLAIMS_STANDIN_CATEGORICAL = ["Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat"]
@@ -151,3 +152,19 @@ def load_particle_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims_raw(load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "part"))
+
+
+def rule_regression(lineitem: DataFrame) -> DataFrame:
+    """Label l_quantity, prediction floor(l_extendedprice / 1500).
+
+    Both are whole numbers, so every sum in the metrics is exact.
+    """
+    return lineitem.select(F.col("l_quantity").alias("label"),
+                           F.floor(F.col("l_extendedprice") / 1500).cast("double").alias("prediction"))
+
+
+def rule_classification(lineitem: DataFrame) -> DataFrame:
+    """Label l_extendedprice > 40000, prediction l_quantity > 25 (both 0/1)."""
+    return lineitem.select(
+        F.when(F.col("l_extendedprice") > 40000, 1.0).otherwise(0.0).alias("label"),
+        F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("prediction"))
