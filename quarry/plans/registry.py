@@ -254,3 +254,25 @@ def q_cls_f1(spark, sf_dir):
 @query("auc_hard")
 def q_auc_hard(spark, sf_dir):
     return ev.auc_hard(si.rule_classification(load_table(spark, sf_dir, "lineitem")), "label")
+
+
+# ------------------------------------------------- learned (rows-only) -----
+
+from quarry.plans import workflows as wf  # noqa: E402
+
+query("random_split")(wf.random_split_table)
+query("parquet_frozen_split")(wf.frozen_split_table)
+query("als_matrix")(wf.als_matrix)
+query("user_vectors")(wf.user_vectors_table)
+query("taste_clusters")(wf.taste_cluster_table)
+query("cluster_genre_profile")(wf.cluster_genre_table)
+query("rf_cv")(lambda spark, sf_dir: wf.cv_table(spark, sf_dir, "rf"))
+query("gbt_cv")(lambda spark, sf_dir: wf.cv_table(spark, sf_dir, "gbt"))
+query("mlp_cv")(lambda spark, sf_dir: wf.cv_table(spark, sf_dir, "mlp"))
+query("best_params")(wf.best_params_table)
+query("best_refit")(wf.refit_scores)
+query("feature_importance")(wf.importance_table)
+query("lasso")(wf.lasso_table)
+query("claim_tree")(wf.tree_table)
+query("gamma_glm")(wf.glm_table)
+query("two_part")(wf.two_part_table)
