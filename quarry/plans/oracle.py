@@ -201,7 +201,9 @@ CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7",
 CLAIM_CATEGORICAL = ["Blind_Make", "Cat1", "Cat2", "OrdCat"]
 
 _CELLS = "\n  UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM claims" for c in CLAIM_COLUMNS)
+    f"SELECT row_key, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM claims"
+    for c in CLAIM_COLUMNS)
+_CATS = ", ".join(f"'{c}'" for c in CLAIM_CATEGORICAL)
 MODES_CTE = CLAIMS_CTE + f""",
 cells AS (
   {_CELLS}
@@ -212,31 +214,20 @@ modes AS (
            row_number() OVER (PARTITION BY column_name
                               ORDER BY COUNT(*) DESC, value ASC NULLS FIRST) AS rn
     FROM cells GROUP BY column_name, value) WHERE rn = 1
-)"""
-
-_FILL = ",\n       ".join(
-    "row_key" if c == "row_key" else
-    f"COALESCE({c}, CAST((SELECT mode FROM modes WHERE column_name = '{c}') AS "
-    f"{ {'Row_ID': 'BIGINT', 'Household_ID': 'BIGINT', 'Calendar_Year': 'INTEGER'}.get(c, 'DOUBLE') if c not in ('Blind_Make', 'Cat1', 'Cat2', 'OrdCat') else 'VARCHAR'})) AS {c}"
-    for c in ["row_key"] + [c for c in CLAIM_COLUMNS if c != "Cat7"])
-FILLED_CTE = MODES_CTE + f""",
+),
 filled AS (
-  SELECT {_FILL}
-  FROM claims
-)"""
-
-_INDEX = ",\n".join(
-    f"""idx_{c} AS (
-  SELECT {c} AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, {c} ASC) - 1 AS DOUBLE) AS i,
-         COUNT(*) OVER () AS n_labels
-  FROM filled GROUP BY {c}
-)""" for c in CLAIM_CATEGORICAL)
-INDEXED_CTE = FILLED_CTE + ",\n" + _INDEX + """,
+  SELECT c.row_key, c.column_name, COALESCE(c.value, m.mode) AS value
+  FROM cells c JOIN modes m USING (column_name) WHERE m.mode IS NOT NULL
+),
+cat_cells AS (SELECT * FROM filled WHERE column_name IN ({_CATS})),
+labels AS (
+  SELECT column_name, value,
+         row_number() OVER (PARTITION BY column_name ORDER BY COUNT(*) DESC, value ASC) - 1 AS idx,
+         COUNT(*) OVER (PARTITION BY column_name) AS n_labels
+  FROM cat_cells GROUP BY column_name, value
+),
 indexed AS (
-  SELECT f.row_key, """ + ", ".join(
-    f"idx_{c}.i AS {c}_index, idx_{c}.n_labels AS {c}_n" for c in CLAIM_CATEGORICAL) + """
-  FROM filled f """ + " ".join(
-    f"JOIN idx_{c} ON f.{c} = idx_{c}.v" for c in CLAIM_CATEGORICAL) + """
+  SELECT row_key, column_name, idx, n_labels FROM cat_cells JOIN labels USING (column_name, value)
 )"""
 
 ORACLE["token_to_null"] = _with(CLAIMS_CTE, "SELECT * FROM claims")
@@ -244,13 +235,13 @@ ORACLE["null_profile"] = _with(CLAIMS_CTE, "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM claims"
     for c in CLAIM_COLUMNS))
 ORACLE["mode_nullaware"] = _with(MODES_CTE, "SELECT * FROM modes")
-ORACLE["mode_fill"] = _with(FILLED_CTE, "SELECT * FROM filled")
-ORACLE["string_index"] = _with(INDEXED_CTE, "SELECT row_key, " + ", ".join(
-    f"{c}_index" for c in CLAIM_CATEGORICAL) + " FROM indexed")
-ORACLE["one_hot"] = _with(INDEXED_CTE, "SELECT row_key, " + ", ".join(
-    f"CAST({c}_n - 1 AS INTEGER) AS {c}_size, "
-    f"CASE WHEN {c}_index < {c}_n - 1 THEN CAST({c}_index AS INTEGER) END AS {c}_hot"
-    for c in CLAIM_CATEGORICAL) + " FROM indexed")
+ORACLE["mode_fill"] = _with(MODES_CTE, "SELECT * FROM filled")
+ORACLE["string_index"] = _with(MODES_CTE, """
+SELECT row_key, column_name, CAST(idx AS DOUBLE) AS index FROM indexed""")
+ORACLE["one_hot"] = _with(MODES_CTE, """
+SELECT row_key, column_name, CAST(n_labels - 1 AS INTEGER) AS size,
+       CASE WHEN idx < n_labels - 1 THEN CAST(idx AS INTEGER) END AS hot
+FROM indexed""")
 ORACLE["claim_flag"] = _with(CLAIMS_CTE, """
 SELECT row_key, Claim_Amount, CASE WHEN Claim_Amount > 0 THEN 1 ELSE 0 END AS binary FROM claims""")
 

@@ -94,6 +94,7 @@ from quarry.operators import splits as sp  # noqa: E402
 from quarry.operators import tabular as tb  # noqa: E402
 from quarry.sources.files import cast_all  # noqa: E402
 from quarry.sources.tables import load_table  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 
 def _particle(spark, sf_dir):
@@ -169,9 +170,16 @@ def _filled(spark, sf_dir):
     return tb.mode_fill(_claims(spark, sf_dir), CLAIM_COLUMNS, keep=["row_key"])[0]
 
 
+def _long(df, cols, value_name, cast="string"):
+    """Unpivot ``cols`` to (row_key, column_name, value): dropped columns have no rows."""
+    return (df.select("row_key", *[F.col(c).cast(cast).alias(c) for c in cols])
+            .unpivot(["row_key"], cols, "column_name", value_name))
+
+
 @query("mode_fill")
 def q_mode_fill(spark, sf_dir):
-    return _filled(spark, sf_dir)
+    filled = _filled(spark, sf_dir)
+    return _long(filled, [c for c in CLAIM_COLUMNS if c in filled.columns], "value")
 
 
 def _categorical(df):
@@ -183,7 +191,9 @@ def q_string_index(spark, sf_dir):
     filled = _filled(spark, sf_dir)
     cats = _categorical(filled)
     _, out = tb.index_columns(filled, cats)
-    return out.select("row_key", *[c + "_index" for c in cats])
+    long = _long(out.select("row_key", *[F.col(c + "_index").alias(c) for c in cats]),
+                 cats, "index", cast="double")
+    return long
 
 
 @query("one_hot")
@@ -192,11 +202,11 @@ def q_one_hot(spark, sf_dir):
     cats = _categorical(filled)
     _, idx = tb.index_columns(filled, cats)
     _, enc = tb.one_hot(idx, [c + "_index" for c in cats], suffix="_ohe")
-    cols = ["row_key"]
+    cells = []
     for c in cats:
         size, hot = tb.hot_position(c + "_index_ohe")
-        cols += [size.alias(c + "_size"), hot.alias(c + "_hot")]
-    return enc.select(*cols)
+        cells.append(F.struct(F.lit(c).alias("column_name"), size.alias("size"), hot.alias("hot")))
+    return enc.select("row_key", F.inline(F.array(*cells)))
 
 
 @query("claim_flag")

@@ -1,0 +1,51 @@
+"""Tabular preparation: null-aware mode, fill/drop, encoders."""
+
+from quarry.operators import tabular as tb
+
+
+def test_token_to_null_string_only(spark):
+    df = spark.createDataFrame([("?", 1.0), ("a", 2.0)], "c string, x double")
+    assert [r.c for r in tb.token_to_null(df).collect()] == [None, "a"]
+
+
+def test_null_profile(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None), (None, None)], "c string, x int")
+    got = {r.column_name: r.null_count for r in tb.null_profile(df).collect()}
+    assert got == {"c": 2, "x": 2}
+
+
+def test_null_mode_drops_column(spark):
+    df = spark.createDataFrame([(None, "x"), (None, "y"), ("a", "y")], "c string, d string")
+    modes = {r.column_name: (r.mode, r.mode_count) for r in tb.mode_nullaware(df).collect()}
+    assert modes == {"c": (None, 2), "d": ("y", 2)}
+    filled, kept = tb.mode_fill(df)
+    assert filled.columns == ["d"] and kept == {"d": "y"}
+
+
+def test_mode_fill_numeric_and_tie_break(spark):
+    df = spark.createDataFrame([(1.0, "b"), (None, "a"), (2.0, None), (2.0, "b"), (1.0, "a")],
+                               "x double, c string")
+    filled, modes = tb.mode_fill(df)
+    assert modes == {"x": "1.0", "c": "a"}
+    assert [r.x for r in filled.collect()] == [1.0, 1.0, 2.0, 2.0, 1.0]
+    assert [r.c for r in filled.collect()] == ["b", "a", "a", "b", "a"]
+
+
+def test_string_index_frequency_then_alphabet(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "c", "b"]], "c string")
+    _, out = tb.index_columns(df, ["c"])
+    got = {r.c: r.c_index for r in out.collect()}
+    assert got == {"b": 0.0, "c": 1.0, "a": 2.0}
+
+
+def test_one_hot_drop_last(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,)], "c_index double")
+    _, enc = tb.one_hot(df, ["c_index"])
+    size, hot = tb.hot_position("c_index_ohe")
+    got = {(r[0], r[1]) for r in enc.select(size, hot).collect()}
+    assert got == {(2, 0), (2, 1), (2, None)}
+
+
+def test_claim_flag(spark):
+    df = spark.createDataFrame([(0.0,), (3.0,), (None,)], "Claim_Amount double")
+    assert [r.binary for r in tb.claim_flag(df).collect()] == [0, 1, 0]
