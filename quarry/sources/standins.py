@@ -134,8 +134,26 @@ def claims_raw(lineitem: DataFrame, part: DataFrame,
         claim.alias("Claim_Amount")))
 
 
+_WRITTEN: dict = {}
+
+
 def load_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return access_log(load_table(spark, sf_dir, "events"))
+    """The access-log stand-in as a text source, like the original input.
+
+    The lines are written once per session and data folder as a text table
+    in the shared checkpoint folder, then scanned with ``read.text`` (S1):
+    parsing then works on a plain column, as it would on a real log.
+    """
+    from quarry.session import checkpoint_dir, scratch_path
+    from quarry.sources.files import read_access_log
+
+    key = (id(spark), checkpoint_dir(spark), sf_dir)
+    if key not in _WRITTEN:
+        tag = sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_")
+        path = scratch_path(spark, f"access_log_{tag}")
+        access_log(load_table(spark, sf_dir, "events")).write.mode("overwrite").text(path)
+        _WRITTEN[key] = path
+    return read_access_log(spark, _WRITTEN[key])
 
 
 def load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
