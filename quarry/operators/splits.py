@@ -35,13 +35,40 @@ def percent_rank(df: DataFrame, ts: str = "timestamp", buckets: int = 64) -> Dat
     return df.join(rb, F.col(ts).eqNullSafe(F.col("_k"))).drop("_k")
 
 
+def chrono_cutoffs(df: DataFrame, fractions=CHRONO_FRACTIONS, ts: str = "timestamp",
+                   buckets: int = 64) -> dict:
+    """{p: last timestamp whose percent_rank is below p} for all fractions at once.
+
+    One pass over the per-timestamp counts, which are persisted only while
+    the cut-offs are computed (they are read twice: quantiles, prefix sum).
+    None means no timestamp ranks below p.
+    """
+    counts = prefix.key_counts(df, ts).persist()
+    try:
+        rb = prefix.rows_before(df, ts, buckets, counts=counts)
+        pr = prefix.percent_rank_expr()
+        aggs = [F.max(F.when(pr < F.lit(float(p)), F.col(ts))).alias(f"c{i}")
+                for i, p in enumerate(fractions)]
+        row = rb.agg(*aggs).first()
+    finally:
+        counts.unpersist()
+    return {p: row[f"c{i}"] for i, p in enumerate(fractions)}
+
+
 def chrono_cutoff(df: DataFrame, p: float, ts: str = "timestamp",
                   buckets: int = 64):
     """The last timestamp whose percent_rank is below ``p`` (None: no train rows)."""
-    rb = prefix.rows_before(df, ts, buckets)
-    row = (rb.filter(prefix.percent_rank_expr() < F.lit(float(p)))
-           .agg(F.max(ts).alias("cut")).first())
-    return row["cut"]
+    return chrono_cutoffs(df, (p,), ts, buckets)[p]
+
+
+def split_at(df: DataFrame, cut, p: float, ts: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    """(train, test) for a known cut-off: a range filter Parquet statistics can prune."""
+    k = F.col(ts)
+    if cut is None:
+        # Below the first rank: only null keys (rank 0) can train.
+        null_train = k.isNull() & F.lit(p > 0)
+        return df.filter(null_train), df.filter(~null_train)
+    return df.filter((k <= F.lit(cut)) | k.isNull()), df.filter(k > F.lit(cut))
 
 
 def chrono_split(df: DataFrame, p: float, ts: str = "timestamp",
@@ -51,30 +78,39 @@ def chrono_split(df: DataFrame, p: float, ts: str = "timestamp",
     Only the cut-off value reaches the driver; the split itself is a plain
     range filter that Parquet row-group statistics can skip on.
     """
-    cut = chrono_cutoff(df, p, ts, buckets)
-    k = F.col(ts)
-    if cut is None:
-        # Below the first rank: only null keys (rank 0) can train.
-        null_train = k.isNull() & F.lit(p > 0)
-        return df.filter(null_train), df.filter(~null_train | k.isNotNull())
-    return df.filter((k <= F.lit(cut)) | k.isNull()), df.filter(k > F.lit(cut))
+    return split_at(df, chrono_cutoff(df, p, ts, buckets), p, ts)
+
+
+def chrono_splits(df: DataFrame, fractions=CHRONO_FRACTIONS, ts: str = "timestamp",
+                  buckets: int = 64) -> dict:
+    """{p: (train, test)} for several fractions from one cut-off pass."""
+    cuts = chrono_cutoffs(df, fractions, ts, buckets)
+    return {p: split_at(df, cuts[p], p, ts) for p in fractions}
+
+
+def tag_chrono_sides(df: DataFrame, cuts: dict, ts: str = "timestamp") -> DataFrame:
+    """Tag every row with (fraction, side) for each chronological split.
+
+    ``cuts`` maps a fraction to its cut-off (:func:`chrono_cutoffs`); each
+    row appears once per fraction.  The tags come from a generated array, so
+    all splits are served by one scan and no join.
+    """
+    tags = []
+    for p, cut in sorted(cuts.items()):
+        train = F.lit(False) if cut is None else (F.col(ts) <= F.lit(cut))
+        train = train | (F.col(ts).isNull() & F.lit(p > 0))
+        side = F.when(train, F.lit("train")).otherwise(F.lit("test"))
+        tags.append(F.struct(F.lit(float(p)).alias("fraction"), side.alias("side")))
+    return df.withColumn("_tag", F.explode(F.array(*tags))).select("*", "_tag.*").drop("_tag")
 
 
 def chrono_split_summary(df: DataFrame, fractions=CHRONO_FRACTIONS,
                          ts: str = "timestamp") -> DataFrame:
-    """Row count and time range of each side of each chronological split."""
-    parts = []
-    for p in fractions:
-        train, test = chrono_split(df, p, ts)
-        for side, frame in (("train", train), ("test", test)):
-            parts.append(frame.agg(F.count(F.lit(1)).alias("n_rows"),
-                                   F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
-                         .select(F.lit(float(p)).alias("fraction"), F.lit(side).alias("side"),
-                                 "n_rows", "min_ts", "max_ts"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Row count and time range of each side of each chronological split (one scan)."""
+    cuts = chrono_cutoffs(df, fractions, ts)
+    return (tag_chrono_sides(df.select(ts), cuts, ts).groupBy("fraction", "side")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("min_ts"),
+                 F.max(ts).alias("max_ts")))
 
 
 def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), seed: int = 21,

@@ -203,11 +203,15 @@ def als_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                  lambda: rs.evaluate_settings(_ratings(spark, sf_dir)).cache())
 
 
+def _cuts(spark, sf_dir):
+    return _memo(spark, sf_dir, "cuts", lambda: sp.chrono_cutoffs(_ratings(spark, sf_dir)))
+
+
 def _taste(spark, sf_dir, p):
     """ALS (first setting) on the split's training side -> user vectors -> k-means."""
     def run():
         ratings = _ratings(spark, sf_dir)
-        train, _ = sp.chrono_split(ratings, p)
+        train, _ = sp.split_at(ratings, _cuts(spark, sf_dir)[p], p)
         rank, reg = rs.ALS_SETTINGS[0]
         als = rs.als_estimator(rank, reg).fit(train)
         vectors = rs.user_vectors(als)
@@ -238,7 +242,7 @@ def cluster_genre_table(spark: SparkSession, sf_dir: str, mode: str = "anti") ->
     for p in sp.CHRONO_FRACTIONS:
         preds = _taste(spark, sf_dir, p)[3]
         members = rs.largest_group(preds, group_col="prediction")
-        cut = sp.chrono_cutoff(ratings, p)
+        cut = _cuts(spark, sf_dir)[p]
         parts.append(rs.genre_profiles(ratings, movies, members, {p: cut}, mode=mode))
     out = parts[0]
     for part in parts[1:]:
