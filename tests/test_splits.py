@@ -91,3 +91,17 @@ def test_frozen_split_round_trip(spark, sf_small):
     train, test = sp.frozen_split(df, "test_frozen")
     assert train.count() + test.count() == df.count()
     assert train.inputFiles() and all("test_frozen" in f for f in train.inputFiles())
+
+
+def test_percent_rank_key_types(spark):
+    import datetime as dt
+
+    rows = [(dt.datetime(2024, 3, 10, h, 30), dt.date(2024, 1, 1 + h % 5), f"k{h % 7}", float(h % 4))
+            for h in range(24)] + [(None, None, None, float("nan"))]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, d date, s string, x double")
+    for key in ("t", "d", "s", "x"):
+        fast = sorted((str(r[key]), r.percent_rank) for r in
+                      sp.percent_rank(df.select(key), ts=key, buckets=4).collect())
+        slow = sorted((str(r[key]), r.percent_rank) for r in
+                      sp.percent_rank_naive(df.select(key), ts=key).collect())
+        assert fast == slow, key
