@@ -66,16 +66,22 @@ def mode_fill(df: DataFrame, cols: list[str] | None = None,
     keep = set(keep or [])
     cols = [c for c in (cols or df.columns) if c not in keep]
     modes = {r["column_name"]: r["mode"] for r in mode_nullaware(df, cols).collect()}
+    return apply_modes(df, modes), {c: m for c, m in modes.items() if m is not None}
+
+
+def apply_modes(df: DataFrame, modes: dict) -> DataFrame:
+    """Fill nulls from {column: mode text}; drop columns whose mode is None.
+
+    Columns not in ``modes`` pass through unchanged.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in df.columns:
-        if c in keep or c not in modes:
+        if c not in modes:
             out.append(F.col(c))
-        elif modes[c] is None:
-            continue
-        else:
+        elif modes[c] is not None:
             out.append(F.coalesce(F.col(c), F.lit(modes[c]).cast(types[c])).alias(c))
-    return df.select(*out), {c: m for c, m in modes.items() if m is not None}
+    return df.select(*out)
 
 
 def index_columns(df: DataFrame, cols: list[str], suffix: str = "_index",
@@ -117,10 +123,12 @@ def assemble(cols: list[str], out: str = "features", handle_invalid: str = "erro
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid)
 
 
-def encode_pipeline(cat_cols: list[str]) -> Pipeline:
+def encode_pipeline(cat_cols: list[str], handle_invalid: str = "error") -> Pipeline:
     """M4: index then one-hot every categorical column."""
     idx = [c + "_index" for c in cat_cols]
     return Pipeline(stages=[
-        StringIndexer(inputCols=cat_cols, outputCols=idx, stringOrderType="frequencyDesc"),
-        OneHotEncoder(inputCols=idx, outputCols=[c + "ohe" for c in cat_cols]),
+        StringIndexer(inputCols=cat_cols, outputCols=idx, stringOrderType="frequencyDesc",
+                      handleInvalid=handle_invalid),
+        OneHotEncoder(inputCols=idx, outputCols=[c + "ohe" for c in cat_cols],
+                      handleInvalid=handle_invalid),
     ])

@@ -125,20 +125,28 @@ CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7",
                  "Calendar_Year", "Var1", "Var2", "Var3", "Var4", "Claim_Amount"]
 
 
-def claims_prepared(spark: SparkSession, sf_dir: str):
+def claims_prepared(spark: SparkSession, sf_dir: str, fit_on: str = "all"):
     """Missing tokens -> null -> mode fill/drop -> index + one-hot -> split -> rebalance.
 
-    As coded (D21), modes and encoders are fitted before the split.
+    ``fit_on='all'`` (as coded, D21) computes modes and fits the encoders
+    before the split; ``fit_on='train'`` learns them from the training side
+    only and maps unseen test labels to an extra index (``handleInvalid='keep'``).
     Returns (balanced train, test, one-hot features, index features).
     """
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
     claims = tb.token_to_null(si.load_claims_raw(spark, sf_dir))
-    filled, _ = tb.mode_fill(claims, CLAIM_COLUMNS, keep=["row_key"])
+    tagged = sp.hash_split(claims, "row_key", (0.7, 0.3), seed=21)
+    basis = tagged if fit_on == "all" else tagged.filter("side = 'train'")
+    modes = tb.mode_nullaware(basis, CLAIM_COLUMNS).collect()
+    filled = tb.apply_modes(tagged, {r["column_name"]: r["mode"] for r in modes})
     cats = [c for c in si.CLAIMS_STANDIN_CATEGORICAL if c in filled.columns]
     nums = [c for c in si.CLAIMS_STANDIN_NUMERIC if c in filled.columns]
-    encoded = tb.encode_pipeline(cats).fit(filled).transform(filled)
-    tagged = sp.hash_split(encoded, "row_key", (0.7, 0.3), seed=21)
-    train = tagged.filter("side = 'train'").drop("side")
-    test = tagged.filter("side = 'test'").drop("side")
+    basis = filled if fit_on == "all" else filled.filter("side = 'train'")
+    invalid = "error" if fit_on == "all" else "keep"
+    encoded = tb.encode_pipeline(cats, handle_invalid=invalid).fit(basis).transform(filled)
+    train = encoded.filter("side = 'train'").drop("side")
+    test = encoded.filter("side = 'test'").drop("side")
     balanced = sp.downsample(train, "row_key", seed=3)
     return balanced, test, [c + "ohe" for c in cats] + nums, [c + "_index" for c in cats] + nums
 

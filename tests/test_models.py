@@ -54,3 +54,11 @@ def test_claims_models(spark, sf_small):
     bad = preds.filter(F.isnan("prediction") | F.col("prediction").isNull()).count()
     assert bad == 0
     assert preds.count() == test.count()
+
+
+def test_claims_fit_on_train_only(spark, sf_small):
+    train, test, ohe, idx = wf.claims_prepared(spark, sf_small, fit_on="train")
+    assert train.count() > 0 and test.count() > 0
+    model = rg.lasso(train, ohe)
+    m = ev.regression_metrics(model.transform(test), rg.TARGET).first()
+    assert math.isfinite(m.mse)
