@@ -67,7 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    # Unset: only a test session gets here.  Use a fresh local folder.
+    # Unset: acceptable for a local (test) session only.
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local "
+                           "folder does not survive a lost executor")
     path = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
