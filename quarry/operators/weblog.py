@@ -141,6 +141,74 @@ def leader_requests(parsed: DataFrame, match: str = "contains",
             .groupBy("grp", "leader").agg(F.count(F.lit(1)).alias("requests")))
 
 
+def org_hour_cells(parsed: DataFrame, groups=DOMAIN_GROUPS) -> DataFrame:
+    """One pass over the log: (grp, org, day, hour, requests, first_t, last_t).
+
+    Everything about the leading organisation (its requests, day x hour grid,
+    time span) is answered from this aggregate, so the raw log is scanned
+    once and all later work runs on at most orgs x days x 24 rows.
+    """
+    rows = with_org(with_group(parsed, groups), groups)
+    t = lp.log_time("timestamp")
+    return (rows.select("grp", "org", lp.day_of("timestamp").alias("day"),
+                        lp.hour_of("timestamp").alias("hour"), t.alias("_t"))
+            .groupBy("grp", "org", "day", "hour")
+            .agg(F.count(F.lit(1)).alias("requests"), F.min("_t").alias("first_t"),
+                 F.max("_t").alias("last_t")))
+
+
+def leader_cells(cells: DataFrame, match: str = "contains") -> DataFrame:
+    """F2 on the aggregate: the cells of each group's leading organisation(s).
+
+    The leader is the top organisation by total requests (ties: smaller
+    key); with ``match='contains'`` every organisation containing it is kept.
+    The leader table has one row per group, a fixed small set: broadcast.
+    """
+    totals = cells.groupBy("grp", "org").agg(F.sum("requests").alias("requests"))
+    lead = F.broadcast(leaders(totals).select(F.col("grp").alias("_lgrp"), "leader"))
+    cond = F.col("grp") == F.col("_lgrp")
+    if match == "contains":
+        cond = cond & F.col("org").contains(F.col("leader"))
+    elif match == "eq":
+        cond = cond & (F.col("org") == F.col("leader"))
+    else:
+        raise ValueError("match must be 'contains' or 'eq'")
+    return cells.join(lead, cond).drop("_lgrp")
+
+
+def leader_cell_requests(lcells: DataFrame) -> DataFrame:
+    """(grp, leader, requests) from leader cells."""
+    return lcells.groupBy("grp", "leader").agg(F.sum("requests").alias("requests"))
+
+
+def cell_heat(lcells: DataFrame) -> DataFrame:
+    """A3 on leader cells: (grp, day, hour, requests)."""
+    return lcells.groupBy("grp", "day", "hour").agg(F.sum("requests").alias("requests"))
+
+
+def cell_span(lcells: DataFrame) -> DataFrame:
+    """A4 on leader cells: first and last request time per group."""
+    return lcells.groupBy("grp").agg(F.min("first_t").alias("first_request"),
+                                     F.max("last_t").alias("last_request"))
+
+
+def dense_grid(heat: DataFrame, span: DataFrame) -> DataFrame:
+    """Zero-filled day x hour grid from cell counts and the time span.
+
+    Days run over the calendar days between first and last request (as 'dd'
+    labels, at most 31 per group) and hours 00-23, generated by
+    ``sequence``/``explode``; the counts are left-joined: no cross join.
+    """
+    days = (span.select("grp", F.explode(F.sequence(F.to_date("first_request"),
+                                                    F.to_date("last_request"))).alias("_d"))
+            .select("grp", F.date_format("_d", "dd").alias("day")).distinct())
+    grid = days.select("grp", "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
+    grid = grid.select("grp", "day", F.lpad(F.col("_h").cast("string"), 2, "0").alias("hour"))
+    return (grid.join(heat, ["grp", "day", "hour"], "left")
+            .select("grp", "day", "hour", F.coalesce("requests", F.lit(0)).alias("requests"))
+            .orderBy("grp", "day", "hour"))
+
+
 def heat_counts(rows: DataFrame) -> DataFrame:
     """A3: requests per (grp, day, hour), unordered."""
     return (rows.select("grp", lp.day_of("timestamp").alias("day"),
@@ -154,23 +222,8 @@ def heat_sparse(rows: DataFrame) -> DataFrame:
 
 
 def heat_dense(rows: DataFrame) -> DataFrame:
-    """The full day x hour grid per group, zero where nothing happened.
-
-    Days run from the first to the last request day of the group; the grid
-    is generated with ``sequence``/``explode`` (at most 31 x 24 cells per
-    group) and left-joined to the sparse counts: no cross join.
-    """
-    typed = rows.select("grp", lp.log_time("timestamp").alias("_t"))
-    span = typed.groupBy("grp").agg(F.to_date(F.min("_t")).alias("_d0"),
-                                    F.to_date(F.max("_t")).alias("_d1"))
-    days = (span.select("grp", F.explode(F.sequence("_d0", "_d1")).alias("_d"))
-            .select("grp", F.date_format("_d", "dd").alias("day")).distinct())
-    grid = days.select("grp", "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
-    grid = grid.select("grp", "day", F.lpad(F.col("_h").cast("string"), 2, "0").alias("hour"))
-    sparse = heat_counts(rows)
-    return (grid.join(sparse, ["grp", "day", "hour"], "left")
-            .select("grp", "day", "hour", F.coalesce("requests", F.lit(0)).alias("requests"))
-            .orderBy("grp", "day", "hour"))
+    """A8 on leader rows: the full day x hour grid per group, zero-filled."""
+    return dense_grid(heat_counts(rows), time_span(rows))
 
 
 def heat_peak(rows: DataFrame) -> DataFrame:

@@ -69,29 +69,35 @@ def q_org_share(spark, sf_dir):
     return wl.with_share(wl.top_k_with_rest(wl.org_requests(_parsed(spark, sf_dir)), 9))
 
 
+def _leader_cells(spark, sf_dir):
+    return wl.leader_cells(wl.org_hour_cells(_parsed(spark, sf_dir)))
+
+
 @query("leader_requests")
 def q_leader_requests(spark, sf_dir):
-    return wl.leader_requests(_parsed(spark, sf_dir))
+    return wl.leader_cell_requests(_leader_cells(spark, sf_dir))
 
 
 @query("heat_sparse")
 def q_heat_sparse(spark, sf_dir):
-    return wl.heat_sparse(wl.leader_rows(_parsed(spark, sf_dir)))
+    return wl.cell_heat(_leader_cells(spark, sf_dir)).orderBy("grp", "day", "hour")
 
 
 @query("heat_dense")
 def q_heat_dense(spark, sf_dir):
-    return wl.heat_dense(wl.leader_rows(_parsed(spark, sf_dir)))
+    lc = _leader_cells(spark, sf_dir)
+    return wl.dense_grid(wl.cell_heat(lc), wl.cell_span(lc))
 
 
 @query("heat_peak")
 def q_heat_peak(spark, sf_dir):
-    return wl.heat_peak(wl.leader_rows(_parsed(spark, sf_dir)))
+    return (wl.cell_heat(_leader_cells(spark, sf_dir)).groupBy("grp")
+            .agg(F.max("requests").alias("peak_requests")))
 
 
 @query("log_time_span")
 def q_log_time_span(spark, sf_dir):
-    return wl.time_span(wl.leader_rows(_parsed(spark, sf_dir)))
+    return wl.cell_span(_leader_cells(spark, sf_dir))
 
 
 # ------------------------------------------------------------ splits -------

@@ -101,3 +101,15 @@ def test_flagship_entry_runs(spark):
     assert set(df.columns) == {"grp", "rank", "org", "requests"}
     rows = df.collect()
     assert rows and all(r.requests >= 0 for r in rows)
+
+
+def test_cells_path_equals_row_path(spark, sf_small):
+    from quarry.sources import standins as si
+
+    parsed = wl.parse_log(si.load_access_log(spark, sf_small))
+    rows = wl.leader_rows(parsed)
+    lc = wl.leader_cells(wl.org_hour_cells(parsed))
+    assert sorted(wl.heat_counts(rows).collect()) == sorted(wl.cell_heat(lc).collect())
+    assert sorted(wl.time_span(rows).collect()) == sorted(wl.cell_span(lc).collect())
+    assert sorted(wl.leader_requests(parsed).collect()) == sorted(wl.leader_cell_requests(lc).collect())
+    assert wl.heat_dense(rows).collect() == wl.dense_grid(wl.cell_heat(lc), wl.cell_span(lc)).collect()
