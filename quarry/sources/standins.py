@@ -137,27 +137,49 @@ def claims_raw(lineitem: DataFrame, part: DataFrame,
 _WRITTEN: dict = {}
 
 
-def load_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The access-log stand-in as a text source, like the original input.
-
-    The lines are written once per session and data folder as a text table
-    in the shared checkpoint folder, then scanned with ``read.text`` (S1):
-    parsing then works on a plain column, as it would on a real log.
+def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by: str | None = None,
+                  fmt: str = "parquet") -> str:
+    """Write a stand-in once per session and data folder; return its path.
+
+    The table goes to the shared checkpoint folder (it survives lost
+    executors and cuts the lineage of the joins that built it).  With
+    ``order_by`` the rows are range-partitioned and sorted on that column,
+    so files and row groups cover disjoint ranges and range filters on it
+    are pruned by Parquet statistics.
     """
     from quarry.session import checkpoint_dir, scratch_path
-    from quarry.sources.files import read_access_log
 
-    key = (id(spark), checkpoint_dir(spark), sf_dir)
+    key = (id(spark), checkpoint_dir(spark), sf_dir, name)
     if key not in _WRITTEN:
         tag = sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_")
-        path = scratch_path(spark, f"access_log_{tag}")
-        access_log(load_table(spark, sf_dir, "events")).write.mode("overwrite").text(path)
+        path = scratch_path(spark, f"{name}_{tag}")
+        df = build()
+        if order_by:
+            df = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
+        df.write.mode("overwrite").format(fmt).save(path)
         _WRITTEN[key] = path
-    return read_access_log(spark, _WRITTEN[key])
+    return _WRITTEN[key]
+
+
+def load_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The access-log stand-in as a text source, like the original input.
+
+    Written once per session as a text table and scanned with ``read.text``
+    (S1): parsing then works on a plain column, as on a real log.
+    """
+    from quarry.sources.files import read_access_log
+
+    path = _materialized(spark, sf_dir, "access_log",
+                         lambda: access_log(load_table(spark, sf_dir, "events")), fmt="text")
+    return read_access_log(spark, path)
 
 
 def load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings(load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem"))
+    """Ratings stand-in, stored ordered by timestamp (see :func:`_materialized`)."""
+    path = _materialized(spark, sf_dir, "ratings", lambda: ratings(
+        load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem")),
+        order_by="timestamp")
+    return spark.read.parquet(path)
 
 
 def load_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +191,10 @@ def load_particle_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return claims_raw(load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "part"))
+    """Claims stand-in with '?' tokens, stored once like the original CSV input."""
+    path = _materialized(spark, sf_dir, "claims", lambda: claims_raw(
+        load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "part")))
+    return spark.read.parquet(path)
 
 
 def rule_regression(lineitem: DataFrame) -> DataFrame:
