@@ -28,8 +28,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
-        .config("spark.checkpoint.dir", os.environ.get(
-            "QUARRY_CHECKPOINT_DIR", "") or tempfile.mkdtemp(prefix="quarry-ckpt-"))
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
@@ -41,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)  # the configured folder, or a fresh one if unset
     return spark
 
 
@@ -51,9 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if value:
         return value
     try:
-        return spark.conf.get("spark.checkpoint.dir", None) or None
+        value = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # pragma: no cover - connect sessions
-        return None
+        value = None
+    return value or spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -77,6 +76,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for a lineage-cutting table inside the shared checkpoint folder."""
+    """A path for a lineage-cutting table inside the shared checkpoint folder.
+
+    Tables sit under the application id, so concurrent applications sharing
+    the folder never overwrite each other's tables.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    return f"{base}/tables/{spark.sparkContext.applicationId}/{name}"
