@@ -7,6 +7,8 @@ and grid-sized metrics are memoised, never data.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +22,19 @@ from quarry.sources import standins as si
 from quarry.sources.files import cast_all
 
 _MEMO: dict = {}
+_LOCKS: dict = {}
+_GUARD = threading.Lock()
 
 
 def _memo(spark: SparkSession, sf_dir: str, step: str, fn):
+    """Compute ``fn`` once per key; threads asking for the same key wait."""
     key = (id(spark), sf_dir, step)
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
+    with _GUARD:
+        lock = _LOCKS.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _MEMO:
+            _MEMO[key] = fn()
+        return _MEMO[key]
 
 
 # ------------------------------------------------------- classification ----
@@ -228,14 +236,25 @@ def _taste(spark, sf_dir, p):
     return _memo(spark, sf_dir, f"taste:{p}", run)
 
 
+def _all_taste(spark, sf_dir):
+    """The three per-split fits, run as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    _cuts(spark, sf_dir)  # shared inputs first, then the independent fits
+    with ThreadPoolExecutor(max_workers=len(sp.CHRONO_FRACTIONS)) as pool:
+        return dict(zip(sp.CHRONO_FRACTIONS,
+                        pool.map(lambda p: _taste(spark, sf_dir, p), sp.CHRONO_FRACTIONS)))
+
+
 def user_vectors_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _taste(spark, sf_dir, sp.CHRONO_FRACTIONS[0])[1]
 
 
 def taste_cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fits = _all_taste(spark, sf_dir)
     parts = []
     for p in sp.CHRONO_FRACTIONS:
-        preds = _taste(spark, sf_dir, p)[3]
+        preds = fits[p][3]
         parts.append(rs.cluster_sizes(preds).select(F.lit(float(p)).alias("fraction"), "*"))
     out = parts[0]
     for part in parts[1:]:
@@ -244,15 +263,12 @@ def taste_cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_genre_table(spark: SparkSession, sf_dir: str, mode: str = "anti") -> DataFrame:
-    ratings = _ratings(spark, sf_dir)
-    movies = si.load_movies(spark, sf_dir)
-    parts = []
+    """M9: genre profile of each split's largest taste cluster, one plan for all splits."""
+    fits = _all_taste(spark, sf_dir)
+    members = None
     for p in sp.CHRONO_FRACTIONS:
-        preds = _taste(spark, sf_dir, p)[3]
-        members = rs.largest_group(preds, group_col="prediction")
-        cut = _cuts(spark, sf_dir)[p]
-        parts.append(rs.genre_profiles(ratings, movies, members, {p: cut}, mode=mode))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        part = (rs.largest_group(fits[p][3], group_col="prediction")
+                .select(F.lit(float(p)).alias("fraction"), "userId"))
+        members = part if members is None else members.unionByName(part)
+    return rs.genre_profiles(_ratings(spark, sf_dir), si.load_movies(spark, sf_dir), members,
+                             _cuts(spark, sf_dir), mode=mode)

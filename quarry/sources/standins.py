@@ -10,6 +10,8 @@ grows with the tables.  Each builder has an SQL twin in
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,6 +137,7 @@ def claims_raw(lineitem: DataFrame, part: DataFrame,
 
 
 _WRITTEN: dict = {}
+_WRITE_LOCK = threading.Lock()
 
 
 def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by: str | None = None,
@@ -150,15 +153,16 @@ def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by:
     from quarry.session import checkpoint_dir, scratch_path
 
     key = (id(spark), checkpoint_dir(spark), sf_dir, name)
-    if key not in _WRITTEN:
-        tag = sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_")
-        path = scratch_path(spark, f"{name}_{tag}")
-        df = build()
-        if order_by:
-            df = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
-        df.write.mode("overwrite").format(fmt).save(path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+    with _WRITE_LOCK:  # one writer per table, also when callers run in threads
+        if key not in _WRITTEN:
+            tag = sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_")
+            path = scratch_path(spark, f"{name}_{tag}")
+            df = build()
+            if order_by:
+                df = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
+            df.write.mode("overwrite").format(fmt).save(path)
+            _WRITTEN[key] = path
+        return _WRITTEN[key]
 
 
 def load_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
