@@ -23,6 +23,26 @@ RECOMMENDED_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
+                           minimum: int = 200) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for an input of ``input_bytes``.
+
+    AQE only merges partitions (and splits skewed join partitions), so the
+    initial count must be large enough for the biggest shuffle: about one
+    partition per ``target_bytes`` of input (100 TB -> ~400k).
+    """
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
+def cluster_conf(input_bytes: int) -> dict:
+    """Settings to pass when building a cluster session for ``input_bytes`` of input."""
+    conf = dict(RECOMMENDED_CONF)
+    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
+    conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(256 * 1024 ** 2)
+    conf["spark.sql.files.maxPartitionBytes"] = str(256 * 1024 ** 2)
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "quarry") -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
