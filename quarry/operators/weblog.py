@@ -197,14 +197,16 @@ def dense_grid(heat: DataFrame, span: DataFrame) -> DataFrame:
 
     Days run over the calendar days between first and last request (as 'dd'
     labels, at most 31 per group) and hours 00-23, generated by
-    ``sequence``/``explode``; the counts are left-joined: no cross join.
+    ``sequence``/``explode``; grid and counts are full-outer joined, so a
+    counted cell outside the typed span (unparsable time) is kept.  No
+    cross join.
     """
     days = (span.select("grp", F.explode(F.sequence(F.to_date("first_request"),
                                                     F.to_date("last_request"))).alias("_d"))
             .select("grp", F.date_format("_d", "dd").alias("day")).distinct())
     grid = days.select("grp", "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
     grid = grid.select("grp", "day", F.lpad(F.col("_h").cast("string"), 2, "0").alias("hour"))
-    return (grid.join(heat, ["grp", "day", "hour"], "left")
+    return (grid.join(heat, ["grp", "day", "hour"], "full")
             .select("grp", "day", "hour", F.coalesce("requests", F.lit(0)).alias("requests"))
             .orderBy("grp", "day", "hour"))
 

@@ -104,9 +104,9 @@ grid AS (
   SELECT grp, day, lpad(CAST(h AS VARCHAR), 2, '0') AS hour
   FROM days, unnest(generate_series(0, 23)) AS v(h)
 )""", """
-SELECT g.grp, g.day, g.hour, COALESCE(h.requests, 0) AS requests
-FROM grid g LEFT JOIN heat h USING (grp, day, hour)
-ORDER BY g.grp, g.day, g.hour""")
+SELECT grp, day, hour, COALESCE(h.requests, 0) AS requests
+FROM grid g FULL OUTER JOIN heat h USING (grp, day, hour)
+ORDER BY grp, day, hour""")
 ORACLE["heat_peak"] = _with(LOG_CTE, "SELECT grp, MAX(requests) AS peak_requests FROM heat GROUP BY grp")
 ORACLE["log_time_span"] = _with(LOG_CTE, """
 SELECT grp, MIN(t) AS first_request, MAX(t) AS last_request FROM lead_times GROUP BY grp""")

@@ -113,3 +113,12 @@ def test_cells_path_equals_row_path(spark, sf_small):
     assert sorted(wl.time_span(rows).collect()) == sorted(wl.cell_span(lc).collect())
     assert sorted(wl.leader_requests(parsed).collect()) == sorted(wl.leader_cell_requests(lc).collect())
     assert wl.heat_dense(rows).collect() == wl.dense_grid(wl.cell_heat(lc), wl.cell_span(lc)).collect()
+
+
+def test_heat_dense_keeps_cells_with_unparsable_time(spark):
+    lines = ['h.mit.edu - - [01/Jul/1995:10:00:00 -0400] "GET /" 200 1',
+             'h.mit.edu - - [07/Jul/1995:xx:yy -0400] "GET /" 200 1']
+    rows = wl.leader_rows(wl.parse_log(_lines(spark, *lines)))
+    dense = wl.heat_dense(rows).collect()
+    assert sum(r.requests for r in dense) == 2
+    assert len(dense) == 24 + 1
