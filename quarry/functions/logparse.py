@@ -58,13 +58,17 @@ def org_key(host: str | Column, labels: int | Column) -> Column:
 def day_of(timestamp: str | Column = "timestamp") -> Column:
     """Day label: the text before the first '/' of the log time."""
     t = F.col(timestamp) if isinstance(timestamp, str) else timestamp
-    return F.split(t, "/").getItem(0)
+    return F.get(F.split(t, "/"), 0)
 
 
 def hour_of(timestamp: str | Column = "timestamp") -> Column:
-    """Hour label: the text between the first and second ':'."""
+    """Hour label: the text between the first and second ':'.
+
+    Null when the time has no ':' (``get`` tolerates the missing item; a
+    plain index would fail the job under ANSI mode).
+    """
     t = F.col(timestamp) if isinstance(timestamp, str) else timestamp
-    return F.split(t, ":").getItem(1)
+    return F.get(F.split(t, ":"), 1)
 
 
 def log_time(timestamp: str | Column = "timestamp") -> Column:

@@ -122,3 +122,12 @@ def test_heat_dense_keeps_cells_with_unparsable_time(spark):
     dense = wl.heat_dense(rows).collect()
     assert sum(r.requests for r in dense) == 2
     assert len(dense) == 24 + 1
+
+
+def test_heat_with_time_lacking_colons(spark):
+    lines = ['h.mit.edu - - [01/Jul/1995:10:00:00 -0400] "GET /" 200 1',
+             'h.mit.edu - - [garbage] "GET /" 200 1']
+    rows = wl.leader_rows(wl.parse_log(_lines(spark, *lines)))
+    cells = {(r.day, r.hour): r.requests for r in wl.heat_counts(rows).collect()}
+    assert cells == {("01", "10"): 1, ("garbage", None): 1}
+    assert sum(r.requests for r in wl.heat_dense(rows).collect()) == 2
