@@ -135,7 +135,7 @@ particle AS (
 
 RATINGS_CTE = """
 ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+  SELECT o_custkey AS userId, l_partkey AS movieId,
          CAST(ceil(l_quantity / 10) AS DOUBLE) AS rating,
          date_diff('second', TIMESTAMP '1970-01-01 00:00:00', o_orderdate) AS timestamp
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -249,7 +249,7 @@ SELECT row_key, Claim_Amount, CASE WHEN Claim_Amount > 0 THEN 1 ELSE 0 END AS bi
 
 MOVIES_CTE = """
 movies AS (
-  SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title,
+  SELECT p_partkey AS movieId, p_name AS title,
          replace(p_name, ' ', '|') AS genres
   FROM part
 )"""
@@ -260,7 +260,7 @@ top_seg AS (
   ORDER BY COUNT(*) DESC, c_mktsegment ASC LIMIT 1
 ),
 members AS (
-  SELECT CAST(c_custkey AS INTEGER) AS userId FROM customer
+  SELECT c_custkey AS userId FROM customer
   WHERE c_mktsegment IN (SELECT cluster FROM top_seg)
 ),
 liked AS (
@@ -292,7 +292,7 @@ ORACLE["genre_profile_semi"] = _profile("""
 ORACLE["cluster_outer_join"] = _with(RATINGS_CTE, """
 SELECT u.userId, s.cluster
 FROM (SELECT DISTINCT userId FROM ratings) u
-LEFT JOIN (SELECT CAST(c_custkey AS INTEGER) AS userId, c_mktsegment AS cluster FROM customer) s
+LEFT JOIN (SELECT c_custkey AS userId, c_mktsegment AS cluster FROM customer) s
 USING (userId)""")
 
 # ------------------------------------------------------------ metrics ------

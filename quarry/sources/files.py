@@ -17,14 +17,14 @@ from quarry.session import scratch_path
 ACCESS_LOG_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 RATINGS_SCHEMA = T.StructType([
-    T.StructField("userId", T.IntegerType()),
-    T.StructField("movieId", T.IntegerType()),
+    T.StructField("userId", T.LongType()),
+    T.StructField("movieId", T.LongType()),
     T.StructField("rating", T.DoubleType()),
     T.StructField("timestamp", T.LongType()),
 ])
 
 MOVIES_SCHEMA = T.StructType([
-    T.StructField("movieId", T.IntegerType()),
+    T.StructField("movieId", T.LongType()),
     T.StructField("title", T.StringType()),
     T.StructField("genres", T.StringType()),
 ])

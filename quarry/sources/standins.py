@@ -50,14 +50,15 @@ def ratings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """(userId, movieId, rating, timestamp) from orders joined to lineitem.
 
     rating = ceil(l_quantity / 10) in 1..5; timestamp = epoch seconds of the
-    order date.  The join is an ordinary equi-join on the order key: AQE
+    order date.  Ids stay bigint: a narrowing cast would fail under ANSI
+    once keys pass 2^31 (ALS checks its own id range).  The join is an ordinary equi-join on the order key: AQE
     broadcasts the orders side only when its measured size is small.
     """
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("o_custkey").cast("int").alias("userId"),
-                    F.col("l_partkey").cast("int").alias("movieId"),
+            .select(F.col("o_custkey").alias("userId"),
+                    F.col("l_partkey").alias("movieId"),
                     F.ceil(F.col("l_quantity") / 10).cast("double").alias("rating"),
                     F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
                            "o_orderdate)").alias("timestamp")))
@@ -65,14 +66,14 @@ def ratings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def movies(part: DataFrame) -> DataFrame:
     """(movieId, title, genres) from part; genres = name words joined by '|'."""
-    return part.select(F.col("p_partkey").cast("int").alias("movieId"),
+    return part.select(F.col("p_partkey").alias("movieId"),
                        F.col("p_name").alias("title"),
                        F.regexp_replace("p_name", " ", "|").alias("genres"))
 
 
 def user_segments(customer: DataFrame) -> DataFrame:
     """(userId, cluster): a data-derived grouping of users (market segment)."""
-    return customer.select(F.col("c_custkey").cast("int").alias("userId"),
+    return customer.select(F.col("c_custkey").alias("userId"),
                            F.col("c_mktsegment").alias("cluster"))
 
 
