@@ -62,3 +62,11 @@ def test_claims_fit_on_train_only(spark, sf_small):
     model = rg.lasso(train, ohe)
     m = ev.regression_metrics(model.transform(test), rg.TARGET).first()
     assert math.isfinite(m.mse)
+
+
+def test_gamma_glm_predictions_finite(spark, sf_small):
+    train, test, _, idx = wf.claims_prepared(spark, sf_small)
+    glm = rg.gamma_glm(train, idx)
+    preds = glm.transform(test.filter(F.col(rg.TARGET) > 0))
+    bad = preds.filter(F.isnan("prediction") | (F.abs("prediction") == float("inf"))).count()
+    assert bad == 0 and preds.count() > 0
