@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import uniform
 from quarry.plans import prefix
+from quarry.session import ensure_checkpoint_dir
 from quarry.sources.files import freeze
 
 # The three chronological cut points.
@@ -26,9 +27,14 @@ def percent_rank_naive(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 def percent_rank(df: DataFrame, ts: str = "timestamp", buckets: int = 64) -> DataFrame:
     """The same ``percent_rank`` column, computed in parallel.
 
-    Null keys sort first, as in the window.
+    Null keys sort first, as in the window.  The per-key count table (one
+    row per distinct key) is checkpointed to the shared checkpoint folder,
+    so the quantile pass and the prefix sum read it instead of the data:
+    the data is read twice (counts, final join), not three times.
     """
-    rb = prefix.rows_before(df, ts, buckets).select(
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = prefix.key_counts(df, ts).checkpoint(eager=True)
+    rb = prefix.rows_before(df, ts, buckets, counts=counts).select(
         F.col(ts).alias("_k"), prefix.percent_rank_expr().alias("percent_rank"))
     # Large side joins on the key; AQE broadcasts the distinct-key table when
     # its measured size is small and splits a hot key's partition otherwise.
