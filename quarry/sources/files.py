@@ -121,10 +121,13 @@ def freeze(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
     Freezes a random split so every later consumer sees the same rows, and
     cuts the lineage (a lost executor re-reads the table instead of replaying
-    the sampling).  The table goes to the shared checkpoint folder unless a
-    path is given.
+    the sampling).  The table goes to a new folder in the shared checkpoint
+    folder unless a path is given, so a later freeze never overwrites files
+    an earlier frame still reads.
     """
+    import uuid
+
     spark = df.sparkSession
-    target = path or scratch_path(spark, name)
+    target = path or scratch_path(spark, f"{name}_{uuid.uuid4().hex[:12]}")
     write_parquet(df, target)
     return spark.read.parquet(target)
