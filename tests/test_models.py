@@ -70,3 +70,11 @@ def test_gamma_glm_predictions_finite(spark, sf_small):
     preds = glm.transform(test.filter(F.col(rg.TARGET) > 0))
     bad = preds.filter(F.isnan("prediction") | (F.abs("prediction") == float("inf"))).count()
     assert bad == 0 and preds.count() > 0
+
+
+def test_original_grids_are_valid_param_grids(spark):
+    sizes = {}
+    for kind in ("rf", "gbt", "mlp"):
+        clf = tn.classifier(kind)
+        sizes[kind] = len(tn.param_maps(clf, tn.original_grid(kind, n_inputs=4)))
+    assert sizes == {"rf": 243, "gbt": 81, "mlp": 486}
