@@ -60,6 +60,22 @@ def requests_by_group(parsed: DataFrame, groups=DOMAIN_GROUPS) -> DataFrame:
             .select("grp", F.coalesce("requests", F.lit(0)).alias("requests")))
 
 
+def hosts_by_group(parsed: DataFrame, groups=DOMAIN_GROUPS) -> DataFrame:
+    """D26 extra: distinct hosts and requests per group.
+
+    Two aggregation levels (per host, then per group), each partial before
+    its shuffle, so a host with a third of all requests costs one row per task.
+    """
+    per_host = (with_group(parsed, groups).groupBy("grp", "host")
+                .agg(F.count(F.lit(1)).alias("_n")))
+    counts = per_host.groupBy("grp").agg(F.count(F.lit(1)).alias("hosts"),
+                                         F.sum("_n").alias("requests"))
+    names = group_names(parsed.sparkSession, groups)
+    return (F.broadcast(names).join(counts, "grp", "left")
+            .select("grp", F.coalesce("hosts", F.lit(0)).alias("hosts"),
+                    F.coalesce("requests", F.lit(0)).alias("requests")))
+
+
 def org_requests(parsed: DataFrame, groups=DOMAIN_GROUPS) -> DataFrame:
     """A2: requests per (group, organisation); partial aggregation map-side."""
     return (with_org(with_group(parsed, groups), groups)

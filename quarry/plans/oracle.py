@@ -83,6 +83,12 @@ SELECT g.grp, COALESCE(c.requests, 0) AS requests
 FROM (VALUES ('JP'), ('UK'), ('US')) g(grp)
 LEFT JOIN (SELECT grp, COUNT(*) AS requests FROM grouped WHERE grp IS NOT NULL GROUP BY grp) c
 USING (grp)""")
+ORACLE["hosts_by_group"] = _with(LOG_CTE, """
+SELECT g.grp, COALESCE(c.hosts, 0) AS hosts, COALESCE(c.requests, 0) AS requests
+FROM (VALUES ('JP'), ('UK'), ('US')) g(grp)
+LEFT JOIN (SELECT grp, COUNT(DISTINCT host) AS hosts, CAST(COUNT(*) AS BIGINT) AS requests
+           FROM grouped WHERE grp IS NOT NULL GROUP BY grp) c
+USING (grp)""")
 ORACLE["org_requests"] = _with(LOG_CTE, "SELECT * FROM org_counts")
 ORACLE["org_topk"] = _with(LOG_CTE, "SELECT grp, CAST(rank AS INTEGER) AS rank, org, requests FROM topk")
 ORACLE["org_topk_rest"] = _with(LOG_CTE, "SELECT * FROM topk_rest")

@@ -48,6 +48,11 @@ def q_requests_by_group(spark, sf_dir):
     return wl.requests_by_group(_parsed(spark, sf_dir))
 
 
+@query("hosts_by_group")
+def q_hosts_by_group(spark, sf_dir):
+    return wl.hosts_by_group(_parsed(spark, sf_dir))
+
+
 @query("org_requests")
 def q_org_requests(spark, sf_dir):
     return wl.org_requests(_parsed(spark, sf_dir))

@@ -131,3 +131,11 @@ def test_heat_with_time_lacking_colons(spark):
     cells = {(r.day, r.hour): r.requests for r in wl.heat_counts(rows).collect()}
     assert cells == {("01", "10"): 1, ("garbage", None): 1}
     assert sum(r.requests for r in wl.heat_dense(rows).collect()) == 2
+
+
+def test_hosts_by_group(spark):
+    lines = ['a.ac.uk - - [01/Jul/1995:10:00:00 -0400] "GET /" 200 1'] * 3 + \
+            ['b.ac.uk - - [01/Jul/1995:10:00:00 -0400] "GET /" 200 1',
+             'c.edu - - [01/Jul/1995:10:00:00 -0400] "GET /" 200 1']
+    got = {r.grp: (r.hosts, r.requests) for r in wl.hosts_by_group(wl.parse_log(_lines(spark, *lines))).collect()}
+    assert got == {"UK": (2, 4), "US": (1, 1), "JP": (0, 0)}
