@@ -25,3 +25,9 @@ def test_query_matches_oracle(spark, sf_small, duck, name):
     assert res["same_columns"], (sorted(got.columns), sorted(want.columns))
     assert res["rows"][0] == res["rows"][1]
     assert res["exact"], res
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_schema_is_stable_between_calls(spark, sf_small, name):
+    q = entry.queries()[name]
+    assert q(spark, sf_small).schema == q(spark, sf_small).schema
