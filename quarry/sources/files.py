@@ -99,7 +99,7 @@ def cast_all(df: DataFrame, to: str, only_type: str = "string",
 
 
 def read_claims_csv(spark: SparkSession, path: str,
-                    schema: T.StructType | None = None,
+                    schema: T.StructType | str | None = None,
                     missing_token: str = "?") -> DataFrame:
     """Claims CSV; ``missing_token`` cells are read as null."""
     reader = (spark.read.option("header", True).option("encoding", "UTF-8")
