@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, quality
+from quarry.llm import decontaminate, minhash, packing, preference, quality, sharding, substring, toxicity
 from quarry.llm.common import saved
 
 
@@ -23,6 +23,41 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(_table(spark, sf_dir, "documents"), 16)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = substring.repeated_spans(_table(spark, sf_dir, "documents"))
+    return spans.select(
+        substring.doc_id_of("node").alias("doc_id"), F.col("unit").cast("long"), F.col("start").cast("long"),
+        F.col("length").cast("long"), F.col("words").cast("long").alias("n_words"),
+        substring.doc_id_of("first_node").alias("first_doc_id"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return hits.drop("text_key")
+
+
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = preference.preference_examples(_table(spark, sf_dir, "conversations"))
+    spans = {f"{side}_mask": F.array_join(F.transform(f"{side}_mask", lambda m: F.concat_ws(":", m["start"], m["length"])), ";")
+             for side in ("chosen", "rejected")}
+    return found.withColumns(spans)
+
+
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, per_cent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals = saved(quality.with_signals(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text"),
                     "signals")
@@ -31,5 +66,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.col("lang").alias("stratum"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
