@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,46 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text, split at ASCII white space."""
+    b = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(b) + 2, np.int8)
+    inside[1:-1] = (b != 32) & ((b < 9) | (b > 13))
+    turn = np.diff(inside)
+    return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+
+
+_BASE = 0x9DDFEA08EB382D69  # odd, so its powers have inverses modulo 2**64
+
+
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    up = np.full(size, _BASE, np.uint64)
+    down = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)  # a random number per byte value
+
+
+def word_hashes(data: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hash of every run data[start:stop], from prefix sums of a polynomial."""
+    up, down = _powers(1 << max(16, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[np.frombuffer(data, np.uint8)] * up[: len(data)], out=sums[1:])
+    return mix((sums[stop] - sums[start]) * down[start])
+
+
+def prefix_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of every run of ``size`` bytes."""
+    up, down = _powers(1 << max(16, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    n = len(data) - size + 1
+    return mix((sums[size:] - sums[:-size]) * down[:n])
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept for at most ``limit`` words."""
 

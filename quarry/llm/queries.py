@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, minhash, packing, preference, quality, sharding, substring, toxicity
+from quarry.llm import (
+    decontaminate,
+    licenses,
+    minhash,
+    packing,
+    preference,
+    quality,
+    sharding,
+    substring,
+    suffix,
+    toxicity,
+)
 from quarry.llm.common import saved
 
 
@@ -23,6 +34,27 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.deduplicate(_table(spark, sf_dir, "documents"), length=400, keep="none")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a source tree: a folder per source, blocks of 4000 ids in it and of 200 ids in these.
+
+    The first document of a folder is its licence file.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    ids = docs.select("doc_id", "source", "text", F.expr("doc_id div 4000").alias("block"), F.expr("doc_id div 200").alias("part"))
+    tops = ids.groupBy("source", "block").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(1).alias("top"))
+    leaves = ids.groupBy("source", "part").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(1).alias("leaf"))
+    named = ids.join(tops, "doc_id", "left").join(leaves, "doc_id", "left")
+    name = F.when(F.coalesce("top", "leaf").isNotNull(), F.lit("LICENSE")).otherwise(F.concat_ws("", F.col("doc_id"), F.lit(".txt")))
+    path = F.concat_ws("/", "source", "block", F.when(F.col("top").isNull(), F.col("part")), name)
+    found = licenses.scan(named.select(path.alias("path"), F.col("doc_id").alias("row_key"), "text"))
+    return found.withColumnRenamed("row_key", "doc_id")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(_table(spark, sf_dir, "documents"), 16)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
@@ -66,5 +98,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.col("lang").alias("stratum"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
+    op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
 ORACLE: dict[str, str] = {}
