@@ -23,9 +23,11 @@ table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import small_batches, utf8
+from quarry.llm.common import small_batches, utf8, word_bounds, word_hashes
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, loss_tokens long")
@@ -41,39 +43,93 @@ _ARROW = pa.schema([(f.split()[0], pa.int64()) for f in PIECES.split(", ")])
 _ID_BITS = 40  # sequence_id = task number << 40 | running number of the task
 
 
-class Tokens:
-    """Little-endian uint32 ids of texts, word by word.
+class Tokens(dict):
+    """word (UTF-8) -> its ids as little-endian uint32.
 
     The vocabulary drops white space and never joins words across it, so a
-    text's ids are its words' ids in a row; words repeat, so their ids are kept
-    (at most ``limit`` words).
+    text's ids are its words' ids in a row.  It also lower-cases and never joins
+    letters with the marks after them, so ``Word,`` is ``word`` and ``,``.  Words
+    repeat, so their ids are kept (at most about ``limit`` words), and a batch
+    looks up its distinct words only.
     """
 
-    def __init__(self, tokenizer_file: str, limit: int = 200_000):
+    _MARKED = re.compile(rb"([A-Za-z\x80-\xff]+)([.,;:!?%*#&$]*)")
+
+    def __init__(self, tokenizer_file: str, limit: int = 1_200_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.limit = limit
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        for piece, at in vocabulary.items():
+            self.ends[at] = piece.endswith("</w>")
+
+    def _letters(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """(lower-cased letters, marks) if the word is letters with or without marks after them."""
+        m = self._MARKED.fullmatch(word)
+        if m and (word.isascii() or m[1].decode().isalpha()):
+            return m[1].lower(), m[2]
+        return None
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def _learn_letters(self, words: list[bytes]) -> None:
+        """Ids of words of letters only, each of which is one run of ids up to an id that ends a word."""
+        for at in range(0, len(words), 5_000):
+            part = words[at : at + 5_000]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            stop = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(stop) != len(part):  # not so for some word: one by one
+                for w in part:
+                    self[w]
+                continue
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(part, stop.tolist()):
+                self[w] = raw[start:end]
+                start = end
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts = {w: p for w in words if (p := self._letters(w))}
+        self._learn_letters([w for w in {p[0] for p in parts.values()} if w not in self])
+        for w, (letters, marks) in parts.items():
+            self[w] = self[letters] + self[marks] if marks else self[letters]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        if len(self) > self.limit:
+            self.clear()
+        joined = b" ".join(texts)
+        start, stop = word_bounds(joined)
+        if not len(start):
+            return [b""] * len(texts)
+        _, first, inverse = np.unique(word_hashes(joined, start, stop), return_index=True, return_inverse=True)
+        words = [joined[a:b] for a, b in zip(start[first].tolist(), stop[first].tolist())]
+        self._learn([w for w in words if w not in self])
+        ids = [self[w] for w in words]
+        lengths = np.array([len(i) // 4 for i in ids])
+        at = np.cumsum(lengths) - lengths
+        counts = lengths[inverse]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        stream = np.frombuffer(b"".join(ids), "<u4")[np.repeat(at[inverse] - upto[:-1], counts) + np.arange(upto[-1])]
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cut = upto[np.searchsorted(start, ends)].tolist()
+        return [stream[a:b].tobytes() for a, b in zip([0, *cut], cut)]
+
+
+@cache
+def _tokens(tokenizer_file: str) -> Tokens:
+    """One tokenizer and store of words per Python worker, used by all its tasks."""
+    return Tokens(tokenizer_file)
 
 
 class Packer:
     """The dot-product heuristic over a bounded window of pending examples."""
 
-    def __init__(self, max_tokens: int, max_segments: int, max_loss: int, window: int = 128):
+    def __init__(self, max_tokens: int, max_segments: int, max_loss: int, window: int = 64):
         self.caps = np.array([max_tokens, max_segments, max_loss], np.float64)
         self.window = window
         self.pending: list[list] = []  # [key, start, end, prompt]
@@ -155,7 +211,7 @@ class Packer:
 
 
 def _pack(batches: Iterable[pa.RecordBatch], tokenizer_file: str, end_id: int, limits: tuple) -> Iterator[pa.RecordBatch]:
-    tokens = Tokens(tokenizer_file)
+    tokens = _tokens(tokenizer_file)
     packer = Packer(*limits)
     number = TaskContext.get().partitionId() << _ID_BITS
     end = np.array([end_id], "<u4").tobytes()
@@ -181,7 +237,7 @@ def _pack(batches: Iterable[pa.RecordBatch], tokenizer_file: str, end_id: int, l
         if out:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_ARROW)
 
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", 2 << 20):
         prompts = batch.column(2).to_pylist()
         for doc, ids, prompt in zip(batch.column(0).to_pylist(), tokens.encode(utf8(batch.column(1))), prompts):
             ids += end
