@@ -136,8 +136,9 @@ def certified_cutoffs(signals: DataFrame, labels: DataFrame, *, id_col: str = "d
             .join(good, "__id").select("stratum", "__good", F.inline("levels")))
     counts = held.groupBy("stratum", "rule", "level").agg(
         F.count(F.when(F.col("__good"), 1)).alias("good"), F.count(F.when(~F.col("__good"), 1)).alias("bad"))
-    # a cutoff at place c is exceeded by the rows of level > c: sums over a table of stratum x rule x level rows
-    grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("place"), F.lit(c).alias("cutoff"))
+    # cutoffs fall, so the i-th of n is exceeded from level n - i on: sums over a table of stratum x rule x level rows
+    grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("place"), F.lit(c).alias("cutoff"),
+                              F.lit(len(cuts) - i).alias("from_level"))
                      for r, (_, cuts) in RULES.items() for i, c in enumerate(cuts)])
     strata = counts.groupBy("stratum").agg(F.lit(1).alias("__one"))
     n_strata = strata.agg(F.count(F.lit(1)).alias("__strata"))
@@ -145,8 +146,8 @@ def certified_cutoffs(signals: DataFrame, labels: DataFrame, *, id_col: str = "d
     joined = (cells.alias("c").join(counts.alias("n"), F.expr("c.stratum <=> n.stratum AND c.rule = n.rule"))
               .groupBy("c.stratum", "c.rule", "place", "cutoff")
               .agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"),
-                   F.sum(F.expr("CASE WHEN level > place THEN good ELSE 0 END")).alias("k_good"),
-                   F.sum(F.expr("CASE WHEN level > place THEN bad ELSE 0 END")).alias("k_bad")))
+                   F.sum(F.expr("CASE WHEN level >= from_level THEN good ELSE 0 END")).alias("k_good"),
+                   F.sum(F.expr("CASE WHEN level >= from_level THEN bad ELSE 0 END")).alias("k_bad")))
     tested = (joined.withColumn("p_value", binomial_tail(F.col("k_good"), F.col("n_good"), risk / len(RULES)))
               .join(n_strata)  # one row
               .withColumn("__ok", F.col("p_value") <= delta / len(RULES) / F.col("__strata")))
