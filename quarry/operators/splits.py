@@ -24,7 +24,7 @@ def percent_rank_naive(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.withColumn("percent_rank", F.percent_rank().over(Window.orderBy(F.col(ts).asc())))
 
 
-def percent_rank(df: DataFrame, ts: str = "timestamp", buckets: int = 64) -> DataFrame:
+def percent_rank(df: DataFrame, ts: str = "timestamp", buckets: int | None = None) -> DataFrame:
     """The same ``percent_rank`` column, computed in parallel.
 
     Null keys sort first, as in the window.  The per-key count table (one
@@ -42,7 +42,7 @@ def percent_rank(df: DataFrame, ts: str = "timestamp", buckets: int = 64) -> Dat
 
 
 def chrono_cutoffs(df: DataFrame, fractions=CHRONO_FRACTIONS, ts: str = "timestamp",
-                   buckets: int = 64) -> dict:
+                   buckets: int | None = None) -> dict:
     """{p: last timestamp whose percent_rank is below p} for all fractions at once.
 
     One pass over the per-timestamp counts, which are persisted only while
@@ -51,18 +51,23 @@ def chrono_cutoffs(df: DataFrame, fractions=CHRONO_FRACTIONS, ts: str = "timesta
     """
     counts = prefix.key_counts(df, ts).persist()
     try:
-        rb = prefix.rows_before(df, ts, buckets, counts=counts)
-        pr = prefix.percent_rank_expr()
-        aggs = [F.max(F.when(pr < F.lit(float(p)), F.col(ts))).alias(f"c{i}")
-                for i, p in enumerate(fractions)]
-        row = rb.agg(*aggs).first()
+        return _cutoffs(counts, df, fractions, ts, buckets)
     finally:
         counts.unpersist()
+
+
+def _cutoffs(counts: DataFrame, df: DataFrame, fractions, ts: str, buckets: int | None) -> dict:
+    """Cut-offs from the rows per timestamp."""
+    rb = prefix.rows_before(df, ts, buckets, counts=counts)
+    pr = prefix.percent_rank_expr()
+    aggs = [F.max(F.when(pr < F.lit(float(p)), F.col(ts))).alias(f"c{i}")
+            for i, p in enumerate(fractions)]
+    row = rb.agg(*aggs).first()
     return {p: row[f"c{i}"] for i, p in enumerate(fractions)}
 
 
 def chrono_cutoff(df: DataFrame, p: float, ts: str = "timestamp",
-                  buckets: int = 64):
+                  buckets: int | None = None):
     """The last timestamp whose percent_rank is below ``p`` (None: no train rows)."""
     return chrono_cutoffs(df, (p,), ts, buckets)[p]
 
@@ -78,7 +83,7 @@ def split_at(df: DataFrame, cut, p: float, ts: str = "timestamp") -> tuple[DataF
 
 
 def chrono_split(df: DataFrame, p: float, ts: str = "timestamp",
-                 buckets: int = 64) -> tuple[DataFrame, DataFrame]:
+                 buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(train, test) = (percent_rank < p, percent_rank >= p).
 
     Only the cut-off value reaches the driver; the split itself is a plain
@@ -88,7 +93,7 @@ def chrono_split(df: DataFrame, p: float, ts: str = "timestamp",
 
 
 def chrono_splits(df: DataFrame, fractions=CHRONO_FRACTIONS, ts: str = "timestamp",
-                  buckets: int = 64) -> dict:
+                  buckets: int | None = None) -> dict:
     """{p: (train, test)} for several fractions from one cut-off pass."""
     cuts = chrono_cutoffs(df, fractions, ts, buckets)
     return {p: split_at(df, cuts[p], p, ts) for p in fractions}
@@ -112,11 +117,15 @@ def tag_chrono_sides(df: DataFrame, cuts: dict, ts: str = "timestamp") -> DataFr
 
 def chrono_split_summary(df: DataFrame, fractions=CHRONO_FRACTIONS,
                          ts: str = "timestamp") -> DataFrame:
-    """Row count and time range of each side of each chronological split (one scan)."""
-    cuts = chrono_cutoffs(df, fractions, ts)
-    return (tag_chrono_sides(df.select(ts), cuts, ts).groupBy("fraction", "side")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("min_ts"),
-                 F.max(ts).alias("max_ts")))
+    """Row count and time range of each side of each chronological split.
+
+    One pass over the rows, to count them per timestamp; cut-offs and sides
+    come from these counts.
+    """
+    counts = freeze(prefix.key_counts(df, ts), "time_counts")
+    cuts = _cutoffs(counts, df, fractions, ts, None)
+    return (tag_chrono_sides(counts, cuts, ts).groupBy("fraction", "side")
+            .agg(F.sum("n").alias("n_rows"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts")))
 
 
 def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), seed: int = 21,

@@ -1,7 +1,7 @@
 """Tabular preparation (workflow W-D front half): X9, X10, A9, A11, M1-M3, P9.
 
-Column-wise statistics are computed for all columns in one pass (an unpivot
-plus one aggregation) instead of one job per column.
+Column-wise statistics of all columns come from one job.  A mode is counted on
+the column's own type, and only columns that hold nulls are filled.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,28 +32,25 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return wide.unpivot([], cols, "column_name", "null_count")
 
 
-def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, value) for every cell, value as text; nulls kept."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               F.col(c).cast("string").alias("value")) for c in cols])
-    return df.select(F.inline(cells))
-
-
 def mode_nullaware(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """The most frequent value of each column, null counting as a value.
 
     Output (column_name, mode, mode_count); ``mode`` is the value as text.
-    Ties go to the smaller text, null first.  Partial aggregation runs before
-    the shuffle, so a hot value costs one row per task; the top-1 per column
-    is a group-limited window.
+    Ties go to the smaller text, null first.  Each column is counted on its own
+    type from its own column-pruned scan, and its top row is a limit, so one row
+    per column and task goes on; the columns' counts are one job.
     """
     cols = cols or df.columns
-    counts = (_long_values(df, cols).groupBy("column_name", "value")
-              .agg(F.count(F.lit(1)).alias("mode_count")))
-    w = Window.partitionBy("column_name").orderBy(F.col("mode_count").desc(),
-                                                  F.col("value").asc_nulls_first())
-    return (counts.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .select("column_name", F.col("value").alias("mode"), "mode_count"))
+    parts = []
+    for c in cols:
+        text = F.col(c).cast("string")
+        counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(counts.select(F.lit(c).alias("column_name"), text.alias("mode"), F.col("_n").alias("mode_count"))
+                     .orderBy(F.col("mode_count").desc(), F.col("mode").asc_nulls_first()).limit(1))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def mode_fill(df: DataFrame, cols: list[str] | None = None,
@@ -61,7 +58,8 @@ def mode_fill(df: DataFrame, cols: list[str] | None = None,
     """X10 + D14: fill nulls with each column's mode; drop columns whose mode is null.
 
     Returns (filled frame, {column: mode}).  One row per column reaches the
-    driver.  ``keep`` columns pass through untouched.
+    driver.  ``keep`` columns pass through untouched.  When the modes themselves
+    are not wanted, :func:`fill_nulls` does less.
     """
     keep = set(keep or [])
     cols = [c for c in (cols or df.columns) if c not in keep]
@@ -69,6 +67,17 @@ def mode_fill(df: DataFrame, cols: list[str] | None = None,
     return apply_modes(df, modes), {c: m for c, m in modes.items() if m is not None}
 
 
+def fill_nulls(df: DataFrame, cols: list[str]) -> DataFrame:
+    """X10 + D14 on ``cols``: as :func:`mode_fill`, with modes of the columns that hold nulls only."""
+    return apply_modes(df, modes_for_fill(df, cols))
+
+
+def modes_for_fill(df: DataFrame, cols: list[str]) -> dict:
+    """{column: mode text or None} of the columns with nulls, found by one null profile."""
+    gaps = [r["column_name"] for r in null_profile(df, cols).collect() if r["null_count"]]
+    return {r["column_name"]: r["mode"] for r in mode_nullaware(df, gaps).collect()} if gaps else {}
+
+
 def apply_modes(df: DataFrame, modes: dict) -> DataFrame:
     """Fill nulls from {column: mode text}; drop columns whose mode is None.
 

@@ -18,7 +18,7 @@ from quarry.operators import tabular as tb
 from quarry.operators import weblog as wl
 from quarry.plans import workflows as wf
 from quarry.sources import standins as si
-from quarry.sources.files import cast_all
+from quarry.sources.files import cast_all, freeze
 from quarry.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +75,8 @@ def q_org_share(spark, sf_dir):
 
 
 def _leader_cells(spark, sf_dir):
-    return wl.leader_cells(wl.org_hour_cells(_parsed(spark, sf_dir)))
+    # written once: the log is scanned and parsed once, whatever is asked of the cells
+    return wl.leader_cells(freeze(wl.org_hour_cells(_parsed(spark, sf_dir)), "org_hour_cells"))
 
 
 @query("leader_requests")
@@ -177,8 +178,8 @@ def q_mode_nullaware(spark, sf_dir):
     return tb.mode_nullaware(_claims(spark, sf_dir), CLAIM_COLUMNS)
 
 
-def _filled(spark, sf_dir):
-    return tb.mode_fill(_claims(spark, sf_dir), CLAIM_COLUMNS, keep=["row_key"])[0]
+def _filled(spark, sf_dir, cols=CLAIM_COLUMNS):
+    return tb.fill_nulls(_claims(spark, sf_dir).select("row_key", *cols), cols)
 
 
 def _long(df, cols, value_name, cast="string"):
@@ -199,7 +200,7 @@ def _categorical(df):
 
 @query("string_index")
 def q_string_index(spark, sf_dir):
-    filled = _filled(spark, sf_dir)
+    filled = _filled(spark, sf_dir, si.CLAIMS_STANDIN_CATEGORICAL)
     cats = _categorical(filled)
     _, out = tb.index_columns(filled, cats)
     long = _long(out.select("row_key", *[F.col(c + "_index").alias(c) for c in cats]),
@@ -209,7 +210,7 @@ def q_string_index(spark, sf_dir):
 
 @query("one_hot")
 def q_one_hot(spark, sf_dir):
-    filled = _filled(spark, sf_dir)
+    filled = _filled(spark, sf_dir, si.CLAIMS_STANDIN_CATEGORICAL)
     cats = _categorical(filled)
     _, idx = tb.index_columns(filled, cats)
     _, enc = tb.one_hot(idx, [c + "_index" for c in cats], suffix="_ohe")

@@ -28,7 +28,7 @@ _GUARD = threading.Lock()
 
 def _memo(spark: SparkSession, sf_dir: str, step: str, fn):
     """Compute ``fn`` once per key; threads asking for the same key wait."""
-    key = (id(spark), sf_dir, step)
+    key = (spark.sparkContext.applicationId, sf_dir, step)
     with _GUARD:
         lock = _LOCKS.setdefault(key, threading.Lock())
     with lock:
@@ -146,8 +146,7 @@ def claims_prepared(spark: SparkSession, sf_dir: str, fit_on: str = "all"):
     claims = tb.token_to_null(si.load_claims_raw(spark, sf_dir))
     tagged = sp.hash_split(claims, "row_key", (0.7, 0.3), seed=21)
     basis = tagged if fit_on == "all" else tagged.filter("side = 'train'")
-    modes = tb.mode_nullaware(basis, CLAIM_COLUMNS).collect()
-    filled = tb.apply_modes(tagged, {r["column_name"]: r["mode"] for r in modes})
+    filled = tb.apply_modes(tagged, tb.modes_for_fill(basis, CLAIM_COLUMNS))
     cats = [c for c in si.CLAIMS_STANDIN_CATEGORICAL if c in filled.columns]
     nums = [c for c in si.CLAIMS_STANDIN_NUMERIC if c in filled.columns]
     basis = filled if fit_on == "all" else filled.filter("side = 'train'")

@@ -10,7 +10,9 @@ grows with the tables.  Each builder has an SQL twin in
 
 from __future__ import annotations
 
+import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,26 +144,29 @@ _WRITE_LOCK = threading.Lock()
 
 
 def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by: str | None = None,
-                  fmt: str = "parquet") -> str:
-    """Write a stand-in once per session and data folder; return its path.
+                  fmt: str = "parquet", write=None) -> str:
+    """Write a stand-in once per application and data folder; return its path.
 
     The table goes to the shared checkpoint folder (it survives lost
-    executors and cuts the lineage of the joins that built it).  With
+    executors and cuts the lineage of the joins that built it), under a name
+    that no other folder or write shares; nothing is ever overwritten.  With
     ``order_by`` the rows are range-partitioned and sorted on that column,
-    so files and row groups cover disjoint ranges and range filters on it
-    are pruned by Parquet statistics.
+    so files and row groups cover nearly disjoint ranges and range filters on
+    it are pruned by Parquet statistics; a hash of the row is the second
+    range key, so equal values of the column spread over several files.
     """
     from quarry.session import checkpoint_dir, scratch_path
 
-    key = (id(spark), checkpoint_dir(spark), sf_dir, name)
+    folder = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), folder, name)
     with _WRITE_LOCK:  # one writer per table, also when callers run in threads
         if key not in _WRITTEN:
-            tag = sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_")
-            path = scratch_path(spark, f"{name}_{tag}")
+            tag = f"{folder.rsplit('/', 1)[-1].replace('.', '_')}_{hashlib.sha1(folder.encode()).hexdigest()[:12]}"
+            path = scratch_path(spark, f"{name}_{tag}_{uuid.uuid4().hex[:8]}")
             df = build()
             if order_by:
-                df = df.repartitionByRange(order_by).sortWithinPartitions(order_by)
-            df.write.mode("overwrite").format(fmt).save(path)
+                df = df.repartitionByRange(order_by, F.xxhash64(*df.columns)).sortWithinPartitions(order_by)
+            write(df, path) if write else df.write.format(fmt).save(path)
             _WRITTEN[key] = path
         return _WRITTEN[key]
 
