@@ -154,6 +154,11 @@ tagged AS (
   FROM pr, fr
 )"""
 
+CLAIM_AMOUNT = f"""CASE WHEN {_uniform(KEY, 77)} < CAST(0.04 AS DOUBLE)
+           + CASE WHEN l_quantity > 35 THEN CAST(0.15 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+           + CASE WHEN l_tax >= CAST(0.06 AS DOUBLE) AND p_size % 5 >= 3 THEN CAST(0.35 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+         THEN l_extendedprice * (CAST(0.05 AS DOUBLE) + l_tax) ELSE CAST(0 AS DOUBLE) END"""
+
 CLAIMS_CTE = f"""
 claims AS (
   SELECT {KEY} AS row_key,
@@ -164,8 +169,7 @@ claims AS (
          CAST(p_size % 5 + 1 AS VARCHAR) AS OrdCat,
          CAST(year(l_shipdate) AS INTEGER) AS Calendar_Year,
          l_quantity AS Var1, l_tax AS Var2, p_retailprice AS Var3, l_discount AS Var4,
-         CASE WHEN l_discount >= 0.09 THEN l_extendedprice * l_discount ELSE CAST(0 AS DOUBLE) END
-           AS Claim_Amount
+         {CLAIM_AMOUNT} AS Claim_Amount
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ),
 claims_train AS (
@@ -200,6 +204,68 @@ WHERE Claim_Amount = 0 AND {_uniform('row_key', 3)} < frac.f
 UNION ALL
 SELECT row_key, Claim_Amount FROM claims_train WHERE Claim_Amount > 0""")
 
+# ------------------------------------------------------------ CSV input ----
+
+ORACLE["ratings_csv"] = _with(RATINGS_CTE, "SELECT * FROM ratings")
+ORACLE["movies_csv"] = "SELECT p_partkey AS movieId, p_name AS title, replace(p_name, ' ', '|') AS genres FROM part"
+_BASE = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+_PARTICLE_NAMES = [
+    "lepton_pT", "lepton_eta", "lepton_phi", "missing_energy_magnitude",
+    "missing_energy_phi", "jet_1_pt", "jet_1_eta", "jet_1_phi", "jet_1_btag",
+    "jet_2_pt", "jet_2_eta", "jet_2_phi", "jet_2_btag", "jet_3_pt", "jet_3_eta",
+    "jet_3_phi", "jet_3_btag", "jet_4_pt", "jet_4_eta", "jet_4_phi",
+    "jet_4_btag", "mjj", "mjjj", "mlv", "mjlv", "mbb", "mwbb", "mwwbb"]
+ORACLE["particle_csv"] = (
+    "SELECT CAST(CASE WHEN l_quantity * (1 - l_discount) > 24 THEN 1 ELSE 0 END AS DOUBLE) AS label, "
+    + ", ".join(f"CAST({_BASE[k % 4]} * {k + 1} AS DOUBLE) AS {name}" for k, name in enumerate(_PARTICLE_NAMES))
+    + " FROM lineitem")
+
+
+def _letter(key: str, n: int) -> str:
+    return f"chr(CAST(65 + {key} % {n} AS INTEGER))"
+
+
+ORACLE["claims_csv"] = f"""
+SELECT l_orderkey AS Row_ID, l_suppkey AS Household_ID, CAST(l_linenumber AS BIGINT) AS Vehicle,
+       year(l_shipdate) AS Calendar_Year, CAST(year(l_shipdate) - p_size % 7 AS BIGINT) AS Model_Year,
+       p_brand AS Blind_Make, p_brand || '.' || (p_size % 5) AS Blind_Model, p_brand || '.' || p_size AS Blind_Submodel,
+       CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS Cat1, l_linestatus AS Cat2,
+       {_letter('l_partkey', 3)} AS Cat3, CASE WHEN l_linenumber > 2 THEN NULL ELSE {_letter('l_partkey', 4)} END AS Cat4,
+       CASE WHEN l_partkey % 4 > 0 THEN NULL ELSE {_letter('l_suppkey', 3)} END AS Cat5, {_letter('l_partkey', 6)} AS Cat6,
+       CASE WHEN l_returnflag <> 'R' THEN NULL ELSE l_returnflag END AS Cat7, {_letter('l_suppkey', 2)} AS Cat8,
+       {_letter('l_suppkey', 5)} AS Cat9, {_letter('l_orderkey', 3)} AS Cat10, {_letter('l_orderkey', 7)} AS Cat11,
+       CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE {_letter('l_orderkey', 8)} END AS Cat12,
+       CAST(p_size % 5 + 1 AS VARCHAR) AS OrdCat,
+       {', '.join(f"l_quantity * {k} + l_tax AS Var{k}" for k in range(1, 9))},
+       {_letter('l_linenumber', 9)} AS NVCat, {', '.join(f"l_discount * {k} AS NVVar{k}" for k in range(1, 5))},
+       {CLAIM_AMOUNT} AS Claim_Amount
+FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+# ---------------------------------- deterministic part of learned entries ---
+
+_ALL_KEYS = f"SELECT {KEY} AS row_key FROM lineitem"
+ORACLE["random_split_keys"] = _ALL_KEYS
+ORACLE["frozen_split_keys"] = _ALL_KEYS
+_FIRST_CTE = RATINGS_CTE + """,
+train AS (SELECT * FROM tagged WHERE side = 'train'),
+test AS (SELECT * FROM tagged WHERE side = 'test'),
+train_counts AS (SELECT fraction, COUNT(*) AS n_train FROM train GROUP BY fraction),
+scored AS (
+  SELECT fraction, COUNT(*) AS n_scored FROM test t
+  WHERE EXISTS (SELECT 1 FROM train u WHERE u.fraction = t.fraction AND u.userId = t.userId)
+    AND EXISTS (SELECT 1 FROM train m WHERE m.fraction = t.fraction AND m.movieId = t.movieId)
+  GROUP BY fraction
+)"""
+ORACLE["als_rows"] = _with(_FIRST_CTE, """
+SELECT CAST(s.setting AS INTEGER) AS setting, CAST(s.rank AS INTEGER) AS rank, CAST(s.reg AS DOUBLE) AS reg,
+       fraction, n_train, COALESCE(n_scored, 0) AS n_scored
+FROM train_counts LEFT JOIN scored USING (fraction),
+     (VALUES (1, 10, 0.1), (2, 20, 0.1), (3, 20, 0.05)) s(setting, rank, reg)""")
+ORACLE["user_vector_shape"] = _with(_FIRST_CTE, """
+SELECT DISTINCT fraction, userId, CAST(10 AS INTEGER) AS dimension FROM train""")
+ORACLE["taste_users"] = _with(_FIRST_CTE, """
+SELECT fraction, COUNT(DISTINCT userId) AS n_users FROM train GROUP BY fraction""")
+
 # ------------------------------------------------------------ tabular ------
 
 CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat",

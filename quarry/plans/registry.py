@@ -159,8 +159,7 @@ def q_downsample_union(spark, sf_dir):
 
 # ------------------------------------------------------------ tabular ------
 
-CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat",
-                 "Calendar_Year", "Var1", "Var2", "Var3", "Var4", "Claim_Amount"]
+CLAIM_COLUMNS = wf.CLAIM_COLUMNS
 
 
 @query("token_to_null")
@@ -278,8 +277,22 @@ def q_auc_hard(spark, sf_dir):
     return ev.auc_hard(si.rule_classification(load_table(spark, sf_dir, "lineitem")), "label")
 
 
-# ------------------------------------------------- learned (rows-only) -----
+# ------------------------------------------------------- CSV round trips ---
 
+query("ratings_csv")(si.load_ratings_csv)
+query("movies_csv")(si.load_movies_csv)
+query("particle_csv")(si.load_particle_csv)
+query("claims_csv")(si.load_claims_csv)
+
+
+# ------------------------------------------------- learned entries ---------
+
+query("random_split_keys")(lambda spark, sf_dir: wf.random_split_table(spark, sf_dir).select("row_key"))
+query("frozen_split_keys")(lambda spark, sf_dir: wf.frozen_split_table(spark, sf_dir).select("row_key"))
+query("als_rows")(wf.als_rows)
+query("user_vector_shape")(wf.user_vector_shape)
+query("taste_users")(wf.taste_users)
+query("log_link_glm")(wf.log_glm_table)
 
 query("random_split")(wf.random_split_table)
 query("parquet_frozen_split")(wf.frozen_split_table)

@@ -1,14 +1,16 @@
 """The four workflows end to end, built from the operators.
 
-Fitted models are memoised per (session, data folder, step) so that several
-registered queries over the same fitted search do not refit it.  Only models
-and grid-sized metrics are memoised, never data.
+Fitted models are memoised per (application, data folder, step) so that several
+registered queries over the same fitted search do not refit it, and so are
+frames over tables that were written to the checkpoint folder.
 """
 
 from __future__ import annotations
 
 import threading
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from quarry.operators import splits as sp
 from quarry.operators import tabular as tb
 from quarry.operators import tuning as tn
 from quarry.sources import standins as si
-from quarry.sources.files import cast_all
+from quarry.sources.files import cast_all, freeze
 
 _MEMO: dict = {}
 _LOCKS: dict = {}
@@ -129,6 +131,7 @@ def frozen_split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ claims -------
 
+ID_COLUMNS = ("Row_ID", "Household_ID")
 CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat",
                  "Calendar_Year", "Var1", "Var2", "Var3", "Var4", "Claim_Amount"]
 
@@ -154,7 +157,8 @@ def claims_prepared(spark: SparkSession, sf_dir: str, fit_on: str = "all"):
     encoded = tb.encode_pipeline(cats, handle_invalid=invalid).fit(basis).transform(filled)
     train = encoded.filter("side = 'train'").drop("side")
     test = encoded.filter("side = 'test'").drop("side")
-    balanced = sp.downsample(train, "row_key", seed=3)
+    train, test = freeze(train, "claims_train"), freeze(test, "claims_test")  # the Parquet boundary
+    balanced = freeze(sp.downsample(train, "row_key", seed=3), "claims_balanced")
     return balanced, test, [c + "ohe" for c in cats] + nums, [c + "_index" for c in cats] + nums
 
 
@@ -195,6 +199,20 @@ def tree_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "auc_score double")
 
 
+def _log_glm(spark, sf_dir):
+    def run():
+        train, _, _, idx = _claims(spark, sf_dir)
+        return rg.gamma_glm(train, [c for c in idx if c not in ID_COLUMNS], link="log")
+    return _memo(spark, sf_dir, "log_glm", run)
+
+
+def log_glm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 with the log link and without id columns: positive predictions that vary."""
+    _, test, _, _ = _claims(spark, sf_dir)
+    preds = _log_glm(spark, sf_dir).transform(test.filter(F.col(rg.TARGET) > 0))
+    return _tagged_metrics(preds, "gamma_glm_log")
+
+
 def glm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, test, _, _ = _claims(spark, sf_dir)
     preds = _glm(spark, sf_dir).transform(test.filter(F.col(rg.TARGET) > 0))
@@ -203,7 +221,7 @@ def glm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_part_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, test, _, _ = _claims(spark, sf_dir)
-    preds = rg.two_part_predict(test, _tree(spark, sf_dir), _glm(spark, sf_dir))
+    preds = rg.two_part_predict(test, _tree(spark, sf_dir), _log_glm(spark, sf_dir))
     return _tagged_metrics(preds, "two_part")
 
 
@@ -215,7 +233,7 @@ def _ratings(spark, sf_dir):
 
 def als_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, sf_dir, "als_matrix",
-                 lambda: rs.evaluate_settings(_ratings(spark, sf_dir)).cache())
+                 lambda: rs.evaluate_settings(_ratings(spark, sf_dir)))
 
 
 def _cuts(spark, sf_dir):
@@ -246,7 +264,43 @@ def _all_taste(spark, sf_dir):
 
 
 def user_vectors_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _taste(spark, sf_dir, sp.CHRONO_FRACTIONS[0])[1]
+    """M7 for every split: (fraction, userId, features)."""
+    fits = _all_taste(spark, sf_dir)
+    parts = [fits[p][1].select(F.lit(float(p)).alias("fraction"), "*") for p in sp.CHRONO_FRACTIONS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def user_vector_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(fraction, userId, dimension) of the learned user vectors."""
+    return user_vectors_table(spark, sf_dir).select(
+        "fraction", F.col("userId").cast("long"), F.size(vector_to_array("features")).alias("dimension"))
+
+
+def taste_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(fraction, n_users): users that got a taste cluster."""
+    return taste_cluster_table(spark, sf_dir).groupBy("fraction").agg(F.sum("size").alias("n_users"))
+
+
+def als_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(setting, rank, reg, fraction, n_train, n_scored): what each ALS fit learns from and is scored on.
+
+    A test row is scored if its user and its movie are both in the training
+    side, i.e. their first ratings are; cold ones are dropped.
+    """
+    ratings = _ratings(spark, sf_dir).select("userId", "movieId", "timestamp")
+    users = ratings.groupBy("userId").agg(F.min("timestamp").alias("user_first"))
+    films = ratings.groupBy("movieId").agg(F.min("timestamp").alias("movie_first"))
+    rows = ratings.join(users, "userId").join(films, "movieId")
+    counts = []
+    for p, cut in sorted(_cuts(spark, sf_dir).items()):
+        at = F.lit(cut)
+        known = (F.col("user_first") <= at) & (F.col("movie_first") <= at)
+        counts.append(F.struct(F.lit(float(p)).alias("fraction"), F.count_if(F.col("timestamp") <= at).alias("n_train"),
+                               F.count_if((F.col("timestamp") > at) & known).alias("n_scored")))
+    settings = [F.struct(F.lit(i).alias("setting"), F.lit(rank).alias("rank"), F.lit(float(reg)).alias("reg"))
+                for i, (rank, reg) in enumerate(rs.ALS_SETTINGS, start=1)]
+    return (rows.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+            .select(F.inline(F.array(*settings)), "fraction", "n_train", "n_scored"))
 
 
 def taste_cluster_table(spark: SparkSession, sf_dir: str) -> DataFrame:

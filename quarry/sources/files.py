@@ -40,7 +40,15 @@ PARTICLE_FEATURES = [
     "jet_4_btag", "mjj", "mjjj", "mlv", "mjlv", "mbb", "mwbb", "mwwbb",
 ]
 
-# The claims CSV columns used by the workflow.
+# The claims CSV columns, in file order, and those used by the workflow.
+CLAIMS_FILE_COLUMNS = [
+    "Row_ID", "Household_ID", "Vehicle", "Calendar_Year", "Model_Year",
+    "Blind_Make", "Blind_Model", "Blind_Submodel",
+    "Cat1", "Cat2", "Cat3", "Cat4", "Cat5", "Cat6", "Cat7", "Cat8", "Cat9",
+    "Cat10", "Cat11", "Cat12", "OrdCat",
+    "Var1", "Var2", "Var3", "Var4", "Var5", "Var6", "Var7", "Var8",
+    "NVCat", "NVVar1", "NVVar2", "NVVar3", "NVVar4", "Claim_Amount",
+]
 CLAIMS_CATEGORICAL = [
     "Blind_Make", "Blind_Model", "Blind_Submodel", "Cat1", "Cat2", "Cat3",
     "Cat4", "Cat5", "Cat6", "Cat8", "Cat9", "Cat10", "Cat11", "Cat12",
@@ -52,6 +60,13 @@ CLAIMS_NUMERIC = [
     "NVVar1", "NVVar2", "NVVar3", "NVVar4",
 ]
 
+_CLAIMS_TEXT = {*CLAIMS_CATEGORICAL, "Cat7"}
+_CLAIMS_WHOLE = {"Row_ID", "Household_ID", "Vehicle", "Calendar_Year", "Model_Year"}
+CLAIMS_SCHEMA = T.StructType([
+    T.StructField(c, T.StringType() if c in _CLAIMS_TEXT else
+                  T.LongType() if c in _CLAIMS_WHOLE else T.DoubleType())
+    for c in CLAIMS_FILE_COLUMNS])
+
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
@@ -78,12 +93,14 @@ def read_particle_csv(spark: SparkSession, path: str,
                       partitions: int | None = None) -> DataFrame:
     """S3 + P4 + P5: headerless CSV of 29 doubles, named in one projection.
 
+    The file must have exactly these columns (its first line is looked at).
     Malformed numbers become null (``try_cast``) rather than failing the job.
     """
     names = ["label"] + PARTICLE_FEATURES
     raw = spark.read.option("header", False).csv(path)
-    raw = raw.toDF(*names[: len(raw.columns)])
-    return _spread(cast_all(raw, "double"), partitions)
+    if len(raw.columns) != len(names):
+        raise ValueError(f"expected {len(names)} columns, found {len(raw.columns)}")
+    return _spread(cast_all(raw.toDF(*names), "double"), partitions)
 
 
 def cast_all(df: DataFrame, to: str, only_type: str = "string",
@@ -99,16 +116,11 @@ def cast_all(df: DataFrame, to: str, only_type: str = "string",
 
 
 def read_claims_csv(spark: SparkSession, path: str,
-                    schema: T.StructType | str | None = None,
+                    schema: T.StructType | str = CLAIMS_SCHEMA,
                     missing_token: str = "?") -> DataFrame:
-    """Claims CSV; ``missing_token`` cells are read as null."""
-    reader = (spark.read.option("header", True).option("encoding", "UTF-8")
-              .option("nullValue", missing_token))
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    """Claims CSV with header; ``missing_token`` cells are read as null."""
+    return (spark.read.option("header", True).option("encoding", "UTF-8")
+            .option("nullValue", missing_token).schema(schema).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

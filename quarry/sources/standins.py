@@ -17,6 +17,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.hashing import uniform
+from quarry.sources.files import (CLAIMS_FILE_COLUMNS, PARTICLE_FEATURES, read_access_log,
+                                  read_claims_csv, read_movies_csv, read_particle_csv,
+                                  read_ratings_csv)
 from quarry.sources.tables import load_table
 
 # Fixed values of the access-log stand-in.
@@ -111,8 +115,9 @@ def claims_raw(lineitem: DataFrame, part: DataFrame,
                missing_token: str = "?") -> DataFrame:
     """Claims-shaped rows with ``?`` tokens, from lineitem joined to part.
 
-    Claim_Amount = l_extendedprice * l_discount when l_discount >= 0.09,
-    else 0.  Cat1 = p_type with PROMO missing; Cat7 = l_returnflag kept only
+    A row has a claim with a chance that depends on quantity (Var1), tax (Var2)
+    and OrdCat together, decided by a hash of the row; the amount follows price
+    and tax.  Cat1 = p_type with PROMO missing; Cat7 = l_returnflag kept only
     when 'R' (so its null-aware mode is missing).
     """
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -120,8 +125,6 @@ def claims_raw(lineitem: DataFrame, part: DataFrame,
                          "l_returnflag", "l_linestatus", "l_shipdate")
     p = part.select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     tok = F.lit(missing_token)
-    claim = F.when(F.col("l_discount") >= 0.09,
-                   F.col("l_extendedprice") * F.col("l_discount")).otherwise(F.lit(0.0))
     return (li.join(p, li.l_partkey == p.p_partkey).select(
         row_key().alias("row_key"),
         F.col("l_orderkey").alias("Row_ID"),
@@ -136,7 +139,46 @@ def claims_raw(lineitem: DataFrame, part: DataFrame,
         F.col("l_tax").alias("Var2"),
         F.col("p_retailprice").alias("Var3"),
         F.col("l_discount").alias("Var4"),
-        claim.alias("Claim_Amount")))
+        claim_amount().alias("Claim_Amount")))
+
+
+def claim_amount() -> F.Column:
+    """The claim of a lineitem row joined to its part."""
+    chance = (F.lit(0.04) + F.when(F.col("l_quantity") > 35, 0.15).otherwise(0.0)
+              + F.when((F.col("l_tax") >= 0.06) & (F.pmod(F.col("p_size"), F.lit(5)) >= 3), 0.35).otherwise(0.0))
+    return F.when(uniform(row_key(), 77) < chance,
+                  F.col("l_extendedprice") * (F.lit(0.05) + F.col("l_tax"))).otherwise(F.lit(0.0))
+
+
+def claims_wide(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """The claims CSV in full: 35 columns in file order, with ``?`` for missing cells."""
+    letter = lambda key, n: F.expr(f"char(65 + {key} % {n})")
+    missing = lambda cond, col: F.when(F.expr(cond), F.lit("?")).otherwise(col)
+    cols = {
+        "Row_ID": F.col("l_orderkey"), "Household_ID": F.col("l_suppkey"), "Vehicle": F.col("l_linenumber"),
+        "Calendar_Year": F.year("l_shipdate"), "Model_Year": F.year("l_shipdate") - F.col("p_size") % 7,
+        "Blind_Make": F.col("p_brand"), "Blind_Model": F.concat_ws(".", "p_brand", F.col("p_size") % 5),
+        "Blind_Submodel": F.concat_ws(".", "p_brand", "p_size"),
+        "Cat1": missing("p_type = 'PROMO'", F.col("p_type")), "Cat2": F.col("l_linestatus"),
+        "Cat3": letter("l_partkey", 3), "Cat4": missing("l_linenumber > 2", letter("l_partkey", 4)),
+        "Cat5": missing("l_partkey % 4 > 0", letter("l_suppkey", 3)), "Cat6": letter("l_partkey", 6),
+        "Cat7": missing("l_returnflag <> 'R'", F.col("l_returnflag")), "Cat8": letter("l_suppkey", 2),
+        "Cat9": letter("l_suppkey", 5), "Cat10": letter("l_orderkey", 3), "Cat11": letter("l_orderkey", 7),
+        "Cat12": missing("l_suppkey % 11 = 0", letter("l_orderkey", 8)), "OrdCat": (F.col("p_size") % 5 + 1).cast("string"),
+        **{f"Var{k}": F.col("l_quantity") * k + F.col("l_tax") for k in range(1, 9)},
+        "NVCat": letter("l_linenumber", 9), **{f"NVVar{k}": F.col("l_discount") * k for k in range(1, 5)},
+        "Claim_Amount": claim_amount(),
+    }
+    joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
+    return joined.select(*[cols[c].alias(c) for c in CLAIMS_FILE_COLUMNS])
+
+
+def particle_wide(lineitem: DataFrame) -> DataFrame:
+    """The particle CSV in full: label and 28 numeric features, without names."""
+    label = F.when(F.col("l_quantity") * (1 - F.col("l_discount")) > 24, F.lit(1.0)).otherwise(F.lit(0.0))
+    base = ("l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    return lineitem.select(label.alias("label"), *[
+        (F.col(base[k % 4]) * (k + 1)).alias(name) for k, name in enumerate(PARTICLE_FEATURES)])
 
 
 _WRITTEN: dict = {}
@@ -177,8 +219,6 @@ def load_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Written once per session as a text table and scanned with ``read.text``
     (S1): parsing then works on a plain column, as on a real log.
     """
-    from quarry.sources.files import read_access_log
-
     path = _materialized(spark, sf_dir, "access_log",
                          lambda: access_log(load_table(spark, sf_dir, "events")), fmt="text")
     return read_access_log(spark, path)
@@ -192,6 +232,36 @@ def load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _csv(header: bool, compression: str = "none"):
+    return lambda df, path: df.write.option("header", header).option("compression", compression).csv(path)
+
+
+def load_ratings_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings stand-in through a CSV file with header."""
+    path = _materialized(spark, sf_dir, "ratings_csv", lambda: load_ratings(spark, sf_dir), write=_csv(True))
+    return read_ratings_csv(spark, path)
+
+
+def load_movies_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movies stand-in through a CSV file with header."""
+    path = _materialized(spark, sf_dir, "movies_csv", lambda: load_movies(spark, sf_dir), write=_csv(True))
+    return read_movies_csv(spark, path)
+
+
+def load_particle_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + P4 + P5: 29 numbers through headerless gzip CSV files."""
+    path = _materialized(spark, sf_dir, "particle_csv", lambda: particle_wide(load_table(spark, sf_dir, "lineitem")),
+                         write=_csv(False, "gzip"))
+    return read_particle_csv(spark, path)
+
+
+def load_claims_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """35 columns through a CSV file with header and ``?`` cells."""
+    path = _materialized(spark, sf_dir, "claims_csv", lambda: claims_wide(
+        load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "part")), write=_csv(True))
+    return read_claims_csv(spark, path)
+
+
 def load_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movies(load_table(spark, sf_dir, "part"))
 
