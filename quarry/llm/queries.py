@@ -18,6 +18,7 @@ from quarry.llm import (
     toxicity,
 )
 from quarry.llm.common import saved
+from quarry.llm.oracle import ORACLE  # noqa: F401  (registered with QUERIES)
 
 
 def tokenizer_file() -> str:
@@ -101,4 +102,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
     op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
-ORACLE: dict[str, str] = {}
+
