@@ -243,11 +243,11 @@ def _cuts(spark, sf_dir):
 def _taste(spark, sf_dir, p):
     """ALS (first setting) on the split's training side -> user vectors -> k-means."""
     def run():
-        ratings = _ratings(spark, sf_dir)
+        ratings, users = _memo(spark, sf_dir, "als_ready", lambda: rs.als_ready(_ratings(spark, sf_dir)))
         train, _ = sp.split_at(ratings, _cuts(spark, sf_dir)[p], p)
         rank, reg = rs.ALS_SETTINGS[0]
         als = rs.als_estimator(rank, reg).fit(train)
-        vectors = rs.user_vectors(als)
+        vectors = rs.user_vectors(als, users)
         km, preds = rs.taste_clusters(vectors, k=20)
         return als, vectors, km, preds
     return _memo(spark, sf_dir, f"taste:{p}", run)

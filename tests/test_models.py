@@ -78,3 +78,33 @@ def test_original_grids_are_valid_param_grids(spark):
         clf = tn.classifier(kind)
         sizes[kind] = len(tn.param_maps(clf, tn.original_grid(kind, n_inputs=4)))
     assert sizes == {"rf": 243, "gbt": 81, "mlp": 486}
+
+
+def test_als_accepts_ids_beyond_int(spark):
+    from quarry.operators import recsys as rs
+
+    base = 2 ** 40
+    rows = [(base + u, base * 2 + m, float(1 + (u + m) % 5)) for u in range(12) for m in range(6)]
+    ratings, users = rs.als_ready(spark.createDataFrame(rows, "userId long, movieId long, rating double"))
+    model = rs.als_estimator(rank=3, max_iter=2).fit(ratings)
+    got = {r.userId for r in rs.user_vectors(model, users).collect()}
+    assert got == {base + u for u in range(12)}
+    small = spark.createDataFrame([(1, 2, 3.0)], "userId long, movieId long, rating double")
+    assert rs.als_ready(small)[1] is None
+
+
+def test_claims_models_beat_the_constant(spark, sf_small):
+    """The claim rule is learnable but not given away by one column."""
+    from pyspark.sql import functions as F
+
+    from quarry.plans import workflows as wf
+
+    train, test, ohe, idx = wf.claims_prepared(spark, sf_small)
+    log = wf._log_glm(spark, sf_small).transform(test.filter("Claim_Amount > 0"))
+    mean = train.filter("Claim_Amount > 0").agg(F.avg("Claim_Amount")).first()[0]
+    row = log.agg(F.avg(F.abs(F.col("prediction") - F.col("Claim_Amount"))).alias("model"),
+                  F.avg(F.abs(F.lit(mean) - F.col("Claim_Amount"))).alias("constant"),
+                  F.stddev("prediction").alias("spread")).first()
+    assert row.model < row.constant and row.spread > 0
+    tree = wf.tree_table(spark, sf_small).first()
+    assert 0.5 < tree.auc_score < 0.999

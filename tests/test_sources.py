@@ -60,3 +60,49 @@ def test_freeze_round_trip(spark):
     df = spark.range(10)
     back = files.freeze(df, "test_freeze_round_trip")
     assert sorted(r.id for r in back.collect()) == list(range(10))
+
+
+def test_folders_of_one_name_stay_apart(spark, tmp_path):
+    from quarry.sources import standins as si
+
+    for side, n in (("a", 30), ("b", 7)):
+        folder = tmp_path / side / "sf9"
+        folder.mkdir(parents=True)
+        spark.range(n).selectExpr("id AS o_orderkey", "id % 3 AS o_custkey", "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate") \
+            .write.parquet(str(folder / "orders.parquet"))
+        spark.range(n).selectExpr("id AS l_orderkey", "id % 5 AS l_partkey", "CAST(id AS DOUBLE) AS l_quantity") \
+            .write.parquet(str(folder / "lineitem.parquet"))
+    first = si.load_ratings(spark, str(tmp_path / "a" / "sf9"))
+    second = si.load_ratings(spark, str(tmp_path / "b" / "sf9"))
+    assert (first.count(), second.count(), first.count()) == (30, 7, 30)
+
+
+def test_one_timestamp_spreads_over_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quarry.sources import standins as si
+
+    folder = tmp_path / "hot"
+    folder.mkdir()
+    spark.range(9000).selectExpr("id AS o_orderkey", "id AS o_custkey",
+                                 "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(CASE WHEN id % 3 = 0 THEN 0 ELSE CAST(id AS INT) END) AS o_orderdate") \
+        .write.parquet(str(folder / "orders.parquet"))
+    spark.range(9000).selectExpr("id AS l_orderkey", "id AS l_partkey", "CAST(id AS DOUBLE) AS l_quantity") \
+        .write.parquet(str(folder / "lineitem.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = si.load_ratings(spark, str(folder)).groupBy(F.input_file_name()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in rows]
+    assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_particle_width_is_checked(spark, tmp_path):
+    import pytest
+
+    from quarry.sources.files import read_particle_csv
+
+    (tmp_path / "narrow.csv").write_text("1.0,2.0,3.0\n")
+    with pytest.raises(ValueError):
+        read_particle_csv(spark, str(tmp_path / "narrow.csv"))
