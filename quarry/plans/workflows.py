@@ -104,7 +104,7 @@ def refit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind in MODELS:
         preds = refit(spark, sf_dir, kind).transform(test)
         raw = "rawPrediction" if kind != "mlp" or "rawPrediction" in preds.columns else None
-        s = ev.evaluator_scores(preds, "label", raw=raw)
+        s = ev.confusion_scores(preds, "label", raw=raw)
         rows.append((kind, s["accuracy"], s["f1"], s["auc_hard"], s.get("auc_score")))
     return spark.createDataFrame(rows, "model string, accuracy double, f1 double, "
                                        "auc_hard double, auc_score double")
@@ -193,7 +193,7 @@ def _glm(spark, sf_dir):
 def tree_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, test, _, _ = _claims(spark, sf_dir)
     preds = _tree(spark, sf_dir).transform(tb.claim_flag(test))
-    s = ev.evaluator_scores(preds, "binary", raw="rawPrediction")
+    s = ev.confusion_scores(preds, "binary", raw="rawPrediction")
     return spark.createDataFrame([("tree", s["accuracy"], s["f1"], s["auc_hard"], s["auc_score"])],
                                  "model string, accuracy double, f1 double, auc_hard double, "
                                  "auc_score double")
