@@ -71,6 +71,27 @@ def cv(spark: SparkSession, sf_dir: str, kind: str, scale: bool | None = None):
     return _memo(spark, sf_dir, f"cv:{kind}:{scale}", run)
 
 
+TUNING_ROWS = 20_000  # labelled rows, on average, that a full search is tuned on
+
+
+def full_search(spark: SparkSession, sf_dir: str, kind: str, rows: int = TUNING_ROWS, folds: int = 5,
+                parallelism: int = 8) -> tuple[DataFrame, object]:
+    """The whole original grid with 5 folds, tuned on a hash sample of about ``rows``
+    training rows (as the original tuned on a sample); then the best map is fitted on
+    all training rows.  Returns (one row per map, fitted model).
+
+    The split is frozen to Parquet before the search.
+    """
+    train, _ = particle_split(spark, sf_dir)
+    train = freeze(train, "particle_train")
+    n = train.count()
+    sample = freeze(sp.hash_sample(train, "row_key", min(1.0, rows / max(1, n)), seed=42), "particle_tuning")
+    model, named = tn.cross_validate(sample, kind, PARTICLE_FEATURES, folds=folds, parallelism=parallelism,
+                                     grid=tn.original_grid(kind, len(PARTICLE_FEATURES)))
+    best = tn.refit(train, kind, PARTICLE_FEATURES, tn.best_params(model, named))
+    return tn.cv_results(spark, kind, model, named), best
+
+
 def cv_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     model, named = cv(spark, sf_dir, kind)
     return tn.cv_results(spark, kind, model, named)
