@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.common import saved
+
 SPACE = r"[\\x20\\x09-\\x0D]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -134,14 +136,14 @@ def certified_cutoffs(signals: DataFrame, labels: DataFrame, *, id_col: str = "d
             .select(F.col(id_col).alias("__id"), F.col(stratum_col).cast("string").alias("stratum"),
                     F.array(*[F.struct(F.lit(r).alias("rule"), F.expr(_level(r)).alias("level")) for r in RULES]).alias("levels"))
             .join(good, "__id").select("stratum", "__good", F.inline("levels")))
-    counts = held.groupBy("stratum", "rule", "level").agg(
-        F.count(F.when(F.col("__good"), 1)).alias("good"), F.count(F.when(~F.col("__good"), 1)).alias("bad"))
+    counts = saved(held.groupBy("stratum", "rule", "level").agg(
+        F.count(F.when(F.col("__good"), 1)).alias("good"), F.count(F.when(~F.col("__good"), 1)).alias("bad")), "level_counts")
     # cutoffs fall, so the i-th of n is exceeded from level n - i on: sums over a table of stratum x rule x level rows
     grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("place"), F.lit(c).alias("cutoff"),
                               F.lit(len(cuts) - i).alias("from_level"))
                      for r, (_, cuts) in RULES.items() for i, c in enumerate(cuts)])
     strata = counts.groupBy("stratum").agg(F.lit(1).alias("__one"))
-    n_strata = strata.agg(F.count(F.lit(1)).alias("__strata"))
+    n_strata = max(1, strata.count())
     cells = strata.select("stratum", F.inline(grid))
     joined = (cells.alias("c").join(counts.alias("n"), F.expr("c.stratum <=> n.stratum AND c.rule = n.rule"))
               .groupBy("c.stratum", "c.rule", "place", "cutoff")
@@ -149,8 +151,7 @@ def certified_cutoffs(signals: DataFrame, labels: DataFrame, *, id_col: str = "d
                    F.sum(F.expr("CASE WHEN level >= from_level THEN good ELSE 0 END")).alias("k_good"),
                    F.sum(F.expr("CASE WHEN level >= from_level THEN bad ELSE 0 END")).alias("k_bad")))
     tested = (joined.withColumn("p_value", binomial_tail(F.col("k_good"), F.col("n_good"), risk / len(RULES)))
-              .join(n_strata)  # one row
-              .withColumn("__ok", F.col("p_value") <= delta / len(RULES) / F.col("__strata")))
+              .withColumn("__ok", F.col("p_value") <= delta / len(RULES) / n_strata))
     by_rule = Window.partitionBy("stratum", "rule").orderBy("place")
     passed = tested.withColumn("__all", F.min("__ok").over(by_rule)).where("__all")
     gain = F.expr("(CASE WHEN n_bad > 0 THEN k_bad / n_bad ELSE 0 END) - k_good / n_good")
