@@ -82,33 +82,65 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_logistic(places: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, ratio: np.ndarray,
-                 l2: float, rounds: int = 150) -> tuple[np.ndarray, float]:
-    """Weights per place (already scaled by ``ratio``) and intercept, by accelerated gradient steps."""
-    flat = np.concatenate(places)
-    used, column = np.unique(flat, return_inverse=True)
-    lengths = np.array([len(p) for p in places])
-    row = np.repeat(np.arange(len(places)), lengths)
-    value = ratio[flat].astype(np.float32)
-    share = (weights / weights.sum()).astype(np.float32)
-    squares = np.bincount(row, value * value, len(places))
-    step = 1.0 / (0.25 * float(share @ (squares + 1)) + l2)  # the loss has at most this curvature
-    w = np.zeros(len(used), np.float32)
-    bias, old_w, old_bias = 0.0, w, 0.0
-    for k in range(rounds):
-        push = k / (k + 3)
-        at_w, at_bias = w + push * (w - old_w), bias + push * (bias - old_bias)
-        margin = np.bincount(row, value * at_w[column], len(places)) + at_bias
-        error = share * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels)
-        grad = np.bincount(column, value * error[row].astype(np.float32), len(used)) + l2 * at_w
-        old_w, old_bias = w, bias
-        w = (at_w - step * grad).astype(np.float32)
-        bias = float(at_bias - step * error.sum())
-    out = np.zeros(DIM, np.float32)
-    out[used] = w * ratio[used]
-    return out, bias
-
-
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 2048,
+                 l2: float, rounds: int = 40, block: int = 128) -> tuple[np.ndarray, float]:
+    """Weights per place (already scaled by ``ratio``) and intercept, by limited-memory BFGS.
+
+    Rows are visited in blocks, so only one block's products are held at a time.
+    """
+    share = weights / weights.sum()
+    blocks = []
+    for at in range(0, len(places), block):
+        part = places[at : at + block]
+        lengths = np.array([len(p) for p in part])
+        full = np.flatnonzero(lengths)  # rows without features have the intercept only
+        blocks.append((slice(at, at + len(part)), np.concatenate(part).astype(np.int32), lengths, full,
+                       (np.cumsum(lengths) - lengths)[full]))
+
+    def value(x: np.ndarray) -> tuple[float, np.ndarray]:
+        scaled, grad, loss = x[:-1] * ratio, np.zeros(DIM + 1), 0.0
+        for rows, flat, lengths, full, starts in blocks:
+            margin = np.full(len(lengths), x[-1])
+            if len(full):
+                margin[full] += np.add.reduceat(scaled[flat], starts)
+            loss += float(share[rows] @ (np.logaddexp(0, margin) - labels[rows] * margin))
+            error = share[rows] * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - labels[rows])
+            grad[:-1] += np.bincount(flat, np.repeat(error, lengths), DIM)
+            grad[-1] += error.sum()
+        grad[:-1] = grad[:-1] * ratio + l2 * x[:-1]
+        return loss + 0.5 * l2 * float(x[:-1] @ x[:-1]), grad
+
+    x = np.zeros(DIM + 1)
+    loss, grad = value(x)
+    memory: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        move, used = -grad, []
+        for ds, dg in reversed(memory):
+            part = float(ds @ move) / float(ds @ dg)
+            used.append(part)
+            move = move - part * dg
+        if memory:
+            ds, dg = memory[-1]
+            move = move * float(ds @ dg) / float(dg @ dg)
+        for (ds, dg), part in zip(memory, reversed(used)):
+            move = move + (part - float(dg @ move) / float(ds @ dg)) * ds
+        slope, step = float(grad @ move), 1.0 if memory else min(1.0, 1.0 / float(np.abs(grad).sum()))
+        for _ in range(20):
+            after, grad_after = value(x + step * move)
+            if after <= loss + 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        ds, dg = step * move, grad_after - grad
+        x, gain, loss, grad = x + ds, loss - after, after, grad_after
+        if float(ds @ dg) > 1e-12:
+            memory = [*memory[-7:], (ds, dg)]
+        if gain < 1e-7 * max(1e-6, loss):
+            break
+    return (x[:-1] * ratio).astype(np.float32), float(x[-1])
+
+
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 1024,
           smoothing: float = 1.0, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """(weights, intercept) from the labelled rows that are not held out."""
     marks = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out("doc_id"))
