@@ -5,7 +5,7 @@ import numpy as np
 from quarry.llm import toxicity
 from quarry.llm.queries import op5_toxicity
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"  # sf0.01 has 37 toxic training rows only
 
 
 def test_grams_are_the_distinct_ones():
@@ -28,7 +28,7 @@ def test_held_out_accuracy(spark):
     clean = [r.score for r in held if labels[r.doc_id] == 0]
     assert toxic and clean
     auc = np.mean([(t > c) + 0.5 * (t == c) for t in toxic for c in clean])
-    assert auc > 0.9
+    assert auc > 0.95
 
 
 def test_held_out_labels_are_not_learned(spark):
