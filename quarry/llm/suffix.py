@@ -95,26 +95,31 @@ def _runs(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
                 schema=_RUN_ARROW)
 
 
+_CUT = ("key1 long, key2 long, node long, text_key long, at long, s1 long, s2 long, copies long, kinds long, bytes binary")
+_CUT_ARROW = pa.schema([(f.split()[0], pa.binary() if f.endswith("binary") else pa.int64()) for f in _CUT.split(", ")])
+_PART = ("key1 long, key2 long, node long, text_key long, at long, s1 long, s2 long, u1 long, u2 long, "
+         "run1 long, run2 long, run_s1 long")
+_PART_ARROW = pa.schema([(f.split()[0], pa.int64()) for f in _PART.split(", ")])
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 def _parts(batches: Iterable[pa.RecordBatch], length: int, width: int) -> Iterator[pa.RecordBatch]:
     """Runs cut into parts of ``width`` distances, keyed by anchor, part and the bytes that its windows share."""
     for batch in batches:
-        rows, us, keys = [], [], []
-        for node, key, text, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            text = text or b""
-            for r in runs:
-                for part in range((r["at"] - r["s2"]) // width, (r["at"] - r["s1"]) // width + 1):
-                    near, far = part * width, part * width + width - 1
-                    first, last = max(r["s1"], r["at"] - far), min(r["s2"], r["at"] - near)
-                    shared = text[r["at"] - near : r["at"] - far + length]
-                    keys.append(xxhash.xxh3_128_digest(b"%d %d %d " % (r["key1"], r["key2"], part) + shared))
-                    us.append(xxhash.xxh3_128_digest(text[first : last + length]))
-                    rows.append((node, key, r["at"], first, last))
+        rows = []
+        for key1, key2, node, text_key, at, s1, s2, _, _, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for part in range((at - s2) // width, (at - s1) // width + 1):
+                near, far = part * width, part * width + width - 1
+                first, last = max(s1, at - far), min(s2, at - near)
+                shared = data[at - near - s1 : at - far + length - s1]
+                key, u = _pair([xxhash.xxh3_128_digest(b"%d %d %d " % (key1, key2, part) + shared),
+                                xxhash.xxh3_128_digest(data[first - s1 : last + length - s1])]).tolist()
+                rows.append((*key, node, text_key, at, first, last, *u, key1, key2, s1))
         if rows:
-            node, key, at, first, last = zip(*rows)
-            k, u = _pair(keys), _pair(us)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (node, key, k[:, 0], k[:, 1], u[:, 0], u[:, 1], at, first, last)],
-                schema=_RUN_ARROW)
+            yield _table(rows, _PART_ARROW)
 
 
 def _cut_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -122,10 +127,10 @@ def _cut_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     for batch in batches:
         rows = []
         for node, key, text, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            rows += [(r["key1"], r["key2"], node, key, r["s1"], r["copies"], text[r["s1"] : r["s2"] + length]) for r in runs]
+            rows += [(r["key1"], r["key2"], node, key, r["at"], r["s1"], r["s2"], r["copies"], r["kinds"],
+                      text[r["s1"] : r["s2"] + length]) for r in runs]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)],
-                                             names=["key1", "key2", "node", "text_key", "s1", "copies", "bytes"])
+            yield _table(rows, _CUT_ARROW)
 
 
 class SuffixOrder:
@@ -143,39 +148,40 @@ class SuffixOrder:
             word = (word << np.uint64(8)) | joined[k : k + n]
         self.levels: list[tuple[int, np.ndarray]] = []
         step, rank = 8, self._dense(word)
-        while step * 2 <= length:
+        while step * 3 <= length:  # triples: ranks of 21 bits fit one word
             self.levels.append((step, rank))
-            rank, step = self._join(rank, step, step), step * 2
+            rank, step = self._join(rank, (step, 2 * step)), step * 3
         self.levels.append((step, rank))
         if step < length:
-            rank = self._join(rank, length - step, step)
-        self.length, self.joined = length, joined
+            rank = self._join(rank, (length - step,) if length <= 2 * step else (step, length - step))
+        self.length, self.joined, self.rank = length, joined, rank
         self.order = np.argsort(rank[self.position], kind="stable")  # suffix order: numbers into position
-        self.class_of = rank[self.position]
 
     @staticmethod
     def _dense(values: np.ndarray) -> np.ndarray:
-        return np.unique(values, return_inverse=True)[1].astype(np.int64)
-
-    def _join(self, rank: np.ndarray, shift: int, _: int) -> np.ndarray:
-        after = np.zeros(len(rank), np.int64)
-        after[: len(rank) - shift] = rank[shift:] + 1
-        return self._dense((rank.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64))
+        return np.unique(values, return_inverse=True)[1].astype(np.uint64)
+
+    def _join(self, rank: np.ndarray, shifts: tuple[int, ...]) -> np.ndarray:
+        """Ranks of longer prefixes: each place's rank, then those at the shifts after it."""
+        bits = np.uint64(max(1, int(len(rank)).bit_length()))
+        assert bits * np.uint64(len(shifts) + 1) <= 64, "a chunk holds at most two million bytes"
+        value = rank
+        for shift in shifts:
+            after = np.zeros(len(rank), np.uint64)
+            after[: max(0, len(rank) - shift)] = rank[shift:]
+            value = (value << bits) | after
+        return self._dense(value)
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix, at most ``length``, of the suffixes at places a and b."""
         out = np.zeros(len(a), np.int64)
-        for step, rank in [*self.levels[::-1], *([self.levels[-1]] if self.length > 2 * self.levels[-1][0] else [])]:
+        for step, rank in [x for level in self.levels[::-1] for x in (level, level)]:
             x, y = np.minimum(a + out, len(rank) - 1), np.minimum(b + out, len(rank) - 1)
             out += np.where((rank[x] == rank[y]) & (out + step <= self.length), step, 0)
         for _ in range(8):
             x, y = np.minimum(a + out, len(self.joined) - 1), np.minimum(b + out, len(self.joined) - 1)
             out += (self.joined[x] == self.joined[y]) & (out < self.length)
-        whole = self.class_at(a) == self.class_at(b)
-        return np.where(whole, self.length, np.minimum(out, self.length - 1))
-
-    def class_at(self, place: np.ndarray) -> np.ndarray:
-        return self.class_of[np.searchsorted(self.position, place)]
+        return np.where(self.rank[a] == self.rank[b], self.length, np.minimum(out, self.length - 1))
 
 
 def _previous_smaller(values: np.ndarray) -> np.ndarray:
@@ -189,8 +195,11 @@ def _previous_smaller(values: np.ndarray) -> np.ndarray:
     return found
 
 
-def longest_previous_factor(order: SuffixOrder, later: bool = False) -> np.ndarray:
-    """For every window start, in text order: the longest match (at most ``length``) that starts earlier, or later."""
+def longest_previous_factor(order: SuffixOrder, later: bool = False, whole: bool = False) -> np.ndarray:
+    """For every window start, in text order: the longest match (at most ``length``) that starts earlier, or later.
+
+    ``whole`` gives 0 for matches shorter than ``length``, whose extent then need not be found.
+    """
     at = order.order
     n = len(at)
     text_order = -at if later else at
@@ -200,7 +209,10 @@ def longest_previous_factor(order: SuffixOrder, later: bool = False) -> np.ndarr
     place = order.position[at]
     for other, real in ((before, before >= 0), (after, after < n)):
         rows = np.flatnonzero(real)
-        best[rows] = np.maximum(best[rows], order.common_prefix(place[rows], place[other[rows]]))
+        mine, theirs = place[rows], place[other[rows]]
+        common = (np.where(order.rank[mine] == order.rank[theirs], order.length, 0) if whole
+                  else order.common_prefix(mine, theirs))
+        best[rows] = np.maximum(best[rows], common)
     out = np.empty(n, np.int64)
     out[at] = best
     return out
@@ -209,9 +221,9 @@ def longest_previous_factor(order: SuffixOrder, later: bool = False) -> np.ndarr
 def repeated_windows(strings: list[bytes], length: int, keep: str) -> list[np.ndarray]:
     """For each string (in document order): the starts of its windows that match elsewhere (or earlier)."""
     order = SuffixOrder(strings, length)
-    factor = longest_previous_factor(order)
+    factor = longest_previous_factor(order, whole=True)
     if keep == "none":
-        factor = np.maximum(factor, longest_previous_factor(order, later=True))
+        factor = np.maximum(factor, longest_previous_factor(order, later=True, whole=True))
     hit = order.position[factor >= length]
     bounds = np.searchsorted(hit, [*order.start.tolist(), 1 << 60])
     return [hit[bounds[k] : bounds[k + 1]] - order.start[k] for k in range(len(strings))]
@@ -224,13 +236,13 @@ def _match(batches: Iterable[pa.RecordBatch], length: int, keep: str) -> Iterato
 
     def covered() -> pa.RecordBatch:
         rows = []
-        runs = sorted(held, key=lambda r: (r[2], r[3], r[4]))
-        for run, starts in zip(runs, repeated_windows([r[6] for r in runs], length, keep)):
-            if (run[5] > 1 and keep == "none") or not len(starts):
+        runs = sorted(held, key=lambda r: (r[2], r[3], r[5]))  # in document order
+        for run, starts in zip(runs, repeated_windows([r[9] for r in runs], length, keep)):
+            if (run[7] > 1 and keep == "none") or not len(starts):
                 continue  # all copies of the run are covered already
             cut = np.flatnonzero(np.diff(starts) > 1) + 1
             for group in np.split(starts, cut):
-                rows.append((run[2], run[3], run[4] + int(group[0]), run[4] + int(group[-1]) + length))
+                rows.append((run[2], run[3], run[5] + int(group[0]), run[5] + int(group[-1]) + length))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)],
                                           names=["node", "text_key", "lo", "hi"])
 
@@ -240,7 +252,7 @@ def _match(batches: Iterable[pa.RecordBatch], length: int, keep: str) -> Iterato
                 yield covered()
                 held, size = [], 0
             held.append(row)
-            size += len(row[6])
+            size += len(row[9])
     if held:
         yield covered()
 
@@ -262,45 +274,60 @@ def covered_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                   keep: str = "none") -> DataFrame:
     """(node, text_key, lo, hi): byte spans to remove; they may overlap."""
     rows = _rows(docs, id_col, text_col)
-    runs = saved(rows.mapInArrow(partial(_runs, length=length), _RUN), "runs")
-    spans = None
-    key = ["key1", "key2"]
-    for width in (44, 6, 1, None):
-        often = runs.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
-        live = saved(runs.join(often, key, "left_semi"), "live_runs")
-        same = live.groupBy(*key, "u1", "u2").agg(
-            F.count(F.lit(1)).alias("copies"), F.min(F.struct("node", "text_key", "s1")).alias("one"))
-        kinds = same.groupBy(*key).agg(F.count(F.lit(1)).alias("kinds"))
-        same = saved(same.join(kinds, key), "run_counts")
-        copied = live.join(same.where("copies > 1").select(*key, "u1", "u2", "one"), [*key, "u1", "u2"])
-        if keep == "first":
-            copied = copied.where(F.struct("node", "text_key", "s1") != F.col("one"))
-        found = copied.select("node", "text_key", F.col("s1").alias("lo"), (F.col("s2") + length).alias("hi"))
-        spans = found if spans is None else spans.unionByName(found)
-        mixed = same.where("kinds > 1")
-        # one copy of every run whose anchor has other runs too
-        several = live.join(mixed.select(*key, "u1", "u2", "one", "copies", "kinds"), [*key, "u1", "u2"]).where(
-            F.struct("node", "text_key", "s1") == F.col("one"))
-        few = several if width is None else several.where(F.col("kinds") <= MOST)
-        cut = saved(_with_text(rows, few, [*key, "s1", "s2", "copies"]).mapInArrow(
-            partial(_cut_out, length=length),
-            "key1 long, key2 long, node long, text_key long, s1 long, copies long, bytes binary"), "run_bytes")
-        tasks = max(1, cut.agg(F.sum(F.length("bytes"))).first()[0] or 0) // (8 * CHUNK) + 1
-        tasks = max(tasks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        found = cut.repartition(tasks, *key).sortWithinPartitions(*key).mapInArrow(
-            partial(_match, length=length, keep=keep), "node long, text_key long, lo long, hi long")
-        spans = spans.unionByName(saved(found, "spans"))
-        if width is None:
-            break
-        many = saved(several.where(F.col("kinds") > MOST).select(*key, "u1", "u2").distinct(), "hot_runs")
-        if many.isEmpty():
+    live, same, spans = _counted(saved(rows.mapInArrow(partial(_runs, length=length), _RUN), "runs"), length, keep)
+    several = _one_of_each(live, same)
+    cut = saved(_with_text(rows, several, [*_KEY, "at", "s1", "s2", "copies", "kinds"]).mapInArrow(
+        partial(_cut_out, length=length), _CUT), "run_bytes")
+    spans = spans.unionByName(_matched(cut, length, keep))
+    for width in (44, 6, 1):
+        hot = cut.where(F.col("kinds") > MOST)
+        if hot.isEmpty():
             break
-        hot = live.join(many, [*key, "u1", "u2"], "left_semi")  # every copy: their parts are counted anew
-        runs = saved(_with_text(rows, hot, [*key, "at", "s1", "s2"]).mapInArrow(
-            partial(_parts, length=length, width=width), _RUN), "run_parts")
+        live, same, found = _counted(saved(hot.mapInArrow(partial(_parts, length=length, width=width), _PART), "run_parts"),
+                                     length, keep)
+        spans = spans.unionByName(found)
+        of_run = hot.select(F.col("key1").alias("run1"), F.col("key2").alias("run2"), "node", "text_key",
+                            F.col("s1").alias("run_s1"), "bytes")
+        start = (F.col("s1") - F.col("run_s1") + 1).cast("int")
+        part = F.substring(F.col("bytes"), start, (F.col("s2") - F.col("s1") + length).cast("int"))
+        cut = saved(_one_of_each(live, same).join(of_run, ["run1", "run2", "node", "text_key", "run_s1"])
+                    .withColumn("bytes", part).select(*_CUT_ARROW.names), "part_bytes")
+        spans = spans.unionByName(_matched(cut, length, keep))
     return spans
 
 
+_KEY = ["key1", "key2"]
+
+
+def _counted(runs: DataFrame, length: int, keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(runs whose key occurs again, counts of their different bytes, spans of the runs that are copies)."""
+    often = saved(runs.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*_KEY), "repeated_keys")
+    live = saved(runs.join(often, _KEY, "left_semi"), "live_runs")
+    same = live.groupBy(*_KEY, "u1", "u2").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("node", "text_key", "s1")).alias("one"))
+    kinds = same.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("kinds"))
+    same = saved(same.join(kinds, _KEY), "run_counts")
+    copied = live.join(same.where("copies > 1").select(*_KEY, "u1", "u2", "one"), [*_KEY, "u1", "u2"])
+    if keep == "first":
+        copied = copied.where(F.struct("node", "text_key", "s1") != F.col("one"))
+    return live, same, copied.select("node", "text_key", F.col("s1").alias("lo"), (F.col("s2") + length).alias("hi"))
+
+
+def _one_of_each(live: DataFrame, same: DataFrame) -> DataFrame:
+    """The first copy of every run whose key has other runs too."""
+    mixed = same.where("kinds > 1").select(*_KEY, "u1", "u2", "one", "copies", "kinds")
+    return live.join(mixed, [*_KEY, "u1", "u2"]).where(F.struct("node", "text_key", "s1") == F.col("one"))
+
+
+def _matched(cut: DataFrame, length: int, keep: str) -> DataFrame:
+    """Spans found by the suffix arrays of the keys with few different runs."""
+    few = cut.where(F.col("kinds") <= MOST)
+    tasks = (few.agg(F.sum(F.length("bytes"))).first()[0] or 0) // (8 * CHUNK) + 1
+    tasks = max(tasks, int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return saved(few.repartition(tasks, *_KEY).sortWithinPartitions(*_KEY).mapInArrow(
+        partial(_match, length=length, keep=keep), "node long, text_key long, lo long, hi long"), "spans")
+
+
 def _merged(spans: list) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for lo, hi in sorted((s["lo"], s["hi"]) for s in spans):
