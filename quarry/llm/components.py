@@ -1,9 +1,9 @@
 """Connected components of a link table by union-find and star contraction.
 
-Each task first joins the links it holds by union-find and passes on one link
-per node to its root.  Then large-star and small-star steps (every node's
-neighbours are tied to the smallest one) alternate until nothing changes, with
-union-find again inside the tasks between them.  A hub is never collected: the
+Each task joins about ``TASK_LINKS`` links by union-find and passes on one link
+per node to its root.  Then a large-star and a small-star step tie every node's
+neighbours to the smallest one, and so on in turn until nothing changes or the
+links left fit one task.  A hub is never collected: the
 smallest neighbour is an aggregate, and the tie is a join that the engine may
 split.  Lineage is cut by a written table after every round.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import saved
 
+TASK_LINKS = 20_000  # links that a task joins by union-find at once
 _SCHEMA = pa.schema([("hi", pa.int64()), ("lo", pa.int64())])
 
 
@@ -76,12 +77,17 @@ def _mark(links: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of links (a, b)."""
     a, b = links.columns[:2]
-    now = saved(_local(links.where(F.col(a) != F.col(b))
-                       .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))), "links")
+    now = saved(links.where(F.col(a) != F.col(b))
+                .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "links")
     mark = _mark(now)
     while mark[0]:
-        after = saved(_local(_small_star(_large_star(now))), "links")
-        now, (before, mark) = after, (mark, _mark(after))
+        tasks = -(-mark[0] // TASK_LINKS)
+        joined = saved(_local(now.coalesce(tasks)), "links")
+        if tasks == 1:  # one task held all links, so its forest is final
+            now = joined
+            break
+        now = saved(_small_star(_large_star(joined)), "links")
+        before, mark = mark, _mark(now)
         if mark == before:
             break
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
