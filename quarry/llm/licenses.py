@@ -65,8 +65,9 @@ def terms(text: str) -> str:
 
 def _templates(spark) -> DataFrame:
     """(template, license, term, tf), one row per template and term."""
-    rows = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(TEMPLATES)],
-                                 "template int, license string, text string")
+    rows = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(text).alias("text"))
+        for i, (name, text) in enumerate(TEMPLATES)])))
     return (rows.select("template", "license", F.explode(F.expr(terms("text"))).alias("term"))
             .groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -80,6 +81,10 @@ def _vocabulary() -> list[str]:
     return sorted(w for w in words if w)
 
 
+def _sql_array(words: list[str]) -> str:
+    return "array(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
 def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     """(path, row_key, license, similarity) of every unit that reaches the threshold.
 
@@ -89,12 +94,11 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     vocabulary = F.array(*[F.lit(t) for t in _vocabulary()])
     templates = _templates(spark)
     held = files.select(F.explode(F.array_intersect(F.expr(terms("coalesce(text, '')")), vocabulary)).alias("term"))
-    n_files = files.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n"))  # one row
+    n_files = F.lit(float(max(1, files.count())))
     idf = saved(
         templates.select("term").distinct().join(held.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term", "left")
-        .join(F.broadcast(n_files))
-        .select("term", (F.log((F.col("n") + 1) / (F.greatest(F.coalesce("df", F.lit(1)), F.lit(1)) + 1)) + 1).alias("idf"),
-                (F.log((F.col("n") + 1) / F.lit(2.0)) + 1).alias("top")), "idf")  # one row per template term
+        .select("term", (F.log((n_files + 1) / (F.greatest(F.coalesce("df", F.lit(1)), F.lit(1)) + 1)) + 1).alias("idf"),
+                (F.log((n_files + 1) / 2) + 1).alias("top")), "idf")  # one row per template term
     weights = templates.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("template_norm"))
     weights = saved(weights.join(F.broadcast(norms), "template"), "template_weights")
@@ -103,15 +107,14 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     scanned = F.when(name.rlike(FILE_NAME), F.concat(lines, F.array(F.coalesce("text", F.lit(""))))).otherwise(lines)
     least = threshold * threshold / (1 - threshold * threshold)
+    # a unit's terms are made once: array(x) binds them, and inline keeps later filters off the expression
+    counted = f"""transform(array({terms('line')}), t -> transform(array(array_intersect(t, {_sql_array(_vocabulary())})), m ->
+        struct(size(t) AS size, transform(m, x -> struct(x AS term, size(t) - size(array_remove(t, x)) AS n)) AS tf))[0])"""
     units = (files.select("path", "row_key", F.posexplode(scanned).alias("unit", "line"))
-             .withColumn("terms", F.expr(terms("line")))
-             .withColumn("mine", F.array_intersect("terms", vocabulary)).where(F.size("mine") >= 2)
-             .withColumn("tf", F.expr("transform(mine, m -> struct(m AS term, size(terms) - size(array_remove(terms, m)) AS n))"))
-             .withColumn("matched", F.expr("aggregate(tf, 0, (a, t) -> a + t.n)"))
-             .withColumn("squares", F.expr("aggregate(tf, 0L, (a, t) -> a + t.n * t.n)"))
-             .withColumn("others", F.size("terms") - F.col("matched"))
+             .select("path", "row_key", "unit", F.inline(F.expr(f"filter({counted}, u -> size(u.tf) >= 2)")))
+             .withColumn("others", F.col("size") - F.expr("aggregate(tf, 0, (a, t) -> a + t.n)"))
              # the cosine is at most sqrt(squares / (squares + others)): all idf at the top weight
-             .where(F.col("squares") >= least * F.col("others"))
+             .where(F.expr("aggregate(tf, 0L, (a, t) -> a + t.n * t.n)") >= least * F.col("others"))
              .dropDuplicates(["path", "row_key", "unit"]))
     vectors = (units.select("path", "row_key", "unit", "others", F.inline("tf"))
                .join(F.broadcast(idf), "term")
