@@ -68,6 +68,15 @@ def test_near_dedup_keeps_one_of_each_group(spark, sf_small):
     assert [r.doc_id for r in out.collect()] == [2]
 
 
+def test_near_dedup_keeps_unlike_documents_without_ids(spark, sf_small):
+    bodies = [" ".join(f"{c}{k}" for k in range(60)) for c in "uvwxyz"]
+    rows = [(None, t, "en", "s", 5, 1) for t in [*bodies, bodies[0], bodies[1].upper(), None, "", " \n"]]
+    rows.append((4, bodies[2], "en", "s", 5, 1))
+    out = stages.minhash_near_dedup(spark, spark.createDataFrame(rows, SHAPE), sf_small).collect()
+    assert sorted((r.text or "").lower().strip() for r in out) == ["", "", *sorted(bodies)]
+    assert [r.doc_id for r in out if r.text == bodies[2]] == [4]
+
+
 def test_stage_texts_and_lengths_agree(spark, sf_small):
     out = stages.substring_dedup(spark, spark.read.parquet(f"{sf_small}/documents.parquet"), sf_small)
     assert out.where(F.col("n_chars") != F.length("text")).count() == 0
