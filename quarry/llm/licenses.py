@@ -1,19 +1,21 @@
 """License scan: TF-IDF cosine to notice templates, then inheritance along directories (DataFrame functions only).
 
-Every file is scanned line by line for headers, and a licence file (by its name)
-also as a whole.  A unit's sparse TF-IDF vector is compared by cosine with the
-templates'; the best template at or above ``threshold`` is the unit's licence,
-the best unit's is the file's own.  Files without their own licence inherit it
-from the nearest ancestor directory that holds a licence file, found by joining
-the directories' ancestor paths.
-
-The document frequencies behind the weights cover all files.  They are needed
-for the templates' terms only; any other term weighs as one that a single file
-holds, and enters the cosine through the unit's norm alone.  So no word list of
-the corpus is shuffled: a file sends one row per template term it holds, summed
-before the shuffle.  A unit whose other words outweigh any match (a bound by
-term counts) is dropped before its terms are looked up.  Directories, not files,
-are joined with their ancestors; the templates' tables are a few hundred rows.
+A file's units are all stretches of 1 to ``WINDOW`` lines (a notice may be
+wrapped), its longer paragraphs (lines between lines without a term), and for a
+licence file (by its name) the whole text.  A unit's sparse TF-IDF vector is
+compared by cosine with the templates'; the best template at or above
+``threshold`` is the unit's licence, the best unit's is the file's own.  Files
+without their own licence inherit it from the nearest ancestor directory that
+holds a licence file, found by joining the directories' ancestor paths.
+
+The document frequencies behind the weights cover all files.  Those of the
+templates' terms come first.  A cosine is at most the root of the share of the
+template's squared weight that lies on shared terms, so files, and then units,
+whose terms cover too little of every template are dropped: this loses nothing.
+The other terms of the units that are left get their frequencies from a second
+pass over the files, semi-joined with these terms and summed before the shuffle.
+Directories, not files, are joined with their ancestors; the templates' tables
+are a few hundred rows.
 
 Defined cases: null or empty text has no licence of its own; a null path counts
 as a file in the root; repeated rows are scanned each; equal scores go to the
@@ -53,7 +55,31 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+            "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+            "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+            "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+            "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+            "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                     "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+                     "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+                     "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                     "documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright "
+                     "holder nor the names of its contributors may be used to endorse or promote products derived from this "
+                     "software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+                     "CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+                     "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+                     "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+                     "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+                     "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+                     "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+                     "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
 )
+WINDOW = 10  # lines that a wrapped notice may take
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 _BREAK = r"[^\p{L}0-9.]+"
 
@@ -85,43 +111,81 @@ def _sql_array(words: list[str]) -> str:
     return "array(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
+def _idf(df: Column, n_files: Column) -> Column:
+    return F.log((n_files + 1) / (F.greatest(F.coalesce(df, F.lit(1)), F.lit(1)) + 1)) + 1
+
+
+def _reached(held: str, squares: list[tuple[dict, float]]) -> Column:
+    """Whether the terms ``held`` (an array column) can reach the threshold with a template.
+
+    A cosine is at most the root of the share of the template's squared weight
+    that lies on shared terms.
+    """
+    weighed = [f"aggregate({held}, 0D, (a, t) -> a + coalesce(element_at(map({', '.join(f'{chr(39)}{t}{chr(39)}, {w!r}D' for t, w in of.items())}), t), 0D)) >= {least!r}D"
+               for of, least in squares]
+    return F.expr("(" + " OR ".join(weighed) + ")")
+
+
 def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     """(path, row_key, license, similarity) of every unit that reaches the threshold.
 
     ``files`` has path, row_key and text.
     """
     spark = files.sparkSession
-    vocabulary = F.array(*[F.lit(t) for t in _vocabulary()])
+    words = _sql_array(_vocabulary())
     templates = _templates(spark)
-    held = files.select(F.explode(F.array_intersect(F.expr(terms("coalesce(text, '')")), vocabulary)).alias("term"))
+    held = files.select("path", "row_key", "text", F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})").alias("held"))
     n_files = F.lit(float(max(1, files.count())))
     idf = saved(
-        templates.select("term").distinct().join(held.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term", "left")
-        .select("term", (F.log((n_files + 1) / (F.greatest(F.coalesce("df", F.lit(1)), F.lit(1)) + 1)) + 1).alias("idf"),
-                (F.log((n_files + 1) / 2) + 1).alias("top")), "idf")  # one row per template term
+        templates.select("term").distinct().join(
+            held.select(F.explode("held").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term", "left")
+        .select("term", _idf(F.col("df"), n_files).alias("idf")), "idf")  # one row per template term
     weights = templates.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("template_norm"))
     weights = saved(weights.join(F.broadcast(norms), "template"), "template_weights")
+    of_template: dict[int, dict] = {}
+    for r in weights.select("template", "term", "w").collect():  # a few hundred rows
+        of_template.setdefault(r.template, {})[r.term] = r.w * r.w
+    squares = [(of, (threshold * threshold - 1e-6) * sum(of.values())) for of in of_template.values()]
 
+    # the text's terms are made once: array(x) binds them, and inline keeps later filters off the expression
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    scanned = F.when(name.rlike(FILE_NAME), F.concat(lines, F.array(F.coalesce("text", F.lit(""))))).otherwise(lines)
-    least = threshold * threshold / (1 - threshold * threshold)
-    # a unit's terms are made once: array(x) binds them, and inline keeps later filters off the expression
-    counted = f"""transform(array({terms('line')}), t -> transform(array(array_intersect(t, {_sql_array(_vocabulary())})), m ->
-        struct(size(t) AS size, transform(m, x -> struct(x AS term, size(t) - size(array_remove(t, x)) AS n)) AS tf))[0])"""
-    units = (files.select("path", "row_key", F.posexplode(scanned).alias("unit", "line"))
-             .select("path", "row_key", "unit", F.inline(F.expr(f"filter({counted}, u -> size(u.tf) >= 2)")))
-             .withColumn("others", F.col("size") - F.expr("aggregate(tf, 0, (a, t) -> a + t.n)"))
-             # the cosine is at most sqrt(squares / (squares + others)): all idf at the top weight
-             .where(F.expr("aggregate(tf, 0L, (a, t) -> a + t.n * t.n)") >= least * F.col("others"))
-             .dropDuplicates(["path", "row_key", "unit"]))
-    vectors = (units.select("path", "row_key", "unit", "others", F.inline("tf"))
-               .join(F.broadcast(idf), "term")
-               .withColumn("w", F.col("n") * F.col("idf")))
-    unit = ["path", "row_key", "unit"]
-    lengths = vectors.groupBy(*unit).agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w")) + F.max(F.col("others") * F.col("top") * F.col("top"))).alias("norm"))
+    possible = saved(held.where(_reached("held", squares)).select("path", "row_key", "text"), "license_files").dropDuplicates(
+        ["path", "row_key", "text"])
+    lines = possible.select(
+        "path", "row_key", name.rlike(FILE_NAME).alias("is_license"),
+        F.expr(f"transform(split(coalesce(text, ''), '\n'), line -> {terms('line')})").alias("lines"))
+    lines = lines.withColumn("own", F.expr(f"transform(lines, t -> array_intersect(t, {words}))"))
+    n = "size(lines)"
+    # the stretches of a file: 1 to WINDOW lines that begin and end with template terms, paragraphs, a licence file as a whole;
+    # rows carry slices, not the file
+    starts = f"""transform(filter(sequence(1, {n}), i -> size(own[i - 1]) > 0), i ->
+        struct(i AS at, slice(lines, i, {WINDOW}) AS lines, slice(own, i, {WINDOW}) AS own))"""
+    windows = (lines.select("path", "row_key", F.inline(F.expr(starts)))
+               .where(_reached("array_distinct(flatten(own))", squares))
+               .select("*", F.explode(F.expr(f"filter(sequence(1, {n}), j -> size(own[j - 1]) > 0)")).alias("length"))
+               .withColumns({c: F.expr(f"slice({c}, 1, length)") for c in ("lines", "own")}))
+    gaps = f"concat(array(0), filter(sequence(1, {n}), i -> size(lines[i - 1]) = 0), array({n} + 1))"
+    parts = f"""transform(filter(sequence(0, size(gaps) - 2), k -> gaps[k + 1] - gaps[k] - 1 > {WINDOW}), k -> struct(gaps[k] + 1 AS at,
+        gaps[k + 1] - gaps[k] - 1 AS length, slice(lines, gaps[k] + 1, gaps[k + 1] - gaps[k] - 1) AS lines,
+        slice(own, gaps[k] + 1, gaps[k + 1] - gaps[k] - 1) AS own))"""
+    paragraphs = lines.withColumn("gaps", F.expr(gaps)).select("path", "row_key", F.inline(F.expr(parts)))
+    whole = lines.where("is_license").select("path", "row_key", F.lit(1).alias("at"), F.expr(n).alias("length"), "lines", "own")
+    units = (windows.unionByName(paragraphs).unionByName(whole)
+             .withColumn("held", F.expr("array_distinct(flatten(own))")).where((F.size("held") >= 2) & _reached("held", squares))
+             .select("path", "row_key", "at", "length", F.expr("flatten(lines)").alias("terms"))
+             .dropDuplicates(["path", "row_key", "at", "length"]))
+    unit = ["path", "row_key", "at", "length"]
+    counted = saved(units.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("n")),
+                    "license_units")
+
+    # the document frequencies of the units' other terms, over all files; partial sums before the shuffle
+    other = counted.select("term").distinct().join(F.broadcast(idf), "term", "left_anti")
+    everywhere = files.select(F.explode(F.expr(f"array_distinct({terms("coalesce(text, '')")})")).alias("term"))
+    others = (everywhere.join(other, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+              .select("term", _idf(F.col("df"), n_files).alias("idf")))
+    vectors = counted.join(saved(others.unionByName(idf), "unit_idf"), "term").withColumn("w", F.col("n") * F.col("idf"))
+    lengths = vectors.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     products = (vectors.select(*unit, "term", F.col("w").alias("own"))
                 .join(F.broadcast(weights.select("term", "template", "license", "w", "template_norm")), "term")
                 .groupBy(*unit, "template", "license").agg(F.sum(F.col("own") * F.col("w") / F.col("template_norm")).alias("dot")))

@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 from quarry.llm import licenses
@@ -89,3 +90,37 @@ def test_repeated_null_and_empty(spark):
     got = licenses.scan(spark.createDataFrame(rows, shape)).collect()
     assert sorted(str(r.license) for r in got) == ["MIT", "MIT", "MIT", "None"]
     assert licenses.scan(spark.createDataFrame([], shape)).count() == 0
+
+
+def test_wrapped_headers_and_full_texts(spark):
+    def wrapped(text, mark, width=72):
+        return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+    gpl, bsd, mit = licenses.TEMPLATES[6][1], licenses.TEMPLATES[10][1], licenses.TEMPLATES[17][1]
+    files = [("a/g.c", 1, "int x;\n/*\n * Copyright 2020 Someone\n" + wrapped(gpl, " * ") + "\n */\nint main;"),
+             ("b/b.py", 2, "#!/usr/bin/python\n" + wrapped(bsd, "# ") + "\n# 1. Redistributions keep the notice\nimport os"),
+             ("c/narrow.sh", 3, "echo\n" + wrapped(gpl, "# ", 36)),
+             ("d/LICENSE", 4, "The MIT License\n\nCopyright (c) 2020 Someone\n\n" + wrapped(mit, "")), ("d/e/f.c", 5, "int main"),
+             ("h/gap.c", 6, "// Licensed under the\n//\n// MIT License.")]
+    files += [(f"src/m{k}/f.c", 100 + k, "plain words of the text number " + str(k)) for k in range(40)]
+    rows = licenses.scan(spark.createDataFrame(files, "path string, row_key long, text string")).collect()
+    got = {r.row_key: (r.license, r.found) for r in rows if r.license}
+    assert got == {1: ("GPL-3.0", "own"), 2: ("BSD-3-Clause", "own"), 3: ("GPL-3.0", "own"), 4: ("MIT", "own"),
+                   5: ("MIT", "inherited"), 6: ("MIT", "own")}
+
+
+def test_common_words_weigh_by_their_own_frequency(spark):
+    """The cosine of a line whose other words are in every file, by the frequencies of all terms."""
+    line = "All code of our team project is licensed under the MIT License."
+    files = [("a.c", 0, line)] + [(f"{k}.c", k, "all code of our team project is") for k in range(1, 400)]
+    n = len(files)
+    df = Counter(t for _, _, x in files for t in set(terms(x)))
+    idf = lambda t: math.log((n + 1) / (max(1, df[t]) + 1)) + 1
+    unit = {t: c * idf(t) for t, c in Counter(terms(line)).items()}
+    best = 0
+    for _, x in licenses.TEMPLATES:
+        w = {t: c * idf(t) for t, c in Counter(terms(x)).items()}
+        lengths = math.sqrt(sum(v * v for v in w.values()) * sum(v * v for v in unit.values()))
+        best = max(best, sum(v * w.get(t, 0) for t, v in unit.items()) / lengths)
+    (row,) = licenses.scan(spark.createDataFrame(files, "path string, row_key long, text string")).where("row_key = 0").collect()
+    assert best > 0.75 and row.license == "MIT" and abs(row.similarity - best) < 1e-6
