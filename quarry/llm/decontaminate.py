@@ -18,7 +18,10 @@ for items of which the text holds a shingle, around those places.
 A shingle's weight is ``1 + ln(items / items that hold it)``; the weights depend
 on the benchmark alone.  The benchmark is the query set: it is broadcast to the
 tasks, and ``MOST_ITEMS`` bounds one round's share of it.  A larger one is
-searched in several rounds over the documents, so no item is left out.
+searched in several rounds over the documents, so no item is left out; the
+shingles are then counted once over the whole benchmark, and every round gets
+the counts of those that several items hold (any other has the top weight), so
+the result does not depend on the number of rounds.
 
 Defined cases: null or empty texts and items match nothing; items with fewer
 than 5 words are one shingle of all their words; repeated rows are reported each;
@@ -63,18 +66,22 @@ def fingerprint(sums: np.ndarray) -> np.ndarray:
 class Index:
     """Items by size with weights, fingerprints and the multi-index of their blocks."""
 
-    def __init__(self, items: list[tuple], size: int, known: WordHashes):
+    def __init__(self, items: list[tuple], size: int, known: WordHashes, shared: tuple | None = None):
+        """``shared``: (items of the whole benchmark, its shingles that several items hold, their counts); None: all are here."""
         self.size = size
         texts = [(item_id, known.of((text or "").encode("utf-8", "surrogatepass").lower().split())) for item_id, text in items]
         texts = [(i, w) for i, w in texts if len(w)]
         self.ids = [i for i, _ in texts]
         self.words = [len(w) for _, w in texts]
         runs = [shingle_hashes(w, min(size, len(w))) for _, w in texts]
-        held = Counter(s for r in runs for s in set(r.tolist()))
-        self.top = 1 + math.log(max(1, len(texts)))  # of a shingle that at most one item holds
-        self.weight = {s: 1 + math.log(len(texts) / n) for s, n in held.items()}
+        if shared is None:
+            n_all, held = len(texts), Counter(s for r in runs for s in set(r.tolist()))
+        else:
+            n_all, held = shared[0], dict(zip(shared[1].tolist(), shared[2].tolist()))
+        self.top = 1 + math.log(max(1, n_all))  # of a shingle that at most one item holds
+        self.weight = {s: 1 + math.log(n_all / n) for s, n in held.items()}
         self.bags = [Counter(r.tolist()) for r in runs]
-        self.total = [sum(n * self.weight[s] for s, n in bag.items()) for bag in self.bags]
+        self.total = [sum(n * self.weight.get(s, self.top) for s, n in bag.items()) for bag in self.bags]
         self.where = defaultdict(list)  # (shingle length, shingle) -> items
         for k, r in enumerate(runs):
             for s in set(r.tolist()):
@@ -162,9 +169,31 @@ def matches(words: np.ndarray, index: Index, threshold: float) -> Iterator[tuple
             yield from ((k, s, at_word) for k, (s, at_word) in best.items())
 
 
-def _search(batches: Iterable[pa.RecordBatch], items: list[tuple], size: int, threshold: float) -> Iterator[pa.RecordBatch]:
+def _item_shingles(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The distinct shingles of every item, and a null for every item with a word."""
     known = WordHashes()
-    index = Index(items, size, known)
+    for batch in small_batches(batches, "text"):
+        for text in utf8(batch.column(0)):
+            words = known.of(text.lower().split())
+            if len(words):
+                own = np.unique(shingle_hashes(words, min(size, len(words)))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([None, *own.tolist()], pa.int64())], names=["shingle"])
+
+
+def _shared(items: DataFrame, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(items with a word, shingles that several items hold, their counts) of the whole benchmark."""
+    counts = (items.select("text").mapInArrow(partial(_item_shingles, size=size), "shingle long")
+              .groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("shingle IS NULL OR n > 1").collect())
+    total = next((r.n for r in counts if r.shingle is None), 0)
+    several = [(r.shingle, r.n) for r in counts if r.shingle is not None]
+    keys, n = (np.array([x[i] for x in several], np.int64) for i in (0, 1))
+    return total, keys.view(np.uint64), n
+
+
+def _search(batches: Iterable[pa.RecordBatch], items: list[tuple], size: int, threshold: float,
+            shared: tuple | None = None) -> Iterator[pa.RecordBatch]:
+    known = WordHashes()
+    index = Index(items, size, known, shared)
     for batch in small_batches(batches, "text"):
         rows = []
         for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), utf8(batch.column(1))):
@@ -185,10 +214,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                         F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_key"))
     chosen = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
     rounds = max(1, -(-chosen.count() // MOST_ITEMS))
+    shared = None if rounds == 1 else _shared(chosen, size)  # one table of weights for all rounds
     found = None
     for k in range(rounds):
         part = chosen if rounds == 1 else chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k)
         items = [(r[0], r[1]) for r in part.collect()]  # the query set, MOST_ITEMS on average
-        hits = plain.mapInArrow(partial(_search, items=items, size=size, threshold=threshold), _HITS)
+        hits = plain.mapInArrow(partial(_search, items=items, size=size, threshold=threshold, shared=shared), _HITS)
         found = hits if found is None else found.unionByName(hits)
     return found

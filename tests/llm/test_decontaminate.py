@@ -55,6 +55,16 @@ def test_several_rounds_and_empty_tables(spark, planted, monkeypatch):
     assert found(spark, [], items) == {} and found(spark, docs[:3], []) == {}
 
 
+def test_rounds_do_not_change_similarities(spark, planted, monkeypatch):
+    docs, items = planted
+    common = " one two three four five six seven eight nine ten"
+    items = [(k, t + common * (k % 2)) for k, t in items[:12]]
+    docs = [(k, t + common * (k % 3 > 0)) for k, t in docs[:40]] + [(200 + k, " ".join(t.split()[1:])) for k, t in items]
+    whole = found(spark, docs, items)
+    monkeypatch.setattr(decontaminate, "MOST_ITEMS", 4)
+    assert len(whole) > 12 and found(spark, docs, items) == whole
+
+
 def test_blocks_find_everything_within_the_radius():
     rng = np.random.default_rng(0)
     index = decontaminate.Index([(0, " ".join(f"w{k}" for k in range(30)))], 5, WordHashes())
