@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from quarry.llm import decontaminate
-from quarry.llm.common import WordHashes
+from quarry.llm.common import WordHashes, shingle_hashes
 from quarry.llm.queries import op7_decontamination
 
 from . import brute
@@ -74,3 +74,16 @@ def test_blocks_find_everything_within_the_radius():
             bits = own.copy()
             bits[rng.choice(256, distance, replace=False)] ^= 1
             assert index.blocks[np.arange(32), np.packbits(bits)].any()
+
+
+def test_uneven_weights_are_found():
+    """Items of 150 common shingles and 5 own ones, two of them changed: similarity 0.846."""
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        words = [f"w{x}" for x in rng.integers(0, 1 << 60, 159)]
+        known = WordHashes()
+        common = shingle_hashes(known.of([w.encode() for w in words]), 5)[:150]
+        index = decontaminate.Index([(0, " ".join(words))], 5, known, (1000, common, np.full(150, 1000)))
+        changed = known.of([w.encode() for w in [*words[:-2], "other", "words"]])
+        ((_, similarity, _),) = decontaminate.matches(changed, index, 0.8)
+        assert abs(similarity - 0.846) < 1e-3
