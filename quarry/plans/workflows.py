@@ -62,32 +62,36 @@ def scale_for(kind: str) -> bool:
     return False
 
 
+TUNING_ROWS = 20_000  # labelled rows, on average, that a search is tuned on
+
+
+def grid_search(spark: SparkSession, train: DataFrame, kind: str, rows: int = TUNING_ROWS, folds: int = 5,
+                parallelism: int = 8, scale: bool = False):
+    """The whole original grid with 5 folds, tuned on a hash sample of about ``rows``
+    training rows (as the original tuned on a sample).  Returns (cv model, named maps)."""
+    n = train.count()
+    sample = freeze(sp.hash_sample(train, "row_key", min(1.0, rows / max(1, n)), seed=42), "particle_tuning")
+    return tn.cross_validate(sample, kind, PARTICLE_FEATURES, folds=folds, parallelism=parallelism, scale=scale,
+                             grid=tn.original_grid(kind, len(PARTICLE_FEATURES)))
+
+
 def cv(spark: SparkSession, sf_dir: str, kind: str, scale: bool | None = None):
+    """The original grid search; the split is frozen to Parquet before it."""
     scale = scale_for(kind) if scale is None else scale
 
     def run():
         train, _ = particle_split(spark, sf_dir)
-        return tn.cross_validate(train, kind, PARTICLE_FEATURES, folds=3, scale=scale)
+        return grid_search(spark, freeze(train, "particle_train"), kind, scale=scale)
     return _memo(spark, sf_dir, f"cv:{kind}:{scale}", run)
 
 
-TUNING_ROWS = 20_000  # labelled rows, on average, that a full search is tuned on
-
-
 def full_search(spark: SparkSession, sf_dir: str, kind: str, rows: int = TUNING_ROWS, folds: int = 5,
                 parallelism: int = 8) -> tuple[DataFrame, object]:
-    """The whole original grid with 5 folds, tuned on a hash sample of about ``rows``
-    training rows (as the original tuned on a sample); then the best map is fitted on
-    all training rows.  Returns (one row per map, fitted model).
-
-    The split is frozen to Parquet before the search.
-    """
+    """``grid_search``, then the best map fitted on all training rows.  Returns
+    (one row per map, fitted model)."""
     train, _ = particle_split(spark, sf_dir)
     train = freeze(train, "particle_train")
-    n = train.count()
-    sample = freeze(sp.hash_sample(train, "row_key", min(1.0, rows / max(1, n)), seed=42), "particle_tuning")
-    model, named = tn.cross_validate(sample, kind, PARTICLE_FEATURES, folds=folds, parallelism=parallelism,
-                                     grid=tn.original_grid(kind, len(PARTICLE_FEATURES)))
+    model, named = grid_search(spark, train, kind, rows, folds, parallelism)
     best = tn.refit(train, kind, PARTICLE_FEATURES, tn.best_params(model, named))
     return tn.cv_results(spark, kind, model, named), best
 

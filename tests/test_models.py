@@ -108,3 +108,22 @@ def test_claims_models_beat_the_constant(spark, sf_small):
     assert row.model < row.constant and row.spread > 0
     tree = wf.tree_table(spark, sf_small).first()
     assert 0.5 < tree.auc_score < 0.999
+
+
+def test_registered_searches_run_the_original_grids(spark, sf_small, monkeypatch):
+    from types import SimpleNamespace
+
+    from quarry.plans.registry import QUERIES
+
+    asked = {}
+
+    def recorded(train, kind, features, grid=None, folds=3, **_):
+        _, clf = tn.build_pipeline(kind, features)
+        maps = tn.param_maps(clf, grid or tn.default_grid(kind, len(features)))
+        asked[kind] = (len(maps), folds)
+        return SimpleNamespace(avgMetrics=[0.5] * len(maps)), [{p.name: v for p, v in m.items()} for m in maps]
+
+    monkeypatch.setattr(tn, "cross_validate", recorded)
+    monkeypatch.setattr(wf, "_MEMO", {})
+    assert [QUERIES[f"{k}_cv"](spark, sf_small).count() for k in wf.MODELS] == [243, 81, 486]
+    assert asked == {"rf": (243, 5), "gbt": (81, 5), "mlp": (486, 5)}
