@@ -33,6 +33,8 @@ FROM (SELECT *, SUM(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM r
 WHERE run_words >= 20
 """
 
+ORACLE["op6_all_repeats"] = ORACLE["op6_substring_dedup"].replace("WHERE run_words >= 20", "")
+
 _SHOW = "'<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)"
 
 

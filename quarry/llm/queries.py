@@ -67,7 +67,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = substring.repeated_spans(_table(spark, sf_dir, "documents"))
+    """Repeated lines in runs of 20 words or more."""
+    return _line_spans(substring.repeated_spans(_table(spark, sf_dir, "documents")))
+
+
+def op6_all_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All repeated lines, however short."""
+    return _line_spans(substring.repeated_spans(_table(spark, sf_dir, "documents"), min_words=1))
+
+
+def _line_spans(spans: DataFrame) -> DataFrame:
     return spans.select(
         substring.doc_id_of("node").alias("doc_id"), F.col("unit").cast("long"), F.col("start").cast("long"),
         F.col("length").cast("long"), F.col("words").cast("long").alias("n_words"),
@@ -101,5 +110,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
-    op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
+    op6_all_repeats, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
 

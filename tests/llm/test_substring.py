@@ -1,7 +1,7 @@
 import random
 
 from quarry.llm import substring
-from quarry.llm.queries import op6_substring_dedup
+from quarry.llm.queries import op6_all_repeats, op6_substring_dedup
 
 from . import brute
 
@@ -36,6 +36,16 @@ def test_offsets_of_the_whole_table(spark, sf_small):
     assert {i: sorted(s) for i, s in got.items()} == brute.repeated_lines(docs, 20)
 
 
+def test_all_repeats_of_the_whole_table(spark, sf_small):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
+    got = {}
+    for r in op6_all_repeats(spark, sf_small).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.length))
+    want = brute.repeated_lines(docs, 1)
+    assert {i: sorted(s) for i, s in got.items()} == want
+    assert sum(map(len, want.values())) > sum(map(len, brute.repeated_lines(docs, 20).values()))
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(3, text), (3, text), (None, text), (4, text + "\nown words here"), (5, None)]
