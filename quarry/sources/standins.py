@@ -182,7 +182,8 @@ def particle_wide(lineitem: DataFrame) -> DataFrame:
 
 
 _WRITTEN: dict = {}
-_WRITE_LOCK = threading.Lock()
+_WRITE_LOCKS: dict = {}
+_WRITE_GUARD = threading.Lock()
 
 
 def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by: str | None = None,
@@ -201,7 +202,9 @@ def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by:
 
     folder = sf_dir.rstrip("/")
     key = (spark.sparkContext.applicationId, checkpoint_dir(spark), folder, name)
-    with _WRITE_LOCK:  # one writer per table, also when callers run in threads
+    with _WRITE_GUARD:
+        lock = _WRITE_LOCKS.setdefault(key, threading.Lock())
+    with lock:  # one writer per table, also when callers run in threads; a build may load other tables
         if key not in _WRITTEN:
             tag = f"{folder.rsplit('/', 1)[-1].replace('.', '_')}_{hashlib.sha1(folder.encode()).hexdigest()[:12]}"
             path = scratch_path(spark, f"{name}_{tag}_{uuid.uuid4().hex[:8]}")
@@ -216,11 +219,12 @@ def _materialized(spark: SparkSession, sf_dir: str, name: str, build, order_by:
 def load_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The access-log stand-in as a text source, like the original input.
 
-    Written once per session as a text table and scanned with ``read.text``
+    Written once per session as gzip text files and scanned with ``read.text``
     (S1): parsing then works on a plain column, as on a real log.
     """
     path = _materialized(spark, sf_dir, "access_log",
-                         lambda: access_log(load_table(spark, sf_dir, "events")), fmt="text")
+                         lambda: access_log(load_table(spark, sf_dir, "events")),
+                         write=lambda df, to: df.write.option("compression", "gzip").text(to))
     return read_access_log(spark, path)
 
 
