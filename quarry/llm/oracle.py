@@ -151,3 +151,89 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept, lang AS stratum
 FROM counts
 """
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_FLAGS = r"""
+  CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+       WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE 'sound' END"""
+
+# The cheapest edits row by row: per conversation and state the least (cost, audit), with the
+# lines kept so far; edits of one row are tried with 0 to 3 inserted turns before it.
+ORACLE["op12_conversation_repair"] = f"""
+WITH RECURSIVE
+tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {_CRC_STEP})) AS t),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+),
+drawn AS (
+  SELECT keyed.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS draw
+  FROM keyed, tab
+),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN draw = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM drawn WHERE draw <> 0
+),
+placed AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         ROW_NUMBER() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM hurt
+),
+faulty AS (
+  SELECT *, {_FLAGS} AS fault, left(role, 1) AS c,
+         LAG(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS p
+  FROM placed
+),
+counts AS (
+  SELECT conv_id, coalesce(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE fault = 'blank') AS blank, COUNT(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         COUNT(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         COUNT(*) FILTER (WHERE i > 1 AND p || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+),
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM counts
+  UNION ALL
+  SELECT conv_id, i, s, cost, audit, lines FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id, s ORDER BY cost, audit) AS best FROM (
+      WITH padded AS (
+        SELECT conv_id, i, s, cost, audit, lines FROM ways
+        UNION ALL
+        SELECT conv_id, i, CASE WHEN s = 2 THEN 3 ELSE 2 END, cost + 2, audit || 'I',
+               list_append(lines, CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END) FROM ways
+        UNION ALL
+        SELECT conv_id, i, CASE WHEN s = 2 THEN 2 ELSE 3 END, cost + 4, audit || 'II',
+               list_concat(lines, CASE WHEN s = 2 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END) FROM ways
+      ),
+      todo AS (
+        SELECT w.conv_id, w.i + 1 AS i, w.s, w.cost, w.audit, w.lines, r.role, r.text, r.c,
+               r.fault IN ('blank', 'duplicate') AS dead, CASE WHEN r.fault = 'truncated' THEN 1 ELSE 0 END AS extra
+        FROM padded w JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+      )
+      SELECT conv_id, i, s, cost + 3 AS cost, audit || 'D' AS audit, lines FROM todo
+      UNION ALL
+      SELECT conv_id, i, CASE c WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, cost + extra, audit || 'K', list_append(lines, role || ':' || text)
+      FROM todo WHERE NOT dead AND ((c = 's' AND s = 0) OR (c = 'u' AND s <> 2) OR (c = 'a' AND s = 2))
+      UNION ALL
+      SELECT conv_id, i, CASE WHEN s = 2 THEN 3 ELSE 2 END, cost + 2 + extra, audit || 'R',
+             list_append(lines, CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END || text) FROM todo WHERE NOT dead
+    )
+  ) WHERE best = 1
+),
+ended AS (
+  SELECT w.conv_id, w.cost + CASE s WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END AS cost,
+         audit || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+         list_concat(lines, CASE s WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END) AS lines
+  FROM ways w JOIN counts n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = n.n
+),
+chosen AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best FROM ended)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN chosen b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.best = 1
+"""

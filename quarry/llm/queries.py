@@ -12,6 +12,7 @@ from quarry.llm import (
     packing,
     preference,
     quality,
+    repair,
     sharding,
     substring,
     suffix,
@@ -108,7 +109,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.col("lang").alias("stratum"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations damaged by a fixed rule, then audited and repaired."""
+    given = _table(spark, sf_dir, "conversations")
+    turns = saved(damaged(given), "damaged")
+    found = saved(repair.audits(turns), "audits")
+    texts = repair.digests(repair.repaired(turns, found)).withColumnRenamed("conv_id", "t")
+    found = found.withColumnRenamed("conv_id", "f")
+    ids = given.select("conv_id").distinct()
+    out = ids.join(found, ids["conv_id"].eqNullSafe(found["f"]), "left")
+    out = out.join(texts, ids["conv_id"].eqNullSafe(texts["t"]), "left")
+    zeros = [F.coalesce(c, F.lit(0)).cast("long").alias(c)
+             for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, by a hash of conversation and turn."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    draw = F.crc32(F.concat_ws(":", *shown)) % 20
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), draw.alias("draw")).where("draw != 0")
+    text = F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = rows.select("conv_id", "turn", F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.when(F.col("draw") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("copies"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode("copies").alias("copy")).drop("copy")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
-    op6_all_repeats, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules)}
+    op6_all_repeats, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules,
+    op12_conversation_repair)}
 
