@@ -237,3 +237,29 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN chosen b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.best = 1
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+ORACLE["op11_lexical_search"] = f"""
+WITH docs AS (SELECT ROW_NUMBER() OVER () AS d, doc_id, {_WORDS} AS w FROM documents),
+lengths AS (SELECT d, doc_id, len(w) AS n FROM docs WHERE len(w) > 0),
+corpus AS (SELECT COUNT(*) AS big_n, SUM(n) AS big_l FROM lengths),
+asked AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+tfs AS (
+  SELECT d, term, COUNT(*) AS tf FROM (SELECT d, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY d, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * MAX(big_n) + 2 AS DOUBLE) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+  FROM tfs, corpus GROUP BY term
+),
+scored AS (
+  SELECT item_id, l.d, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term)
+  JOIN (SELECT d, doc_id, 100 - 50 + CAST((50 * n * big_n) // big_l AS BIGINT) AS m FROM lengths, corpus) l ON l.d = tfs.d
+  GROUP BY item_id, l.d, doc_id
+),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

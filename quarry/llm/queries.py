@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import (
     decontaminate,
+    lexical,
     licenses,
     minhash,
     packing,
@@ -14,6 +15,7 @@ from quarry.llm import (
     quality,
     repair,
     sharding,
+    simhash,
     substring,
     suffix,
     toxicity,
@@ -109,6 +111,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.col("lang").alias("stratum"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations damaged by a fixed rule, then audited and repaired."""
     given = _table(spark, sf_dir, "conversations")
@@ -137,8 +143,13 @@ def damaged(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", "role", "text", F.explode("copies").alias("copy")).drop("copy")
 
 
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, distance=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
     op6_all_repeats, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules,
-    op12_conversation_repair)}
+    op11_lexical_search, op12_conversation_repair, op13_simhash_dedup)}
 

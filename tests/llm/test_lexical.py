@@ -1,0 +1,109 @@
+"""Ranked lexical search against a plain scan."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from quarry.llm import lexical
+from quarry.llm.queries import op11_lexical_search
+from tests.llm.brute import LOWER
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+DOCS, ITEMS = "doc_id long, text string, n string, score double", "item_id long, text string, rank int"
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def by_hand(docs, items, k=50):
+    """[(id, text)] of documents and items -> rows (item_id, rank, doc_id, score)."""
+    counts = [(i, Counter(terms(t))) for i, t in docs]
+    counts = [(i, c, sum(c.values())) for i, c in counts if c]
+    n_docs, n_terms = len(counts), sum(n for _, _, n in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    asked, out = {}, []
+    for i, t in items:
+        asked.setdefault(i, set()).update(terms(t))
+    for item, wanted in asked.items():
+        found = []
+        for i, c, n in counts:
+            m = 100 - 50 + (50 * n * n_docs) // n_terms
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m))
+                        for t in wanted if t in c)
+            if score > 0:
+                found.append((-score, i is None, i))
+        found.sort(key=lambda f: (f[0], f[1], f[2] or 0))
+        out += [(item, r, i, -s) for r, (s, _, i) in enumerate(found[:k], start=1)]
+    return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
+def ask(spark, tmp_path, docs, items):
+    spark.createDataFrame([(*d, "x", 0.5) for d in docs], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(*i, 9) for i in items], ITEMS).write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = op11_lexical_search(spark, str(tmp_path))
+    assert found.dtypes == [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+    return sorted((tuple(r) for r in found.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
+def corpus(seed, n, copies=0):
+    draw = random.Random(seed)
+    words = [f"w{k}" for k in range(60)] + ["É", "straße", "日本", "x9"]
+    weight = [1 / (k + 1) for k in range(len(words))]
+    docs = [(i, " ".join(draw.choices(words, weight, k=draw.choice([1, 5, 5, 30, 30, 200])))) for i in range(n)]
+    docs += [(n + c, docs[0][1]) for c in range(copies)]
+    items = [(j, " ".join(draw.choices(words, k=draw.randrange(1, 25)))) for j in range(20)]
+    return docs, items
+
+
+def test_terms():
+    text = "A-b_C9 É É\tx\x7fy @z` naïve~Ω"
+    assert [t.decode() for t in lexical.terms(text.encode())] == terms(text)
+
+
+@pytest.mark.parametrize("block,first", [(1024, 1024), (7, 30), (1, 1)])
+def test_query_equals_a_scan(spark, tmp_path, monkeypatch, block, first):
+    monkeypatch.setattr(lexical, "BLOCK", block)
+    monkeypatch.setattr(lexical, "FIRST", first)
+    docs, items = corpus(block, 300)
+    assert ask(spark, tmp_path, docs, items) == by_hand(docs, items)
+
+
+def test_rounds_give_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lexical, "ROUND_ITEMS", 6)
+    docs, items = corpus(4, 150)
+    assert ask(spark, tmp_path, docs, items) == by_hand(docs, items)
+
+
+def test_ties_copies_and_odd_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lexical, "BLOCK", 16)
+    docs, items = corpus(9, 120, copies=200)
+    docs += [(None, "w1 w2"), (None, "w1 w2"), (None, None), (500, None), (501, ""), (502, "-- ..."), (3, "w3 w3"), (3, "w3 w3"),
+             (900, "w5 " * 30_000)]
+    items += [(None, "w1"), (70, None), (71, ""), (72, "absent"), (73, "w1"), (73, "w2 w2"), (74, docs[0][1])]
+    assert ask(spark, tmp_path, docs, items) == by_hand(docs, items)
+
+
+@pytest.mark.parametrize("docs,items", [([], [(1, "a")]), ([(1, "a")], []), ([(1, None)], [(1, "a")]), ([(1, "a")], [(1, None)])])
+def test_empty_tables(spark, tmp_path, docs, items):
+    assert ask(spark, tmp_path, docs, items) == by_hand(docs, items)
+
+
+def test_a_hot_stratum_becomes_many_blocks(spark):
+    rows = spark.range(5000).selectExpr("CAST(NULL AS LONG) AS doc_id", "3L AS n", "array(0) AS terms", "array(3) AS tfs", "id AS row")
+    index = lexical.build_index(rows, 5000, 15000)
+    sizes = [r.n_docs for r in index.collect()]
+    assert sum(sizes) == 5000 and len(sizes) == 5 and max(sizes) < 2 * lexical.BLOCK
+
+
+def test_bounds_are_never_below_a_score():
+    import numpy as np
+
+    items = lexical.Items([0, 1], [[0, 1], [1, 2]], np.array([5, 7, 9]))
+    found = lexical._block(60, 0, np.array([4, 8]), np.array([0, 1, 1], np.int32), np.array([1, 2, 5], np.int32), np.array([0, 0, 1], np.int32))
+    best = items.bounds(found["terms"], found["tfs"], 60)
+    top = lambda tf: int(lexical.impact(np.array([tf]), 60)[0])
+    assert best.tolist() == [5 * top(1) + 7 * top(5), 7 * top(5)]
