@@ -6,7 +6,7 @@ from quarry.llm.quality import RULES
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["op6_substring_dedup"] = r"""
+ORACLE["op6_all_repeats"] = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
@@ -30,10 +30,72 @@ repeats AS (
 SELECT doc_id, CAST(unit AS BIGINT) AS unit, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
        CAST(n_words AS BIGINT) AS n_words, first_doc_id
 FROM (SELECT *, SUM(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM repeats)
-WHERE run_words >= 20
 """
 
-ORACLE["op6_all_repeats"] = ORACLE["op6_substring_dedup"].replace("WHERE run_words >= 20", "")
+
+# Words with their places, units as nested stretches of them, and diagonals joined word by word.
+ORACLE["op6_substring_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, l, line, SUM(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY l) - length(line) - 1 AS line_start
+  FROM (SELECT doc_id, generate_subscripts(ls, 1) AS l, unnest(ls) AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+),
+tokens AS (
+  SELECT doc_id, l, line_start, generate_subscripts(ts, 1) AS k, unnest(ts) AS token
+  FROM (SELECT *, regexp_extract_all(line, '\s*\S+') AS ts FROM lines)
+),
+words AS (
+  SELECT doc_id, l, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY l, k) - 1 AS i, lower(ltrim(token)) AS w,
+         CAST(line_start + SUM(length(token)) OVER (PARTITION BY doc_id, l ORDER BY k) AS BIGINT) AS stop, length(ltrim(token)) AS len
+  FROM tokens
+),
+marked AS (
+  SELECT *, CASE WHEN right(w, 1) IN ('.', '!', '?', ',', ';', ':') THEN 1 ELSE 0 END AS mark,
+         CASE WHEN LEAD(l) OVER (PARTITION BY doc_id ORDER BY i) IS DISTINCT FROM l THEN 1 ELSE 0 END AS last
+  FROM words
+),
+ways AS (  -- clauses that end pos line breaks, and those that go on
+  SELECT *, unnest([0, 1]) AS wraps, unnest([greatest(mark, last), mark]) AS ends FROM marked
+),
+clauses AS (SELECT *, SUM(ends) OVER (PARTITION BY doc_id, wraps ORDER BY i) - ends AS c FROM ways),
+cut AS (
+  SELECT *, CASE WHEN ends = 1 OR (len % 8 = 0 AND COUNT(*) OVER (PARTITION BY doc_id, wraps, c) > 24) THEN 1 ELSE 0 END AS stops FROM clauses
+),
+pieces AS (SELECT *, SUM(stops) OVER (PARTITION BY doc_id, wraps ORDER BY i) - stops AS u FROM cut),
+small AS (
+  SELECT doc_id, wraps, MIN(l) AS l, MAX(l) AS l2, MIN(i) AS pos, COUNT(*) AS n, string_agg(w, ' ' ORDER BY i) AS norm
+  FROM pieces GROUP BY doc_id, wraps, u HAVING COUNT(*) >= 4
+),
+units AS (
+  SELECT doc_id, pos, n, norm FROM small WHERE wraps = 0 OR l < l2
+  UNION ALL
+  SELECT doc_id, MIN(i), COUNT(*), string_agg(w, ' ' ORDER BY i) FROM words
+  WHERE (doc_id, l) NOT IN (SELECT (doc_id, l) FROM small WHERE wraps = 0) GROUP BY doc_id, l HAVING COUNT(*) >= 4
+),
+ranked AS (
+  SELECT *, FIRST_VALUE(doc_id) OVER e AS a_doc, FIRST_VALUE(pos) OVER e AS a_at FROM units WINDOW e AS (PARTITION BY norm ORDER BY doc_id, pos)
+),
+seeds AS (SELECT *, a_at - pos AS off FROM ranked WHERE doc_id <> a_doc OR pos <> a_at),
+diagonals AS (SELECT DISTINCT doc_id, a_doc, off FROM seeds),
+met AS (
+  SELECT d.*, b.i, b.i - ROW_NUMBER() OVER (PARTITION BY d.doc_id, d.a_doc, d.off ORDER BY b.i) AS stretch
+  FROM diagonals d JOIN words b ON b.doc_id = d.doc_id JOIN words a ON a.doc_id = d.a_doc AND a.i = b.i + d.off AND a.w = b.w
+),
+stretches AS (SELECT doc_id, a_doc, off, MIN(i) AS s, MAX(i) + 1 AS e FROM met GROUP BY doc_id, a_doc, off, stretch HAVING COUNT(*) >= 20),
+runs AS (
+  SELECT DISTINCT r.doc_id, r.a_doc, r.s, r.e FROM stretches r JOIN seeds x
+    ON x.doc_id = r.doc_id AND x.a_doc = r.a_doc AND x.off = r.off AND x.pos >= r.s AND x.pos + x.n <= r.e
+),
+ordered AS (
+  SELECT *, greatest(s, coalesce(MAX(e) OVER (PARTITION BY doc_id ORDER BY s, e DESC, a_doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lo
+  FROM runs
+)
+SELECT o.doc_id, ROW_NUMBER() OVER (PARTITION BY o.doc_id ORDER BY lo) - 1 AS unit, f.stop - f.len AS start,
+       t.stop - f.stop + f.len AS length, CAST(e - lo AS BIGINT) AS n_words, a_doc AS first_doc_id
+FROM ordered o JOIN words f ON f.doc_id = o.doc_id AND f.i = lo JOIN words t ON t.doc_id = o.doc_id AND t.i = e - 1
+WHERE lo < e
+"""
+
 
 _SHOW = "'<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)"
 

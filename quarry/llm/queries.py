@@ -11,6 +11,7 @@ from quarry.llm import (
     licenses,
     minhash,
     packing,
+    passages,
     preference,
     quality,
     repair,
@@ -70,8 +71,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines in runs of 20 words or more."""
-    return _line_spans(substring.repeated_spans(_table(spark, sf_dir, "documents")))
+    """Repeated passages of 20 words or more, also within lines."""
+    return _line_spans(passages.repeated_passages(_table(spark, sf_dir, "documents")))
 
 
 def op6_all_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

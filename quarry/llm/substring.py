@@ -68,7 +68,8 @@ def _units(batches: Iterable[pa.RecordBatch], unit: str) -> Iterator[pa.RecordBa
                 [pa.array(c, t.type) for c, t in zip([*cols[:6], d[:, 0], d[:, 1], cols[7]], _ARROW)], schema=_ARROW)
 
 
-def _identity(id_col: str, text_col: str) -> list[Column]:
+def identity(id_col: str, text_col: str) -> list[Column]:
+    """Columns node (the id, or a number above NO_ID from the text's hash) and text_key (that hash)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.xxhash64(text)
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(key, 2)).alias("node"), key.alias("text_key")]
@@ -77,7 +78,7 @@ def _identity(id_col: str, text_col: str) -> list[Column]:
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
                    min_words: int = 20) -> DataFrame:
     """One row per removed unit: node, text_key, unit, start, length, words, first_node, first_start."""
-    named = docs.select(*_identity(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    named = docs.select(*identity(id_col, text_col), F.col(text_col).cast("string").alias("text"))
     found = saved(named.mapInArrow(partial(_units, unit=unit), _UNITS), "units")
     first = found.where("NOT again").groupBy("d1", "d2").agg(
         F.min("node").alias("first_node"), F.count(F.lit(1)).alias("n"))
@@ -108,7 +109,8 @@ def _cut(batches: Iterable[pa.RecordBatch], text: str, spans: str) -> Iterator[p
                 kept, at = [], 0
                 for start, length in sorted((c["start"], c["length"]) for c in cuts):
                     kept.append(value[at:start])
-                    at = start + length + (value[start + length : start + length + 1] == "\n")
+                    whole = start == 0 or value[start - 1] == "\n"
+                    at = start + length + (whole and value[start + length : start + length + 1] == "\n")
                 value = "".join([*kept, value[at:]])
             out.append(value)
         cols = batch.columns
@@ -118,13 +120,13 @@ def _cut(batches: Iterable[pa.RecordBatch], text: str, spans: str) -> Iterator[p
 
 def remove_spans(docs: DataFrame, spans: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  spans_col: str = "__spans") -> DataFrame:
-    """``docs`` without the spans (and the line break after each); columns unchanged, rows all kept.
+    """``docs`` without the spans (and the line break after one that begins its line); columns unchanged, rows all kept.
 
     A column ``__spans`` (array of start, length) tells which rows were cut.
     """
     per_doc = spans.groupBy(F.col("node").alias("__node"), F.col("text_key").alias("__key")).agg(
         F.collect_list(F.struct("start", "length")).alias(spans_col))  # at most one entry per line of the text
-    node, key = _identity(id_col, text_col)
+    node, key = identity(id_col, text_col)
     tagged = docs.withColumns({"__node": node, "__key": key})
     joined = tagged.join(per_doc, ["__node", "__key"], "left").drop("__node", "__key")
     return joined.mapInArrow(partial(_cut, text=text_col, spans=spans_col), joined.schema)

@@ -96,7 +96,8 @@ def repeated_lines(docs, min_words):
 def cut(text, spans):
     for start, length in sorted(spans, reverse=True):
         end = start + length
-        text = text[:start] + text[end + (text[end : end + 1] == "\n") :]
+        whole = start == 0 or text[start - 1] == "\n"
+        text = text[:start] + text[end + (whole and text[end : end + 1] == "\n") :]
     return text
 
 
@@ -175,3 +176,65 @@ def check_pieces(docs, pieces, tokenizer, end_id=1, top=2048, segments=256):
             at += p.length
         assert at <= top and len(parts) <= segments
         assert at == top or at & (at - 1) == 0  # nothing to pad
+
+
+def passage_units(text):
+    """Words, their places and units [(start, stop)]: clauses of 4 words or more, else whole lines of as many."""
+    words, places, units, lines, line_start = [], [], [], [], 0
+    for line in (text or "").split("\n"):
+        first = len(words)
+        for m in re.finditer(r"\S+", line):
+            words.append(m[0])
+            places.append((line_start + m.start(), line_start + m.end()))
+        line_start += len(line) + 1
+        lines.append((first, len(words)))
+
+    def clauses(first, last):
+        out, at = [], first
+        for k in range(first, last):
+            if words[k][-1] in ".!?,;:" or k == last - 1:
+                long, s = k + 1 - at > 24, at
+                for j in range(at, k + 1):
+                    if j == k or (long and len(words[j]) % 8 == 0):
+                        if j + 1 - s >= 4:
+                            out.append((s, j + 1))
+                        s = j + 1
+                at = k + 1
+        return out
+
+    for first, last in lines:
+        units += clauses(first, last) or [(first, last)] * (last - first >= 4)
+    units += [(s, e) for s, e in clauses(0, len(words)) if any(s < stop < e for _, stop in lines)]
+    return [w.lower() for w in words], places, units
+
+
+def passages(docs, min_words):
+    """[(doc_id, text)] with distinct ids -> {doc_id: [(start, length, words, source)]}, by stretches on diagonals."""
+    known = {i: passage_units(t) for i, t in docs}
+    order = sorted(known, key=lambda i: (i is None, i or 0))
+    first = {}
+    for i in order:
+        words, _, units = known[i]
+        for s, e in sorted(units):
+            first.setdefault(tuple(words[s:e]), (i, s))
+    out = {}
+    for i in order:
+        words, places, units = known[i]
+        runs = set()
+        for s, e in units:
+            source, at = first[tuple(words[s:e])]
+            if (source, at) != (i, s):
+                other, off = known[source][0], at - s
+                while s > 0 and s + off > 0 and words[s - 1] == other[s - 1 + off]:
+                    s -= 1
+                while e < len(words) and e + off < len(other) and words[e] == other[e + off]:
+                    e += 1
+                if e - s >= min_words:
+                    runs.add((s, -e, source))
+        at = 0
+        for s, e, source in sorted(runs):
+            s, e = max(s, at), -e
+            if s < e:
+                out.setdefault(i, []).append((places[s][0], places[e - 1][1] - places[s][0], e - s, source))
+                at = e
+    return {i: sorted(s) for i, s in out.items()}

@@ -20,7 +20,7 @@ def by_hand(docs, items):
     found = brute.near_components(docs, 5, 80)
     docs = [d for d, (_, c) in zip(docs, found) if d[0] == c]
     yield docs
-    spans = brute.repeated_lines(docs, 20)
+    spans = {i: [s[:2] for s in found] for i, found in brute.passages(docs, 20).items()}
     docs = [(i, brute.cut(t, spans[i]) if i in spans else t) for i, t in docs]
     docs = [(i, t) for i, t in docs if i not in spans or brute.words(t)]
     yield docs

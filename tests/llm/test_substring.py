@@ -1,7 +1,7 @@
 import random
 
 from quarry.llm import substring
-from quarry.llm.queries import op6_all_repeats, op6_substring_dedup
+from quarry.llm.queries import op6_all_repeats
 
 from . import brute
 
@@ -27,15 +27,6 @@ def test_against_brute_force(spark):
         assert cleaned(spark, docs, min_words=least) == want
 
 
-def test_offsets_of_the_whole_table(spark, sf_small):
-    docs = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
-    got = {}
-    for r in op6_substring_dedup(spark, sf_small).collect():
-        got.setdefault(r.doc_id, []).append((r.start, r.length))
-        assert r.first_doc_id <= r.doc_id
-    assert {i: sorted(s) for i, s in got.items()} == brute.repeated_lines(docs, 20)
-
-
 def test_all_repeats_of_the_whole_table(spark, sf_small):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
     got = {}
