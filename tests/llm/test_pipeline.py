@@ -81,3 +81,48 @@ def test_stage_texts_and_lengths_agree(spark, sf_small):
     out = stages.substring_dedup(spark, spark.read.parquet(f"{sf_small}/documents.parquet"), sf_small)
     assert out.where(F.col("n_chars") != F.length("text")).count() == 0
     assert os.path.exists(tokenizer_file())
+
+
+def labelled_table(folder, n=4000):
+    """Documents of which some hold many symbols or marks, all labelled; written as the stage reads them."""
+    import random
+
+    import duckdb
+
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 9)))
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        extra = draw.choice(["#", "$$", "%&", "!!", "?"]) if bad else ""
+        w = [word() + (extra if draw.random() < 0.6 else "") for _ in range(draw.randrange(15, 60))]
+        rows.append((i, "\n".join(" ".join(w[k : k + 9]) for k in range(0, len(w), 9)), "en" if i % 3 else "fr", "s", 0))
+        labels.append((i, int(not bad), 0))
+    con = duckdb.connect()
+    for name, shape, values in (("documents", "doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT", rows),
+                                ("labels", "doc_id BIGINT, quality INTEGER, toxic INTEGER", labels)):
+        con.execute(f"CREATE TABLE {name} ({shape})")
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(values[0]))})", values)
+        con.execute(f"COPY {name} TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return con
+
+
+def test_certified_cutoffs_take_effect_in_the_stage(spark, tmp_path):
+    from quarry.llm.oracle import ORACLE
+
+    con = labelled_table(tmp_path)
+    want = {r[0]: (r[1], r[2]) for r in con.execute(f"SELECT doc_id, kept, base_failed FROM ({ORACLE['op10_quality_rules']})").fetchall()}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id for r in stages.quality_rules(spark, docs, str(tmp_path)).select("doc_id").collect()}
+    assert got == {i for i, (kept, _) in want.items() if kept}
+    by_cutoff = sum(not kept and not failed for kept, failed in want.values())
+    assert by_cutoff > 300 and sum(i % 4 > 0 for i in got) > 2500
+
+
+def test_labelled_signals_are_computed_once(spark, sf_small, monkeypatch):
+    seen = []
+    real = stages.quality.certified_cutoffs
+    monkeypatch.setattr(stages.quality, "certified_cutoffs", lambda signals, labels: seen.append(signals) or real(signals, labels))
+    out = stages.quality_rules(spark, spark.read.parquet(f"{sf_small}/documents.parquet"), sf_small)
+    copies = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("array_sort(")
+    assert copies(seen[0]) == 0 and copies(out) <= 4  # an evaluation has two, and the filter has the count twice
