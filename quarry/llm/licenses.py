@@ -17,10 +17,13 @@ pass over the files, semi-joined with these terms and summed before the shuffle.
 Directories, not files, are joined with their ancestors; the templates' tables
 are a few hundred rows.
 
+A row is known by a digest of its path, key and text, so rows without a key, and
+texts that share a path and key, keep apart.
+
 Defined cases: null or empty text has no licence of its own; a null path counts
-as a file in the root; repeated rows are scanned each; equal scores go to the
-template that is first in the list; an empty table gives no rows; other columns
-are ignored.
+as a file in the root; a null key is a key like any other; repeated rows get the
+same result each; equal scores go to the template that is first in the list; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -127,14 +130,14 @@ def _reached(held: str, squares: list[tuple[dict, float]]) -> Column:
 
 
 def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """(path, row_key, license, similarity) of every unit that reaches the threshold.
+    """(row, path, template, license, similarity) of every unit that reaches the threshold.
 
-    ``files`` has path, row_key and text.
+    ``files`` has row (equal for equal rows only), path and text.
     """
     spark = files.sparkSession
     words = _sql_array(_vocabulary())
     templates = _templates(spark)
-    held = files.select("path", "row_key", "text", F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})").alias("held"))
+    held = files.select("row", "path", "text", F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})").alias("held"))
     n_files = F.lit(float(max(1, files.count())))
     idf = saved(
         templates.select("term").distinct().join(
@@ -150,10 +153,9 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
 
     # the text's terms are made once: array(x) binds them, and inline keeps later filters off the expression
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    possible = saved(held.where(_reached("held", squares)).select("path", "row_key", "text"), "license_files").dropDuplicates(
-        ["path", "row_key", "text"])
+    possible = saved(held.where(_reached("held", squares)).select("row", "path", "text"), "license_files").dropDuplicates(["row"])
     lines = possible.select(
-        "path", "row_key", name.rlike(FILE_NAME).alias("is_license"),
+        "row", "path", name.rlike(FILE_NAME).alias("is_license"),
         F.expr(f"transform(split(coalesce(text, ''), '\n'), line -> {terms('line')})").alias("lines"))
     lines = lines.withColumn("own", F.expr(f"transform(lines, t -> array_intersect(t, {words}))"))
     n = "size(lines)"
@@ -161,7 +163,7 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     # rows carry slices, not the file
     starts = f"""transform(filter(sequence(1, {n}), i -> size(own[i - 1]) > 0), i ->
         struct(i AS at, slice(lines, i, {WINDOW}) AS lines, slice(own, i, {WINDOW}) AS own))"""
-    windows = (lines.select("path", "row_key", F.inline(F.expr(starts)))
+    windows = (lines.select("row", "path", F.inline(F.expr(starts)))
                .where(_reached("array_distinct(flatten(own))", squares))
                .select("*", F.explode(F.expr(f"filter(sequence(1, {n}), j -> size(own[j - 1]) > 0)")).alias("length"))
                .withColumns({c: F.expr(f"slice({c}, 1, length)") for c in ("lines", "own")}))
@@ -169,13 +171,13 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     parts = f"""transform(filter(sequence(0, size(gaps) - 2), k -> gaps[k + 1] - gaps[k] - 1 > {WINDOW}), k -> struct(gaps[k] + 1 AS at,
         gaps[k + 1] - gaps[k] - 1 AS length, slice(lines, gaps[k] + 1, gaps[k + 1] - gaps[k] - 1) AS lines,
         slice(own, gaps[k] + 1, gaps[k + 1] - gaps[k] - 1) AS own))"""
-    paragraphs = lines.withColumn("gaps", F.expr(gaps)).select("path", "row_key", F.inline(F.expr(parts)))
-    whole = lines.where("is_license").select("path", "row_key", F.lit(1).alias("at"), F.expr(n).alias("length"), "lines", "own")
+    paragraphs = lines.withColumn("gaps", F.expr(gaps)).select("row", "path", F.inline(F.expr(parts)))
+    whole = lines.where("is_license").select("row", "path", F.lit(1).alias("at"), F.expr(n).alias("length"), "lines", "own")
     units = (windows.unionByName(paragraphs).unionByName(whole)
              .withColumn("held", F.expr("array_distinct(flatten(own))")).where((F.size("held") >= 2) & _reached("held", squares))
-             .select("path", "row_key", "at", "length", F.expr("flatten(lines)").alias("terms"))
-             .dropDuplicates(["path", "row_key", "at", "length"]))
-    unit = ["path", "row_key", "at", "length"]
+             .select("row", "path", "at", "length", F.expr("flatten(lines)").alias("terms"))
+             .dropDuplicates(["row", "at", "length"]))
+    unit = ["row", "path", "at", "length"]
     counted = saved(units.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("n")),
                     "license_units")
 
@@ -191,7 +193,7 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
                 .groupBy(*unit, "template", "license").agg(F.sum(F.col("own") * F.col("w") / F.col("template_norm")).alias("dot")))
     return (products.join(lengths, unit).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 9))
             .where(F.col("similarity") >= threshold)
-            .select("path", "row_key", "template", "license", "similarity"))
+            .select("row", "path", "template", "license", "similarity"))
 
 
 def directory(path: Column) -> Column:
@@ -206,9 +208,11 @@ def scan(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     """
     files = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "row_key",
                          F.col("text").cast("string").alias("text"))
+    files = files.withColumn("row", F.md5(F.concat_ws("\n", F.md5("path"), F.coalesce(F.md5(F.col("row_key").cast("string")), F.lit("-")),
+                                                      F.coalesce(F.md5("text"), F.lit("-")))))
     hits = saved(scan_units(files, threshold), "license_hits")
-    top = hits.groupBy("path", "row_key").agg(F.max("similarity").alias("similarity"))
-    first = (hits.join(top, ["path", "row_key", "similarity"]).groupBy("path", "row_key", "similarity")
+    top = hits.groupBy("row").agg(F.max("similarity").alias("similarity"))
+    first = (hits.join(top, ["row", "similarity"]).groupBy("row", "path", "similarity")
              .agg(F.min("template").alias("template")))
     names = F.array(*[F.lit(n) for n, _ in TEMPLATES])
     own = first.withColumn("license", names[F.col("template")]).drop("template")
@@ -217,15 +221,14 @@ def scan(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     best = of_dir.groupBy("dir").agg(F.max("similarity").alias("similarity"))
     licensed = (of_dir.join(best, ["dir", "similarity"]).groupBy("dir").agg(F.min("license").alias("dir_license"))
                 .withColumnRenamed("dir", "ancestor"))
-    placed = files.select("path", "row_key", directory(F.col("path")).alias("dir"))
+    placed = files.select("row", "path", "row_key", directory(F.col("path")).alias("dir"))
     dirs = placed.select("dir").distinct()
     parts = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.struct(
         n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("ancestor")))
     nearest = (dirs.select("dir", F.inline(above)).join(licensed, "ancestor")
                .groupBy("dir").agg(F.max_by("ancestor", "depth").alias("licence_dir"), F.max_by("dir_license", "depth").alias("dir_license")))
-    same = ["path", "row_key"]
-    out = placed.join(own, same, "left").join(nearest, "dir", "left")
+    out = placed.join(own.drop("path"), "row", "left").join(nearest, "dir", "left")
     return out.select(
         "path", "row_key", F.coalesce("license", "dir_license").alias("license"), "similarity",
         F.when(F.col("license").isNotNull(), "own").when(F.col("dir_license").isNotNull(), "inherited").otherwise("none").alias("found"),

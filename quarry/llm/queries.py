@@ -51,9 +51,9 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = _table(spark, sf_dir, "documents")
     ids = docs.select("doc_id", "source", "text", F.expr("doc_id div 4000").alias("block"), F.expr("doc_id div 200").alias("part"))
-    tops = ids.groupBy("source", "block").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(1).alias("top"))
-    leaves = ids.groupBy("source", "part").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(1).alias("leaf"))
-    named = ids.join(tops, "doc_id", "left").join(leaves, "doc_id", "left")
+    tops = ids.groupBy("source", "block").agg(F.min("doc_id").alias("doc_id")).withColumn("top", F.lit(1))
+    leaves = ids.groupBy("source", "part").agg(F.min("doc_id").alias("doc_id")).withColumn("leaf", F.lit(1))
+    named = ids.join(tops, ["source", "block", "doc_id"], "left").join(leaves, ["source", "part", "doc_id"], "left")
     name = F.when(F.coalesce("top", "leaf").isNotNull(), F.lit("LICENSE")).otherwise(F.concat_ws("", F.col("doc_id"), F.lit(".txt")))
     path = F.concat_ws("/", "source", "block", F.when(F.col("top").isNull(), F.col("part")), name)
     found = licenses.scan(named.select(path.alias("path"), F.col("doc_id").alias("row_key"), "text"))

@@ -11,30 +11,38 @@ def terms(text):
     return [t for t in (x.strip(".") for x in re.split(r"[^\w.]+|_", (text or "").lower())) if t]
 
 
+def units(path, text):
+    """All stretches of up to WINDOW lines between lines with template terms, longer paragraphs, a licence file as a whole."""
+    known = {t for _, x in licenses.TEMPLATES for t in terms(x)}
+    lines = [terms(x) for x in (text or "").split("\n")]
+    own = [k for k, t in enumerate(lines) if set(t) & known]
+    spans = {(i, j) for i in own for j in own if i <= j < i + licenses.WINDOW}
+    gaps = [-1, *(k for k, t in enumerate(lines) if not t), len(lines)]
+    spans |= {(a + 1, b - 1) for a, b in zip(gaps, gaps[1:]) if b - a - 1 > licenses.WINDOW}
+    if re.match(licenses.FILE_NAME, path.rsplit("/", 1)[-1]):
+        spans.add((0, len(lines) - 1))
+    for i, j in sorted(spans):
+        found = [t for line in lines[i : j + 1] for t in line]
+        if len(set(found) & known) >= 2:
+            yield found
+
+
 def by_hand(files, threshold=0.75):
     """files: [(path, key, text)] -> {(path, key): (license, rounded similarity, found, licence_dir)}."""
     n = max(1, len(files))
-    known = {t for _, x in licenses.TEMPLATES for t in terms(x)}
-    df = Counter(t for _, _, x in files for t in set(terms(x)) & known)
-    top = math.log((n + 1) / 2) + 1
-    idf = {t: math.log((n + 1) / (max(1, df[t]) + 1)) + 1 for t in known}
-    vectors = [{t: c * idf[t] for t, c in Counter(terms(x)).items()} for _, x in licenses.TEMPLATES]
+    df = Counter(t for _, _, x in files for t in set(terms(x)))
+    idf = lambda t: math.log((n + 1) / (max(1, df[t]) + 1)) + 1
+    vectors = [{t: c * idf(t) for t, c in Counter(terms(x)).items()} for _, x in licenses.TEMPLATES]
     lengths = [math.sqrt(sum(v * v for v in w.values())) for w in vectors]
     own = {}
     for path, key, text in files:
-        name = path.rsplit("/", 1)[-1]
-        units = (text or "").split("\n") + ([text or ""] if re.match(licenses.FILE_NAME, name) else [])
         best = None
-        for u in units:
-            tf = Counter(terms(u))
-            if len(set(tf) & known) < 2:
-                continue
-            mine = {t: c * idf[t] for t, c in tf.items() if t in known}
-            others = sum(c for t, c in tf.items() if t not in known)
-            norm = math.sqrt(sum(v * v for v in mine.values()) + others * top * top)
+        for u in units(path, text):
+            mine = {t: c * idf(t) for t, c in Counter(u).items()}
+            norm = math.sqrt(sum(v * v for v in mine.values()))
             for k, (w, length) in enumerate(zip(vectors, lengths)):
                 s = sum(v * w.get(t, 0) for t, v in mine.items()) / norm / length
-                if s >= threshold and (best is None or (round(-s, 9), k) < best):
+                if round(s, 9) >= threshold and (best is None or (round(-s, 9), k) < best):
                     best = (round(-s, 9), k)
         if best:
             own[path, key] = (licenses.TEMPLATES[best[1]][0], -best[0])
@@ -92,6 +100,15 @@ def test_repeated_null_and_empty(spark):
     assert licenses.scan(spark.createDataFrame([], shape)).count() == 0
 
 
+def test_rows_without_a_key_and_texts_of_one_key(spark):
+    line = licenses.TEMPLATES[2][1]
+    rows = [("a/x", 5, line), ("a/x", None, line), ("b/y", 7, line), ("b/y", 7, "int main"), ("c/z", None, None), ("c/z", None, line)]
+    got = licenses.scan(spark.createDataFrame(rows, "path string, row_key long, text string")).collect()
+    assert sorted((r.path, str(r.row_key), str(r.license), r.found) for r in got) == sorted([
+        ("a/x", "5", "MIT", "own"), ("a/x", "None", "MIT", "own"), ("b/y", "7", "MIT", "own"), ("b/y", "7", "None", "none"),
+        ("c/z", "None", "None", "none"), ("c/z", "None", "MIT", "own")])
+
+
 def test_wrapped_headers_and_full_texts(spark):
     def wrapped(text, mark, width=72):
         return "\n".join(mark + x for x in textwrap.wrap(text, width))
@@ -104,6 +121,7 @@ def test_wrapped_headers_and_full_texts(spark):
              ("h/gap.c", 6, "// Licensed under the\n//\n// MIT License.")]
     files += [(f"src/m{k}/f.c", 100 + k, "plain words of the text number " + str(k)) for k in range(40)]
     rows = licenses.scan(spark.createDataFrame(files, "path string, row_key long, text string")).collect()
+    assert made(rows) == rounded(by_hand(files))
     got = {r.row_key: (r.license, r.found) for r in rows if r.license}
     assert got == {1: ("GPL-3.0", "own"), 2: ("BSD-3-Clause", "own"), 3: ("GPL-3.0", "own"), 4: ("MIT", "own"),
                    5: ("MIT", "inherited"), 6: ("MIT", "own")}
