@@ -162,6 +162,42 @@ def frozen_split(df: DataFrame, name: str, weights=(0.7, 0.3), seed: int = 21,
     return [freeze(part, f"{name}_{lab}") for part, lab in zip(random_split(df, weights, seed), labels)]
 
 
+def split_manifest(sides: DataFrame, share: float = 0.7, key: str = "row_key", first: str = "train") -> DataFrame:
+    """(n_rows, key_sum, shared_keys, share_ok): proof that a split is disjoint and complete.
+
+    ``key_sum`` adds up the first 32 bits of the md5 of every row's key, so it equals
+    that of the table only if each row is on one side; ``shared_keys`` counts keys on
+    both sides; ``share_ok`` tells whether the first side's share lies within six
+    standard deviations of ``share``.
+    """
+    number = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    per_key = sides.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("side") == first).alias("n_first"),
+                                     F.sum(number).alias("h"))
+    sums = per_key.agg(F.sum("n").alias("n_rows"), F.sum("h").alias("key_sum"), F.sum("n_first").alias("n_first"),
+                       F.count_if((F.col("n_first") > 0) & (F.col("n_first") < F.col("n"))).alias("shared_keys"))
+    spread = 6 * F.sqrt(F.col("n_rows") * share * (1 - share))
+    return sums.select("n_rows", "key_sum", "shared_keys", (F.abs(F.col("n_first") - share * F.col("n_rows")) <= spread).alias("share_ok"))
+
+
+def sorted_positions(df: DataFrame, order: list[str]) -> DataFrame:
+    """O1: ``df`` sorted globally, with every row's ``position`` from 0 as it stands in the result.
+
+    The sort is Spark's range-partitioned one.  Its result is written and read back
+    with the number each row got in its partition; one count per partition
+    (their number is bounded) then shifts them.
+    """
+    placed = freeze(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "sorted")
+    part, at = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, total = [], 0
+    for p in sorted(sizes):
+        starts.append((p, total))
+        total += sizes[p]
+    offsets = df.sparkSession.createDataFrame(starts, "_part long, _start long")
+    return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn("position", at + F.col("_start")).drop("_place", "_part", "_start"))
+
+
 def zero_positive_counts(df: DataFrame, target: str = "Claim_Amount") -> DataFrame:
     """F7 + A10: zero rows, positive rows, all rows and positives / zeros.
 

@@ -230,8 +230,8 @@ SELECT l_orderkey AS Row_ID, l_suppkey AS Household_ID, CAST(l_linenumber AS BIG
        year(l_shipdate) AS Calendar_Year, CAST(year(l_shipdate) - p_size % 7 AS BIGINT) AS Model_Year,
        p_brand AS Blind_Make, p_brand || '.' || (p_size % 5) AS Blind_Model, p_brand || '.' || p_size AS Blind_Submodel,
        CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS Cat1, l_linestatus AS Cat2,
-       {_letter('l_partkey', 3)} AS Cat3, CASE WHEN l_linenumber > 2 THEN NULL ELSE {_letter('l_partkey', 4)} END AS Cat4,
-       CASE WHEN l_partkey % 4 > 0 THEN NULL ELSE {_letter('l_suppkey', 3)} END AS Cat5, {_letter('l_partkey', 6)} AS Cat6,
+       {_letter('l_partkey', 3)} AS Cat3, CASE WHEN l_linenumber > 5 THEN NULL ELSE {_letter('l_partkey', 4)} END AS Cat4,
+       CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE {_letter('l_suppkey', 3)} END AS Cat5, {_letter('l_partkey', 6)} AS Cat6,
        CASE WHEN l_returnflag <> 'R' THEN NULL ELSE l_returnflag END AS Cat7, {_letter('l_suppkey', 2)} AS Cat8,
        {_letter('l_suppkey', 5)} AS Cat9, {_letter('l_orderkey', 3)} AS Cat10, {_letter('l_orderkey', 7)} AS Cat11,
        CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE {_letter('l_orderkey', 8)} END AS Cat12,
@@ -266,6 +266,44 @@ SELECT DISTINCT fraction, userId, CAST(10 AS INTEGER) AS dimension FROM train"""
 ORACLE["taste_users"] = _with(_FIRST_CTE, """
 SELECT fraction, COUNT(DISTINCT userId) AS n_users FROM train GROUP BY fraction""")
 
+ORACLE["random_split_manifest"] = ORACLE["frozen_split_manifest"] = f"""
+SELECT COUNT(*) AS n_rows, CAST(SUM(CAST(('0x' || substr(md5({KEY}), 1, 8)) AS BIGINT)) AS BIGINT) AS key_sum,
+       CAST(0 AS BIGINT) AS shared_keys, TRUE AS share_ok
+FROM lineitem"""
+
+# What a fit must meet: the residuals and counts of misses are 0 and the claims TRUE; the sizes come from the tables.
+ORACLE["als_residual"] = _with(_FIRST_CTE, """
+SELECT CAST(s.setting AS INTEGER) AS setting, CAST(s.rank AS INTEGER) AS rank, CAST(s.reg AS DOUBLE) AS reg, fraction,
+       COUNT(DISTINCT userId) AS n_users, COUNT(*) AS n_train, CAST(0 AS DOUBLE) AS residual, TRUE AS beats_mean
+FROM train, (VALUES (1, 10, 0.1), (2, 20, 0.1), (3, 20, 0.05)) s(setting, rank, reg)
+GROUP BY ALL""")
+ORACLE["taste_check"] = _with(_FIRST_CTE, """
+SELECT fraction, COUNT(DISTINCT userId) AS n_users, CAST(0 AS BIGINT) AS n_off, CAST(20 AS BIGINT) AS n_clusters, TRUE AS sizes_ok,
+       TRUE AS largest_ok
+FROM train GROUP BY fraction""")
+
+_BALANCED_CTE = f"""
+claims AS (SELECT *, concat_ws('|', Row_ID, Vehicle) AS row_key FROM ({ORACLE["claims_csv"]})),
+sides AS (SELECT *, CASE WHEN {_uniform('row_key', 21)} < CAST(0.7 AS DOUBLE) THEN 'train' ELSE 'test' END AS side FROM claims),
+train AS (SELECT * FROM sides WHERE side = 'train'),
+frac AS (SELECT CAST(COUNT(*) FILTER (WHERE Claim_Amount > 0) AS DOUBLE) / COUNT(*) FILTER (WHERE Claim_Amount = 0) AS f FROM train),
+balanced AS (
+  SELECT train.* FROM train, frac WHERE Claim_Amount > 0 OR (Claim_Amount = 0 AND {_uniform('row_key', 3)} < f)
+)"""
+ORACLE["lasso_optimality"] = _with(_BALANCED_CTE, """
+SELECT 'lasso' AS model, COUNT(*) AS n, CAST(0 AS DOUBLE) AS gap, TRUE AS better_than_ten FROM balanced""")
+ORACLE["glm_optimality"] = _with(_BALANCED_CTE, """
+SELECT link AS model, COUNT(*) AS n, CAST(0 AS DOUBLE) AS gap FROM balanced, (VALUES ('log')) l(link)
+WHERE Claim_Amount > 0 GROUP BY link""")
+ORACLE["claim_tree_nodes"] = _with(_BALANCED_CTE, """
+SELECT CAST(0 AS INTEGER) AS id, COUNT(*) AS n, COUNT(*) FILTER (WHERE Claim_Amount > 0) AS positives,
+       CAST(0 AS BIGINT) AS counts_off, CAST(0 AS BIGINT) AS impurity_off, CAST(0 AS BIGINT) AS gain_off, TRUE AS leaves_ok
+FROM balanced""")
+ORACLE["two_part_product"] = _with(_BALANCED_CTE, """
+SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS n_off FROM sides WHERE side = 'test'""")
+ORACLE["ratings_sorted"] = _with(RATINGS_CTE, """
+SELECT ROW_NUMBER() OVER (ORDER BY timestamp, userId, movieId, rating) - 1 AS position, userId, movieId, rating, timestamp FROM ratings""")
+
 # ------------------------------------------------------------ tabular ------
 
 CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7", "OrdCat",
@@ -413,3 +451,13 @@ c AS (
   FROM cls
 )""", """
 SELECT tp + fn + fp + tn AS n, (1.0 + tp / (tp + fn) - fp / (fp + tn)) / 2 AS auc_hard FROM c""")
+# The share of (positive, negative) pairs in the right order, ties counted half; quantities tie often.
+ORACLE["auc_score"] = """
+WITH c AS (
+  SELECT l_quantity AS score, COUNT(*) FILTER (WHERE l_extendedprice > 40000) AS pos, COUNT(*) FILTER (WHERE l_extendedprice <= 40000) AS neg
+  FROM lineitem GROUP BY l_quantity
+),
+b AS (SELECT *, SUM(neg) OVER (ORDER BY score) - neg AS below FROM c)
+SELECT CAST(SUM(pos) + SUM(neg) AS BIGINT) AS n,
+       CAST(SUM(pos * (2 * below + neg)) AS DOUBLE) / (2.0 * CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS auc_score
+FROM b"""

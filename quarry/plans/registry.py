@@ -277,6 +277,13 @@ def q_auc_hard(spark, sf_dir):
     return ev.auc_hard(si.rule_classification(load_table(spark, sf_dir, "lineitem")), "label")
 
 
+@query("auc_score")
+def q_auc_score(spark, sf_dir):
+    rows = load_table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_extendedprice") > 40000, 1.0).otherwise(0.0).alias("label"), F.col("l_quantity").alias("score"))
+    return ev.auc_score(rows, "label", "score")
+
+
 # ------------------------------------------------------- CSV round trips ---
 
 query("ratings_csv")(si.load_ratings_csv)
@@ -294,6 +301,21 @@ query("user_vector_shape")(wf.user_vector_shape)
 query("taste_users")(wf.taste_users)
 query("log_link_glm")(wf.log_glm_table)
 
+query("random_split_manifest")(wf.random_split_manifest)
+query("frozen_split_manifest")(wf.frozen_split_manifest)
+query("als_residual")(wf.als_residual)
+query("taste_check")(wf.taste_check)
+query("lasso_optimality")(wf.lasso_optimality)
+query("glm_optimality")(wf.glm_optimality)
+query("claim_tree_nodes")(wf.claim_tree_nodes)
+query("two_part_product")(wf.two_part_product)
+
+
+@query("ratings_sorted")
+def q_ratings_sorted(spark, sf_dir):
+    return sp.sorted_positions(si.load_ratings(spark, sf_dir), ["timestamp", "userId", "movieId", "rating"])
+
+
 query("random_split")(wf.random_split_table)
 query("parquet_frozen_split")(wf.frozen_split_table)
 query("als_matrix")(wf.als_matrix)

@@ -8,6 +8,7 @@ frames over tables that were written to the checkpoint folder.
 from __future__ import annotations
 
 import threading
+import uuid
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -16,12 +17,14 @@ from pyspark.sql import functions as F
 
 from quarry.operators import evaluation as ev
 from quarry.operators import recsys as rs
+from quarry.operators import optimality as op
 from quarry.operators import regression as rg
+from quarry.operators import search as se
 from quarry.operators import splits as sp
 from quarry.operators import tabular as tb
 from quarry.operators import tuning as tn
 from quarry.sources import standins as si
-from quarry.sources.files import cast_all, freeze
+from quarry.sources.files import CLAIMS_CATEGORICAL, CLAIMS_NUMERIC, PARTICLE_FEATURES, cast_all, freeze
 
 _MEMO: dict = {}
 _LOCKS: dict = {}
@@ -41,64 +44,58 @@ def _memo(spark: SparkSession, sf_dir: str, step: str, fn):
 
 # ------------------------------------------------------- classification ----
 
-PARTICLE_FEATURES = si.PARTICLE_STANDIN_FEATURES
 MODELS = ("rf", "gbt", "mlp")
+TUNING_ROWS = 4_000  # labelled rows, on average, that a search is tuned on
+FOLDS = 5
 
 
 def particle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_all(si.load_particle_text(spark, sf_dir), "double", exclude=("row_key",))
 
 
+def particle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The particle file in full: label, 28 features and a row key (a hash of all values)."""
+    rows = si.load_particle_csv(spark, sf_dir)
+    return rows.withColumn("row_key", F.xxhash64("label", *PARTICLE_FEATURES).cast("string"))
+
+
 def particle_split(spark: SparkSession, sf_dir: str, fraction: float = 1.0):
     """R1 + R2 (deterministic form): sample ``fraction`` (seed 42), split 70/30 (seed 21)."""
-    df = sp.hash_sample(particle(spark, sf_dir), "row_key", fraction, seed=42)
+    df = sp.hash_sample(particle_rows(spark, sf_dir), "row_key", fraction, seed=42)
     tagged = sp.hash_split(df, "row_key", (0.7, 0.3), seed=21)
     return (tagged.filter("side = 'train'").drop("side"),
             tagged.filter("side = 'test'").drop("side"))
 
 
-def scale_for(kind: str) -> bool:
-    # As coded: no scaling anywhere (D27); callers may pass scale=True.
-    return False
-
-
-TUNING_ROWS = 20_000  # labelled rows, on average, that a search is tuned on
+def _tuning(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str]:
+    """The frozen training rows, a hash sample of them to tune on (as the original did), and their fingerprint."""
+    def run():
+        train = freeze(particle_split(spark, sf_dir)[0], "particle_train")
+        sample = sp.hash_sample(train, "row_key", min(1.0, TUNING_ROWS / max(1, train.count())), seed=42)
+        return train, freeze(sample, "particle_tuning"), se.fingerprint(train)
+    return _memo(spark, sf_dir, "tuning", run)
 
 
-def grid_search(spark: SparkSession, train: DataFrame, kind: str, rows: int = TUNING_ROWS, folds: int = 5,
-                parallelism: int = 8, scale: bool = False):
-    """The whole original grid with 5 folds, tuned on a hash sample of about ``rows``
-    training rows (as the original tuned on a sample).  Returns (cv model, named maps)."""
-    n = train.count()
-    sample = freeze(sp.hash_sample(train, "row_key", min(1.0, rows / max(1, n)), seed=42), "particle_tuning")
-    return tn.cross_validate(sample, kind, PARTICLE_FEATURES, folds=folds, parallelism=parallelism, scale=scale,
-                             grid=tn.original_grid(kind, len(PARTICLE_FEATURES)))
+def search_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Where a search keeps its scores and its model: by data, grid, folds and rows."""
+    grid = tn.original_grid(kind, len(PARTICLE_FEATURES))
+    return f"{se.store_dir(spark)}/{kind}-{se.store_key(_tuning(spark, sf_dir)[2], grid, FOLDS, TUNING_ROWS, PARTICLE_FEATURES)}"
 
 
-def cv(spark: SparkSession, sf_dir: str, kind: str, scale: bool | None = None):
-    """The original grid search; the split is frozen to Parquet before it."""
-    scale = scale_for(kind) if scale is None else scale
+def search(spark: SparkSession, sf_dir: str, kind: str) -> tuple[list[dict], list[float]]:
+    """The whole original grid with 5 folds on all 28 inputs: (maps, mean scores).
 
+    Scores found in the store aren't made again.
+    """
     def run():
-        train, _ = particle_split(spark, sf_dir)
-        return grid_search(spark, freeze(train, "particle_train"), kind, scale=scale)
-    return _memo(spark, sf_dir, f"cv:{kind}:{scale}", run)
-
-
-def full_search(spark: SparkSession, sf_dir: str, kind: str, rows: int = TUNING_ROWS, folds: int = 5,
-                parallelism: int = 8) -> tuple[DataFrame, object]:
-    """``grid_search``, then the best map fitted on all training rows.  Returns
-    (one row per map, fitted model)."""
-    train, _ = particle_split(spark, sf_dir)
-    train = freeze(train, "particle_train")
-    model, named = grid_search(spark, train, kind, rows, folds, parallelism)
-    best = tn.refit(train, kind, PARTICLE_FEATURES, tn.best_params(model, named))
-    return tn.cv_results(spark, kind, model, named), best
+        return se.grid_scores(_tuning(spark, sf_dir)[1], kind, PARTICLE_FEATURES, tn.original_grid(kind, len(PARTICLE_FEATURES)),
+                              key="row_key", folds=FOLDS, parallelism=16, store=f"{search_path(spark, sf_dir, kind)}/scores")
+    return _memo(spark, sf_dir, f"search:{kind}", run)
 
 
 def cv_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    model, named = cv(spark, sf_dir, kind)
-    return tn.cv_results(spark, kind, model, named)
+    named, means = search(spark, sf_dir, kind)
+    return tn.cv_results(spark, kind, means, named)
 
 
 def best_params_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,18 +104,18 @@ def best_params_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = []
     for kind in MODELS:
-        model, named = cv(spark, sf_dir, kind)
-        for name, value in sorted(tn.best_params(model, named).items()):
+        named, means = search(spark, sf_dir, kind)
+        for name, value in sorted(tn.best_params(means, named).items()):
             rows.append((kind, name, json.dumps(tn._jsonable(value))))
     return spark.createDataFrame(rows, "model string, param string, value string")
 
 
 def refit(spark: SparkSession, sf_dir: str, kind: str):
+    """The best map fitted on all training rows, or the model that another application saved."""
     def run():
-        model, named = cv(spark, sf_dir, kind)
-        train, _ = particle_split(spark, sf_dir)
-        return tn.refit(train, kind, PARTICLE_FEATURES, tn.best_params(model, named),
-                        scale=scale_for(kind))
+        named, means = search(spark, sf_dir, kind)
+        fit = lambda: tn.refit(_tuning(spark, sf_dir)[0], kind, PARTICLE_FEATURES, tn.best_params(means, named))
+        return se.saved_model(spark, f"{search_path(spark, sf_dir, kind)}/model", fit)
     return _memo(spark, sf_dir, f"refit:{kind}", run)
 
 
@@ -127,10 +124,8 @@ def refit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, test = particle_split(spark, sf_dir)
     rows = []
     for kind in MODELS:
-        preds = refit(spark, sf_dir, kind).transform(test)
-        raw = "rawPrediction" if kind != "mlp" or "rawPrediction" in preds.columns else None
-        s = ev.confusion_scores(preds, "label", raw=raw)
-        rows.append((kind, s["accuracy"], s["f1"], s["auc_hard"], s.get("auc_score")))
+        s = ev.confusion_scores(refit(spark, sf_dir, kind).transform(test), "label", raw="rawPrediction")
+        rows.append((kind, s["accuracy"], s["f1"], s["auc_hard"], s["auc_score"]))
     return spark.createDataFrame(rows, "model string, accuracy double, f1 double, "
                                        "auc_hard double, auc_score double")
 
@@ -154,6 +149,16 @@ def frozen_split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(test.select("row_key", F.lit("test").alias("side"))))
 
 
+def random_split_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: one row that proves the seeded split disjoint, complete and of the asked share."""
+    return sp.split_manifest(freeze(random_split_table(spark, sf_dir), "random_sides"))
+
+
+def frozen_split_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the split frozen to Parquet."""
+    return sp.split_manifest(frozen_split_table(spark, sf_dir))
+
+
 # ------------------------------------------------------------ claims -------
 
 ID_COLUMNS = ("Row_ID", "Household_ID")
@@ -162,7 +167,9 @@ CLAIM_COLUMNS = ["Row_ID", "Household_ID", "Blind_Make", "Cat1", "Cat2", "Cat7",
 
 
 def claims_prepared(spark: SparkSession, sf_dir: str, fit_on: str = "all"):
-    """Missing tokens -> null -> mode fill/drop -> index + one-hot -> split -> rebalance.
+    """Missing tokens -> null -> mode fill/drop -> index + one-hot -> split -> rebalance, on the whole file.
+
+    All 16 categorical and 17 numeric features of the claims CSV take part.
 
     ``fit_on='all'`` (as coded, D21) computes modes and fits the encoders
     before the split; ``fit_on='train'`` learns them from the training side
@@ -171,12 +178,12 @@ def claims_prepared(spark: SparkSession, sf_dir: str, fit_on: str = "all"):
     """
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
-    claims = tb.token_to_null(si.load_claims_raw(spark, sf_dir))
+    claims = si.load_claims_csv(spark, sf_dir).withColumn("row_key", F.concat_ws("|", "Row_ID", "Vehicle"))
     tagged = sp.hash_split(claims, "row_key", (0.7, 0.3), seed=21)
     basis = tagged if fit_on == "all" else tagged.filter("side = 'train'")
-    filled = tb.apply_modes(tagged, tb.modes_for_fill(basis, CLAIM_COLUMNS))
-    cats = [c for c in si.CLAIMS_STANDIN_CATEGORICAL if c in filled.columns]
-    nums = [c for c in si.CLAIMS_STANDIN_NUMERIC if c in filled.columns]
+    filled = tb.apply_modes(tagged, tb.modes_for_fill(basis, [*CLAIMS_CATEGORICAL, "Cat7", *CLAIMS_NUMERIC, rg.TARGET]))
+    cats = [c for c in CLAIMS_CATEGORICAL if c in filled.columns]
+    nums = [c for c in CLAIMS_NUMERIC if c in filled.columns]
     basis = filled if fit_on == "all" else filled.filter("side = 'train'")
     invalid = "error" if fit_on == "all" else "keep"
     encoded = tb.encode_pipeline(cats, handle_invalid=invalid).fit(basis).transform(filled)
@@ -250,6 +257,67 @@ def two_part_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged_metrics(preds, "two_part")
 
 
+def lasso_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far a lasso run to its end is from the optimality conditions, and that ten iterations are no closer."""
+    train, _, ohe, _ = _claims(spark, sf_dir)
+    gaps, n = [], train.count()
+    for most in (5000, 10):
+        model = rg.lasso(train, ohe, max_iter=most, tol=1e-12 if most > 10 else 1e-6)
+        gaps.append(op.lasso_gap(model.stages[-1], model.stages[0].transform(train), rg.TARGET, rg.REG))
+    return spark.createDataFrame([("lasso", n, round(float(gaps[0]), 2) + 0.0, gaps[0] <= gaps[1] + 1e-9)],
+                                 "model string, n long, gap double, better_than_ten boolean")
+
+
+def glm_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the gamma model is from solving its score equations."""
+    train, _, _, _ = _claims(spark, sf_dir)
+    model, rows = _log_glm(spark, sf_dir), train.filter(F.col(rg.TARGET) > 0)
+    gap = op.glm_gap(model.stages[-1], model.stages[0].transform(rows), rg.TARGET, rg.REG, "log")
+    return spark.createDataFrame([("log", rows.count(), round(float(gap), 3) + 0.0)], "model string, n long, gap double")
+
+
+def _tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.session import scratch_path
+
+    def run():
+        path = f"{scratch_path(spark, 'claim_tree')}-{uuid.uuid4().hex}"
+        return op.tree_nodes(spark, _tree(spark, sf_dir).stages[-1], path)
+    return _memo(spark, sf_dir, "tree_nodes", run)
+
+
+def claim_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The root's counts, and how many nodes differ from what the training rows give."""
+    train, _, _, _ = _claims(spark, sf_dir)
+    model = _tree(spark, sf_dir)
+    rows = model.stages[0].transform(tb.claim_flag(train)).select("binary", "features")
+    checked = freeze(op.checked_nodes(rows, _tree_nodes(spark, sf_dir), "binary", model.stages[-1].depth), "tree_nodes")
+    off = lambda c: F.count_if(~F.col(c))
+    root = F.col("id") == 0
+    leaves = _tree_nodes(spark, sf_dir).where("left < 0").join(checked, "id").agg(F.sum("n")).first()[0]
+    return checked.agg(F.lit(0).alias("id"), F.max(F.when(root, F.col("n"))).alias("n"),
+                       F.max(F.when(root, F.col("positives"))).alias("positives"), off("counts_ok").alias("counts_off"),
+                       off("impurity_ok").alias("impurity_off"), off("gain_ok").alias("gain_off")).withColumn(
+        "leaves_ok", F.col("n") == leaves)
+
+
+def two_part_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows, and those whose expected claim is not chance x severity by the two models' own numbers."""
+    _, test, _, _ = _claims(spark, sf_dir)
+    test = freeze(test.withColumn("_row", F.monotonically_increasing_id()), "numbered_test")
+    tree, glm = _tree(spark, sf_dir), _log_glm(spark, sf_dir)
+    said = rg.two_part_predict(test, tree, glm).select("_row", "prediction")
+    nodes = _tree_nodes(spark, sf_dir)
+    leaves = nodes.where("left < 0").select("id", (F.col("counts")[1] / (F.col("counts")[0] + F.col("counts")[1])).alias("chance"))
+    chance = op.reached_nodes(tree.stages[0].transform(test), nodes, tree.stages[-1].depth, ["_row"]).join(F.broadcast(leaves), "id")
+    rows = glm.stages[0].transform(test)
+    eta = op.linear_predictor(rows, glm.stages[-1].coefficients, glm.stages[-1].intercept)
+    own = rows.select("_row", F.exp(eta).alias("severity")).join(chance, "_row")
+    both = said.join(own, "_row", "left")
+    wanted = F.col("chance") * F.col("severity")
+    off = F.coalesce(F.abs(F.col("prediction") - wanted) > 1e-9 * (1 + F.abs(wanted)), F.lit(True))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_off"))
+
+
 # ------------------------------------------------------------ recsys -------
 
 def _ratings(spark, sf_dir):
@@ -261,6 +329,42 @@ def als_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                  lambda: rs.evaluate_settings(_ratings(spark, sf_dir)))
 
 
+def als_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + M6: per setting and split, the largest relative residual of the users' normal equations.
+
+    ``beats_mean``: the factors describe the rows they learned from better than the
+    mean rating does.
+    """
+    ratings, _ = rs.als_ready(_ratings(spark, sf_dir))
+    cuts, out = _cuts(spark, sf_dir), []
+    for p in sp.CHRONO_FRACTIONS:
+        train, _ = sp.split_at(ratings, cuts[p], p)
+        with se.pinned(train.select("userId", "movieId", "rating")) as held:
+            spread = held.agg(F.stddev_pop("rating")).first()[0]
+            for i, (rank, reg) in enumerate(rs.ALS_SETTINGS, start=1):
+                model = rs.als_estimator(rank, reg).fit(held)
+                rmse = rs.regression_scores(model.transform(held))["rmse"]
+                users, rows, worst = op.als_residuals(model, held, reg).agg(F.count(F.lit(1)), F.sum("n"), F.max("residual")).first()
+                out.append((i, rank, float(reg), float(p), users, rows, round(worst, 3) + 0.0, rmse < spread))
+    return spark.createDataFrame(out, "setting int, rank int, reg double, fraction double, n_users long, n_train long, "
+                                      "residual double, beats_mean boolean")
+
+
+def taste_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 + A12: users of each split, those not in the cluster of the nearest centre, and whether the sizes add up."""
+    fits, out = _all_taste(spark, sf_dir), []
+    for p in sp.CHRONO_FRACTIONS:
+        _, _, km, preds = fits[p]
+        checked = op.nearest_centres(preds, km.clusterCenters())
+        users, off = checked.agg(F.count(F.lit(1)), F.count_if("off")).first()
+        own = {r.nearest: r.n for r in checked.groupBy("nearest").agg(F.count(F.lit(1)).alias("n")).collect()}
+        given = {r[0]: r[1] for r in rs.cluster_sizes(preds).select("prediction", "size").collect()}
+        largest = {r.prediction for r in rs.largest_group(preds, group_col="prediction").select("prediction").distinct().collect()}
+        first = min(own, key=lambda c: (-own[c], c))
+        out.append((float(p), users, off, len(given), own == given, largest == {first}))
+    return spark.createDataFrame(out, "fraction double, n_users long, n_off long, n_clusters long, sizes_ok boolean, largest_ok boolean")
+
+
 def _cuts(spark, sf_dir):
     return _memo(spark, sf_dir, "cuts", lambda: sp.chrono_cutoffs(_ratings(spark, sf_dir)))
 

@@ -14,9 +14,10 @@ def test_cv_grid_best_and_refit(spark, sf_small):
     train, test = wf.particle_split(spark, sf_small)
     model, named = tn.cross_validate(train, "rf", wf.PARTICLE_FEATURES,
                                      grid={"maxDepth": [3, 6], "numTrees": [3]}, folds=2)
-    table = tn.cv_results(spark, "rf", model, named)
+    metrics = list(model.avgMetrics)
+    table = tn.cv_results(spark, "rf", metrics, named)
     assert table.count() == 2
-    best = tn.best_params(model, named)
+    best = tn.best_params(metrics, named)
     assert best in named
     assert table.filter("rank = 1").first().params.find(str(best["maxDepth"])) >= 0
     fitted = tn.refit(train, "rf", wf.PARTICLE_FEATURES, best)
@@ -111,19 +112,22 @@ def test_claims_models_beat_the_constant(spark, sf_small):
 
 
 def test_registered_searches_run_the_original_grids(spark, sf_small, monkeypatch):
-    from types import SimpleNamespace
-
+    from quarry.operators import search as se
     from quarry.plans.registry import QUERIES
 
     asked = {}
 
-    def recorded(train, kind, features, grid=None, folds=3, **_):
-        _, clf = tn.build_pipeline(kind, features)
-        maps = tn.param_maps(clf, grid or tn.default_grid(kind, len(features)))
-        asked[kind] = (len(maps), folds)
-        return SimpleNamespace(avgMetrics=[0.5] * len(maps)), [{p.name: v for p, v in m.items()} for m in maps]
+    def recorded(table, kind, features, grid, *, folds, **_):
+        maps = [{p.name: v for p, v in m.items()} for m in tn.param_maps(tn.classifier(kind), grid)]
+        asked[kind] = (len(maps), folds, len(features))
+        return maps, [0.5] * len(maps)
 
-    monkeypatch.setattr(tn, "cross_validate", recorded)
+    monkeypatch.setattr(se, "grid_scores", recorded)
     monkeypatch.setattr(wf, "_MEMO", {})
     assert [QUERIES[f"{k}_cv"](spark, sf_small).count() for k in wf.MODELS] == [243, 81, 486]
-    assert asked == {"rf": (243, 5), "gbt": (81, 5), "mlp": (486, 5)}
+    assert asked == {"rf": (243, 5, 28), "gbt": (81, 5, 28), "mlp": (486, 5, 28)}
+
+
+def test_claims_models_see_the_whole_width(spark, sf_small):
+    _, _, ohe, idx = wf.claims_prepared(spark, sf_small)
+    assert len(ohe) == len(idx) == 33 and "Cat7ohe" not in ohe

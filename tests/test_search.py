@@ -1,0 +1,123 @@
+"""Grid search that shares work: same scores as separate fits, resumable, read by later applications."""
+
+import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from quarry.operators import search as se
+from quarry.operators import tuning as tn
+from quarry.plans import workflows as wf
+from quarry.sources.files import PARTICLE_FEATURES
+
+FEATURES = PARTICLE_FEATURES[:6]
+GRIDS = {
+    "rf": {"maxDepth": [1, 3], "numTrees": [1, 2], "subsamplingRate": [0.5]},
+    "gbt": {"maxDepth": [1, 2], "maxIter": [2, 4, 6], "subsamplingRate": [0.5, 0.9]},
+    "mlp": {"tol": [1e-6, 1e-2], "layers": [[6, 4, 2]], "stepSize": [0.03, 0.05], "blockSize": [32], "solver": ["l-bfgs", "gd"],
+            "maxIter": [3, 6]},
+}
+
+
+@pytest.fixture(scope="module")
+def table(spark, sf_small):
+    return wf.particle_split(spark, sf_small)[0].where(F.col("row_key").cast("long") % 4 == 0).persist()
+
+
+@pytest.mark.parametrize("kind", sorted(GRIDS))
+def test_scores_equal_separate_fits(table, kind):
+    named, means = se.grid_scores(table, kind, FEATURES, GRIDS[kind], key="row_key", folds=2, parallelism=4)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select(
+        "label", "features", se.fold_of("row_key", 2, 42).alias("fold")).coalesce(1).persist()
+    f1 = MulticlassClassificationEvaluator(labelCol="label")
+    for params, mean in zip(named, means):
+        own = [f1.evaluate(tn.classifier(kind).setParams(**params).fit(rows.where(F.col("fold") != f)).transform(rows.where(F.col("fold") == f)))
+               for f in range(2)]
+        assert abs(sum(own) / 2 - mean) < 1e-12, params
+    rows.unpersist()
+
+
+def test_the_first_trees_are_the_smaller_model(spark, table):
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).coalesce(1)
+    fit = lambda n: tn.classifier("gbt").setParams(maxIter=n, maxDepth=3, subsamplingRate=0.5).fit(rows)
+    long, short = fit(8), fit(3)
+    cut = se.first_trees(long, 3)
+    assert cut.toDebugString.split("\n")[1:] == short.toDebugString.split("\n")[1:] and cut.treeWeights == short.treeWeights
+
+
+def test_perceptrons_share_only_what_is_equal():
+    fits = []
+
+    class Model:
+        def __init__(self, p):
+            self.p = p
+            full = p["maxIter"] + (p["solver"] == "l-bfgs")
+            self.objectiveHistory = [0.0] * (4 if p["tol"] >= 1e-2 and p["maxIter"] > 3 else full)  # stops early at a loose tol
+
+        def summary(self):
+            return self
+
+    def fit(p):
+        fits.append((p["tol"], p["maxIter"]))
+        return Model(p)
+
+    maps = {i: {"tol": t, "maxIter": m, "solver": "gd"} for i, (t, m) in enumerate((t, m) for t in (1e-6, 1e-4, 1e-2) for m in (3, 5, 9))}
+    scores = se._perceptrons(maps, fit, lambda model: (model.p["tol"], model.p["maxIter"]))
+    # with 3 iterations all tolerances are one fit; the loose one stops early, so its 5 is also its 9; the others run on
+    assert sorted(fits) == [(1e-4, 5), (1e-4, 9), (1e-2, 3), (1e-2, 5)]
+    assert scores[0] == scores[3] == scores[6] == (1e-2, 3) and scores[8] == (1e-2, 5) and scores[2] == (1e-4, 9)
+
+
+def test_a_broken_off_search_goes_on(spark, table, tmp_path, monkeypatch):
+    store, real, calls = str(tmp_path / "scores"), se._score, []
+    monkeypatch.setattr(se, "_WRITE_EVERY", 1)
+
+    def breaks(model, valid, classes):
+        calls.append(1)
+        if len(calls) == 4:
+            raise RuntimeError("lost")
+        return real(model, valid, classes)
+
+    monkeypatch.setattr(se, "_score", breaks)
+    ask = lambda: se.grid_scores(table, "rf", FEATURES, GRIDS["rf"], key="row_key", folds=2, parallelism=1, store=store)
+    with pytest.raises(RuntimeError):
+        ask()
+    named, means = ask()
+    assert len(calls) < 2 * 8  # what was scored before is not scored again
+    before = len(calls)
+    assert ask() == (named, means) and len(calls) == before
+    fresh = se.grid_scores(table, "rf", FEATURES, GRIDS["rf"], key="row_key", folds=2, parallelism=2)
+    assert fresh == (named, means)
+
+
+def test_models_are_fitted_once_and_read_later(spark, table, tmp_path):
+    made = []
+
+    def fit():
+        made.append(1)
+        return tn.refit(table, "rf", FEATURES, {"maxDepth": 2, "numTrees": 2})
+
+    path = str(tmp_path / "model")
+    a, b = se.saved_model(spark, path, fit), se.saved_model(spark, path, fit)
+    assert made == [1] and a.stages[-1].toDebugString == b.stages[-1].toDebugString
+
+
+def test_folds_have_nothing_to_do_with_samples(spark):
+    from quarry.operators import splits as sp
+
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("row_key"))
+    sample = sp.hash_sample(keys, "row_key", 0.1, seed=42).withColumn("fold", se.fold_of("row_key", 5, 42))
+    sizes = [r["count"] for r in sample.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 300
+
+
+def test_the_tuning_table_is_pinned_while_it_is_needed(spark):
+    df = spark.range(10)
+    with se.pinned(df) as held:
+        assert held.storageLevel.useMemory
+    assert not df.storageLevel.useMemory
+
+
+def test_fingerprints_know_rows_not_order(spark):
+    a = spark.range(100).selectExpr("id", "id * 2 AS b")
+    assert se.fingerprint(a) == se.fingerprint(a.orderBy(F.desc("id"))) != se.fingerprint(a.where("id > 0"))
