@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import (
     decontaminate,
+    instruct,
     lexical,
     licenses,
     minhash,
@@ -39,6 +40,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op1_instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with their prompts, under limits on tokens, segments and loss-bearing tokens that all bind."""
+    return instruct.pack_conversations(_table(spark, sf_dir, "conversations"), tokenizer_file())
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.deduplicate(_table(spark, sf_dir, "documents"), length=400, keep="none")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -150,7 +156,7 @@ def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
+    op1_packing, op1_instruction_packing, op2_suffix_dedup, op3_license_scan, op4_sharding, op5_toxicity, op6_substring_dedup,
     op6_all_repeats, op7_decontamination, op8_preference, op9_minhash_dedup, op10_quality_rules,
     op11_lexical_search, op12_conversation_repair, op13_simhash_dedup)}
 

@@ -1,0 +1,81 @@
+"""Instruction packing: exact round trip of prompts, answers and limits."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from quarry.llm import instruct
+from quarry.llm.queries import op1_instruction_packing, tokenizer_file
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(tokenizer_file())
+
+
+def by_hand(rows, tokenizer):
+    """{conv_id: (ids with the end, prompt ids)} of (conv_id, turn, role, text) rows."""
+    turns = defaultdict(set)
+    for c, n, role, text in rows:
+        if c is not None:
+            turns[c].add((n is not None, n or 0, role or "unknown", text or ""))
+    out = {}
+    for c, found in turns.items():
+        shown = [(role, f"<|{role}|>\n{text}<|end|>\n") for _, _, role, text in sorted(found)]
+        spoken = [k for k, (role, _) in enumerate(shown) if role == "assistant"]
+        n = spoken[-1] if spoken else len(shown)
+        encode = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+        out[c] = (encode("".join(t for _, t in shown)) + [1], len(encode("".join(t for _, t in shown[:n]))))
+    return out
+
+
+def check(rows, pieces, tokenizer, tokens, segments, loss):
+    want, got, sequences = by_hand(rows, tokenizer), Counter(), defaultdict(list)
+    for p in pieces:
+        ids, prompt = want[p.conv_id]
+        assert p.conv_tokens == len(ids)
+        assert zlib.crc32(np.array(ids[p.start : p.start + p.length], "<u4").tobytes()) == p.ids_crc32
+        assert p.loss_tokens == max(0, p.start + p.length - max(p.start, min(prompt, len(ids))))
+        got[p.conv_id] += p.length
+        sequences[p.sequence_id].append(p)
+    assert got == {c: len(ids) for c, (ids, _) in want.items()}
+    for parts in sequences.values():
+        n, said, at = sum(p.length for p in parts), sum(p.loss_tokens for p in parts), 0
+        for p in sorted(parts, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert n <= tokens and len(parts) <= segments and said <= loss and (n == tokens or n & (n - 1) == 0)
+        closed = "tokens" if n == tokens else "segments" if len(parts) == segments else "loss" if said == loss else "rest"
+        assert {p.closed_by for p in parts} == {closed}
+    return Counter(parts[0].closed_by for parts in sequences.values())
+
+
+def test_whole_table(spark, sf_small, tokenizer):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    check(rows, op1_instruction_packing(spark, sf_small).collect(), tokenizer, 2048, 8, 512)
+
+
+def test_every_limit_closes_sequences(spark, tokenizer):
+    rows = []
+    for c in range(240):
+        if c % 3 == 0:  # long prompt, short answer: tokens
+            rows += [(c, 0, "user", "word " * 70), (c, 1, "assistant", "yes")]
+        elif c % 3 == 1:  # short both: segments
+            rows += [(c, 0, "user", "a"), (c, 1, "assistant", "b")]
+        else:  # long answer: loss
+            rows += [(c, 0, "user", "tell"), (c, 1, "assistant", "fine words " * 30)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    pieces = instruct.pack_conversations(frame, tokenizer_file(), max_tokens=256, max_segments=6, max_loss=64).collect()
+    closed = check(rows, pieces, tokenizer, 256, 6, 64)
+    assert closed["loss"] > 0 and closed["tokens"] + closed["segments"] > 0 and sum(closed.values()) > 50
+
+
+def test_odd_rows(spark, tokenizer):
+    rows = [(1, None, None, None), (1, 0, "user", "x"), (1, 0, "user", "x"), (2, 1, "assistant", "only me"), (None, 1, "user", "lost"),
+            (3, 1, "user", "no answer"), (4, 1, "assistant", "long " * 5000), (5, 0, "tool", "")]
+    frame = spark.createDataFrame([(*r, 0, "p") for r in rows], "conv_id long, turn int, role string, text string, start int, prompt string")
+    check(rows, instruct.pack_conversations(frame, tokenizer_file()).collect(), tokenizer, 2048, 8, 512)
+    assert instruct.pack_conversations(frame.limit(0), tokenizer_file()).count() == 0
