@@ -9,7 +9,9 @@ scaled by ``r``.
 The counts cover all training rows.  The regression is fitted on at most
 ``sample`` rows of each label, those of the smallest hash of their id, weighted
 so that the labels keep their shares.  Every text is scored in full.  The driver
-receives ``DIM`` pairs of counts and the features of the sample.
+receives ``DIM`` pairs of counts and the features of the sample, of which
+``sample_bytes`` bounds each label's bytes: with very long texts fewer rows are
+taken (one at least, of 4 x ``DIM`` bytes at most).
 
 Defined cases: null and empty texts have no features and get the score of the
 intercept; a document labelled twice is toxic if any label says so; null labels
@@ -141,7 +143,7 @@ def fit_logistic(places: list[np.ndarray], labels: np.ndarray, weights: np.ndarr
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 1024,
-          smoothing: float = 1.0, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+          sample_bytes: int = 128 << 20, smoothing: float = 1.0, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """(weights, intercept) from the labelled rows that are not held out."""
     marks = (labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out("doc_id"))
              .groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
@@ -164,6 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     for label in (0, 1):
         part = marks.where(F.col("toxic") == label).orderBy(F.xxhash64("__id"), "__id").limit(sample)
         picked = part if picked is None else picked.unionByName(part)
+    picked = _within(texts, picked, sample_bytes)
     fitted = texts.join(F.broadcast(picked), "__id").select("text", "toxic").mapInArrow(  # 2 x sample rows at most
         _features, "toxic int, places binary").toArrow()
     y = fitted.column("toxic").to_numpy().astype(np.float32)
@@ -172,6 +175,20 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return fit_logistic(places, y, share[y.astype(int)], ratio, l2)
 
 
+def _within(texts: DataFrame, picked: DataFrame, most: int) -> DataFrame:
+    """The picked ids (__id, toxic) up to ``most`` bytes of features for each label, in the order of their hash."""
+    size = F.lit(4) * F.least(F.lit(len(ORDERS)) * F.length(F.coalesce("text", F.lit(""))), F.lit(DIM))
+    sizes = (texts.join(F.broadcast(picked), "__id").groupBy("__id", "toxic").agg(F.sum(size.cast("long")).alias("size"))
+             .select("toxic", F.xxhash64("__id").alias("h"), "__id", "size").collect())  # a row per picked id
+    room, kept = {}, []
+    for r in sorted(sizes):
+        left = room.get(r.toxic, most)
+        if r.toxic not in room or r.size <= left:
+            kept.append((r["__id"], r.toxic))
+            room[r.toxic] = left - r.size
+    return texts.sparkSession.createDataFrame(kept, "__id long, toxic int")
+
+
 def _scores(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     weights, bias = model.value
     grams = Grams()
