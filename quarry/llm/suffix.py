@@ -14,7 +14,9 @@ string of ``length`` bytes that covers it also starts elsewhere.
    doubling up to ``length`` bytes and finds each suffix's previous and next
    smaller position in suffix order.  The larger of the two common prefixes is
    the longest previous factor: a match of ``length`` bytes that starts earlier.
-   The same with larger positions gives later matches.
+   The same with larger positions gives later matches.  Only factors of ``length``
+   bytes remove anything, so here the array is asked whether a factor reaches
+   that (equal rank at this depth), not how long a shorter one is.
 
 ``keep="none"`` removes every repeated byte, ``keep="first"`` only those with an
 earlier match (documents in order of id), so the first copy stays.
@@ -266,7 +268,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _with_text(rows: DataFrame, runs: DataFrame, columns: list[str]) -> DataFrame:
     """(node, text_key, text, runs): the texts of the given runs; equal rows once."""
-    per_text = runs.groupBy("node", "text_key").agg(F.collect_list(F.struct(*columns)).alias("runs"))
+    per_text = runs.select("node", "text_key", *columns).distinct().groupBy("node", "text_key").agg(
+        F.collect_list(F.struct(*columns)).alias("runs"))  # repeated rows have the same runs
     return rows.join(per_text, ["node", "text_key"]).dropDuplicates(["node", "text_key"]).select("node", "text_key", "text", "runs")
 
 
@@ -363,7 +366,8 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     point at a span's edge, so they stay bytes.
     """
     spans = covered_spans(docs, id_col=id_col, text_col=text_col, length=length, keep=keep)
-    per_text = spans.groupBy("node", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    per_text = spans.distinct().groupBy("node", "text_key").agg(
+        F.collect_list(F.struct("lo", "hi")).alias("spans"))  # repeated rows share their spans; summed before the shuffle
     joined = _rows(docs, id_col, text_col).join(per_text, ["node", "text_key"], "left")
     return joined.select(F.when(F.col("node") < NO_ID, F.col("node")).alias("doc_id"), "text", "spans").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, "

@@ -82,3 +82,12 @@ def test_longest_previous_factor():
                 m += 1
             best = max(best, m)
         assert factors[n] == best
+
+
+def test_one_text_under_many_equal_rows(spark):
+    from pyspark.sql import functions as F
+
+    text = "".join(random.Random(5).choice("abcdefgh ") for _ in range(410))
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    rows = suffix.deduplicate(docs, length=400).groupBy("n_removed", "n_spans").count().collect()
+    assert [tuple(r) for r in rows] == [(410, 1, 100_000)]
