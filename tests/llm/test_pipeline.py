@@ -126,3 +126,24 @@ def test_labelled_signals_are_computed_once(spark, sf_small, monkeypatch):
     out = stages.quality_rules(spark, spark.read.parquet(f"{sf_small}/documents.parquet"), sf_small)
     copies = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("array_sort(")
     assert copies(seen[0]) == 0 and copies(out) <= 4  # an evaluation has two, and the filter has the count twice
+
+
+CLASHING = ["n_words", "kept", "signal_marks", "cutoff_symbols", "base_failed", "stratum", "__stratum", "__text", "__words", "__lines",
+            "__spans", "__node", "__key", "__id", "__digest", "__hit", "__hit_key", "__kept_id", "node", "text_key", "unit", "start",
+            "component", "component_id", "rep", "keys", "d1", "req", "runs", "chunk", "row", "at", "words", "item_id", "similarity",
+            "prompt", "piece", "ids", "sequence_id", "offset", "length", "__column_0"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_columns_of_any_name_pass_unchanged(spark, sf_small, name, stage):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    wide = docs.select("*", *[(F.col("doc_id") * 100 + i).alias(c) for i, c in enumerate(CLASHING)])
+    plain, out = stage(spark, docs, sf_small), stage(spark, wide, sf_small)
+    if name == "packing":
+        tally = lambda df: df.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+        assert sorted(map(tuple, tally(out))) == sorted(map(tuple, tally(plain)))
+        return
+    assert out.columns == wide.columns and out.schema == wide.schema
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted((r.doc_id, r.text) for r in plain.collect())
+    wrong = [F.col(f"`{c}`") != F.col("doc_id") * 100 + i for i, c in enumerate(CLASHING)]
+    assert out.where(F.greatest(*[w.cast("int") for w in wrong]) > 0).count() == 0
