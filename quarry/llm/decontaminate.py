@@ -24,8 +24,10 @@ on the benchmark alone.  The benchmark is the query set: it is broadcast to the
 tasks, and ``MOST_ITEMS`` bounds one round's share of it.  A larger one is
 searched in several rounds over the documents, so no item is left out; the
 shingles are then counted once over the whole benchmark, and every round gets
-the counts of those that several items hold (any other has the top weight), so
-the result does not depend on the number of rounds.
+the counts of those of its own that several items hold (any other has the top
+weight), so the result does not depend on the number of rounds.  The index is made
+once per worker process and consists of sorted arrays: block values are looked up
+in postings of the items that share a shingle with the text.
 
 Defined cases: null or empty texts and items match nothing; items with fewer
 than 5 words are one shingle of all their words; repeated rows are reported each;
@@ -36,6 +38,7 @@ are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -45,11 +48,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import GOLDEN, WordHashes, mix, shingle_hashes, small_batches, utf8
+from quarry.llm.common import GOLDEN, WordHashes, mix, saved, shingle_hashes, small_batches, utf8
 
 MOST_ITEMS = 20_000  # items searched in one round over the documents
 BITS, BLOCKS, RADIUS = 256, 32, 63
-_STRETCH = 4096  # windows fingerprinted at once
+_STRETCH = 1024  # windows fingerprinted at once
 _HITS = ("doc_id long, text_key string, item_id long, similarity double, start_word long, n_words long")
 _ARROW = pa.schema([("doc_id", pa.int64()), ("text_key", pa.string()), ("item_id", pa.int64()),
                     ("similarity", pa.float64()), ("start_word", pa.int64()), ("n_words", pa.int64())])
@@ -68,54 +71,85 @@ def fingerprint(sums: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Items by size with weights, fingerprints and the multi-index of their blocks."""
+    """Items by size with weights and fingerprints, as sorted arrays.
+
+    ``key`` holds the distinct shingles of all items (with their length in words
+    mixed in, as they are hashed), ``weight`` their weights; per item its shingles
+    (as numbers of ``key``) with counts, per shingle its items.
+    """
 
     def __init__(self, items: list[tuple], size: int, known: WordHashes, shared: tuple | None = None):
-        """``shared``: (items of the whole benchmark, its shingles that several items hold, their counts); None: all are here."""
+        """``shared``: (items of the whole benchmark, shingles here that several of its items hold, their counts); None: all are here."""
         self.size = size
         texts = [(item_id, known.of((text or "").encode("utf-8", "surrogatepass").lower().split())) for item_id, text in items]
         texts = [(i, w) for i, w in texts if len(w)]
         self.ids = [i for i, _ in texts]
         self.words = [len(w) for _, w in texts]
         runs = [shingle_hashes(w, min(size, len(w))) for _, w in texts]
-        if shared is None:
-            n_all, held = len(texts), Counter(s for r in runs for s in set(r.tolist()))
-        else:
-            n_all, held = shared[0], dict(zip(shared[1].tolist(), shared[2].tolist()))
+        bags = [np.unique(r, return_counts=True) for r in runs]
+        self.stop = np.cumsum([0, *(len(b) for b, _ in bags)])
+        flat = np.concatenate([b for b, _ in bags]) if bags else np.empty(0, np.uint64)
+        self.key, at, held = np.unique(flat, return_inverse=True, return_counts=True)
+        self.shingle = at.astype(np.int32)  # rising within an item
+        self.count = np.concatenate([n for _, n in bags]).astype(np.int32) if bags else np.empty(0, np.int32)
+        n_all = len(texts) if shared is None else shared[0]
+        if shared is not None:
+            held = np.ones(len(self.key), np.int64)
+            held[np.searchsorted(self.key, shared[1])] = shared[2]
         self.top = 1 + math.log(max(1, n_all))  # of a shingle that at most one item holds
-        self.weight = {s: 1 + math.log(n_all / n) for s, n in held.items()}
-        self.bags = [Counter(r.tolist()) for r in runs]
-        self.total = [sum(n * self.weight.get(s, self.top) for s, n in bag.items()) for bag in self.bags]
-        self.where = defaultdict(list)  # (shingle length, shingle) -> items
-        for k, r in enumerate(runs):
-            for s in set(r.tolist()):
-                self.where[s].append(k)
-        self.lengths = sorted({min(size, n) for n in self.words})
-        self.sorted = {n: np.unique(np.array([s for k, r in enumerate(runs) if min(size, self.words[k]) == n
-                                              for s in r.tolist()], np.uint64)) for n in self.lengths}
+        self.weight = 1 + np.log(max(1, n_all) / held)
+        self.total = [float((self.weight[self.shingle[a:b]] * self.count[a:b]).sum()) for a, b in zip(self.stop, self.stop[1:])]
+        order = np.argsort(self.shingle, kind="stable")
+        self.item = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(self.stop))[order]  # by shingle
+        self.item_stop = np.searchsorted(self.shingle[order], np.arange(len(self.key) + 1))
+        self.grams = np.array([min(size, n) for n in self.words], np.int64)
+        self.lengths = sorted(set(self.grams.tolist()))
         self.prints = np.concatenate([fingerprint((bit_signs(r) * np.sqrt(self.weights(r))[:, None]).sum(axis=0)[None]) for r in runs]) \
             if runs else np.empty((0, BLOCKS), np.uint8)
-        self.blocks = np.zeros((BLOCKS, 256, max(1, len(texts))), bool)  # block value -> items within one bit
-        near = [0, *(1 << b for b in range(8))]
-        for b in range(BLOCKS):
-            for flip in near:
-                self.blocks[b, self.prints[:, b] ^ flip, np.arange(len(texts))] = True
+
+    def numbers(self, shingles: np.ndarray) -> np.ndarray:
+        """The numbers of shingles, -1 for those of no item."""
+        if not len(self.key):
+            return np.full(len(shingles), -1)
+        at = np.minimum(np.searchsorted(self.key, shingles), len(self.key) - 1)
+        return np.where(self.key[at] == shingles, at, -1)
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
-        get, top = self.weight.get, self.top
-        return np.array([get(s, top) for s in shingles.tolist()], np.float32)
+        at = self.numbers(shingles)
+        return np.where(at >= 0, self.weight[at] if len(self.key) else 0, self.top).astype(np.float32)
+
+    def postings(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys (block, value) of the items' blocks and their one-bit neighbours, and the item of each."""
+        near = np.array([0, *(1 << b for b in range(8))], np.int64)
+        keys = (np.arange(BLOCKS)[:, None] * 256 + (self.prints[items].astype(np.int64)[:, :, None] ^ near)).ravel()
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.repeat(items, BLOCKS * len(near))[order]
 
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Weighted Jaccard of the item's and a window's shingle multisets."""
-        common = both = 0.0
-        bag, get, top = self.bags[item], self.weight.get, self.top
-        for s, n in Counter(window.tolist()).items():
-            w = get(s, top)
-            common += min(n, bag.get(s, 0)) * w
-            both += n * w
+        found, n = np.unique(window, return_counts=True)
+        at = self.numbers(found)
+        both = float((n * np.where(at >= 0, self.weight[at], self.top)).sum())
+        a, b = self.stop[item], self.stop[item + 1]
+        own = self.shingle[a:b]
+        place = np.minimum(np.searchsorted(own, at), len(own) - 1)
+        mine = np.flatnonzero(own[place] == at)
+        common = float((np.minimum(n[mine], self.count[a:b][place[mine]]) * self.weight[at[mine]]).sum())
         return round(common / (both + self.total[item] - common), 9)
 
 
+def candidates(prints: np.ndarray, keys: np.ndarray, items: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(window, item) of all pairs that agree to within one bit in a block: a lookup of every block value in the postings."""
+    asked = (np.arange(BLOCKS) * 256 + prints).ravel()
+    lo, hi = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
+    hits = np.flatnonzero(hi > lo)
+    if len(hits):
+        n = hi[hits] - lo[hits]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[hits], n)
+        pairs = np.unique(np.repeat(hits // BLOCKS, n) << 32 | items[at])
+        yield from zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist())
+
+
 def _stretches(hits: np.ndarray, window: int, last: int) -> Iterator[tuple[int, int]]:
     """Ranges [lo, hi) of window starts that hold one of the hit places."""
     lo = hi = -1
@@ -138,16 +172,16 @@ def matches(words: np.ndarray, index: Index, threshold: float) -> Iterator[tuple
         shingles = shingle_hashes(words, n)
         if not len(shingles):
             continue
-        own = index.sorted[n]
-        at = np.searchsorted(own, shingles)
-        places = np.flatnonzero(own[np.minimum(at, len(own) - 1)] == shingles)
+        number = index.numbers(shingles)
+        places = np.flatnonzero(number >= 0)
         if not len(places):
             continue
         of_item = defaultdict(list)
         for p in places.tolist():
-            for k in index.where[int(shingles[p])]:
-                if min(index.size, index.words[k]) == n:
-                    of_item[k].append(p)
+            k = number[p]
+            for item in index.item[index.item_stop[k] : index.item_stop[k + 1]].tolist():
+                if index.grams[item] == n:
+                    of_item[item].append(p)
         by_window = defaultdict(list)  # windows of one size are fingerprinted once
         for k, hits in of_item.items():
             by_window[index.words[k] - n + 1].append(k)
@@ -155,7 +189,7 @@ def matches(words: np.ndarray, index: Index, threshold: float) -> Iterator[tuple
             window_at = min(window, len(shingles))  # a text shorter than the item is one window
             hits = np.unique(np.concatenate([of_item[k] for k in items]))
             best: dict[int, tuple] = {}
-            mine = np.array(items)
+            keys, of_key = index.postings(np.array(items))
             for lo, hi in _stretches(hits, window_at, len(shingles) - window_at):
                 for a in range(lo, hi, _STRETCH):
                     b = min(hi, a + _STRETCH)
@@ -163,9 +197,7 @@ def matches(words: np.ndarray, index: Index, threshold: float) -> Iterator[tuple
                     sums = np.zeros((len(part) + 1, BITS), np.float32)
                     np.cumsum(bit_signs(part) * np.sqrt(index.weights(part))[:, None], axis=0, out=sums[1:])
                     prints = fingerprint(sums[window_at:] - sums[:-window_at])
-                    near = index.blocks[np.arange(BLOCKS), prints].any(axis=1)[:, mine]  # multi-index lookup
-                    for w, j in zip(*np.nonzero(near)):
-                        k = int(mine[j])
+                    for w, k in candidates(prints, keys, of_key):
                         if int(np.bitwise_count(prints[w] ^ index.prints[k]).sum()) <= RADIUS:
                             s = index.similarity(k, shingles[a + w : a + w + window_at])
                             if s >= threshold and s > best.get(k, (0.0, 0))[0]:
@@ -184,20 +216,36 @@ def _item_shingles(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.
                 yield pa.RecordBatch.from_arrays([pa.array([None, *own.tolist()], pa.int64())], names=["shingle"])
 
 
-def _shared(items: DataFrame, size: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """(items with a word, shingles that several items hold, their counts) of the whole benchmark."""
-    counts = (items.select("text").mapInArrow(partial(_item_shingles, size=size), "shingle long")
-              .groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("shingle IS NULL OR n > 1").collect())
-    total = next((r.n for r in counts if r.shingle is None), 0)
-    several = [(r.shingle, r.n) for r in counts if r.shingle is not None]
-    keys, n = (np.array([x[i] for x in several], np.int64) for i in (0, 1))
+def _held(items: DataFrame, size: int) -> DataFrame:
+    """(shingle, n): by how many items it is held, for those of several; a null shingle counts the items with a word."""
+    return saved(items.select("text").mapInArrow(partial(_item_shingles, size=size), "shingle long")
+                 .groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("shingle IS NULL OR n > 1"), "item_shingles")
+
+
+def _shared(held: DataFrame, part: DataFrame, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(items of the benchmark, the round's shingles that several hold, their counts): bounded by the round's items."""
+    total = held.where("shingle IS NULL").agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    own = part.select("text").mapInArrow(partial(_item_shingles, size=size), "shingle long").where("shingle IS NOT NULL").distinct()
+    rows = held.join(own, "shingle", "left_semi").collect()
+    keys, n = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
     return total, keys.view(np.uint64), n
 
 
-def _search(batches: Iterable[pa.RecordBatch], items: list[tuple], size: int, threshold: float,
+_INDEXES: dict[str, Index] = {}
+
+
+def _index(name: str, items: list[tuple], size: int, shared: tuple | None) -> Index:
+    """The round's index, made once in a worker process; the one of an earlier round goes."""
+    if name not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[name] = Index(items, size, WordHashes(), shared)
+    return _INDEXES[name]
+
+
+def _search(batches: Iterable[pa.RecordBatch], name: str, items: list[tuple], size: int, threshold: float,
             shared: tuple | None = None) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
-    index = Index(items, size, known, shared)
+    index = _index(name, items, size, shared)
     for batch in small_batches(batches, "text"):
         rows = []
         for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), utf8(batch.column(1))):
@@ -218,11 +266,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                         F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_key"))
     chosen = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
     rounds = max(1, -(-chosen.count() // MOST_ITEMS))
-    shared = None if rounds == 1 else _shared(chosen, size)  # one table of weights for all rounds
+    held = None if rounds == 1 else _held(chosen, size)  # one table of counts for all rounds
     found = None
     for k in range(rounds):
         part = chosen if rounds == 1 else chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k)
         items = [(r[0], r[1]) for r in part.collect()]  # the query set, MOST_ITEMS on average
-        hits = plain.mapInArrow(partial(_search, items=items, size=size, threshold=threshold, shared=shared), _HITS)
+        shared = None if held is None else _shared(held, part, size)
+        hits = plain.mapInArrow(partial(_search, name=uuid.uuid4().hex, items=items, size=size, threshold=threshold, shared=shared), _HITS)
         found = hits if found is None else found.unionByName(hits)
     return found

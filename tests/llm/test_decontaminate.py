@@ -73,7 +73,7 @@ def test_blocks_find_everything_within_the_radius():
         for _ in range(50):
             bits = own.copy()
             bits[rng.choice(256, distance, replace=False)] ^= 1
-            assert index.blocks[np.arange(32), np.packbits(bits)].any()
+            assert list(decontaminate.candidates(np.packbits(bits)[None], *index.postings(np.array([0])))) == [(0, 0)]
 
 
 def test_uneven_weights_are_found():
@@ -87,3 +87,26 @@ def test_uneven_weights_are_found():
         changed = known.of([w.encode() for w in [*words[:-2], "other", "words"]])
         ((_, similarity, _),) = decontaminate.matches(changed, index, 0.8)
         assert abs(similarity - 0.846) < 1e-3
+
+
+def test_postings_find_all_items_within_one_bit_of_a_block():
+    import numpy as np
+
+    from quarry.llm.common import WordHashes
+
+    items = [(k, " ".join(f"w{(7 * k + j) % 50}" for j in range(12 + k % 5))) for k in range(40)]
+    index = decontaminate.Index(items, 5, WordHashes())
+    keys, of = index.postings(np.arange(5, 40))
+    assert (np.diff(keys) >= 0).all() and len(keys) == 35 * decontaminate.BLOCKS * 9
+    draw = np.random.default_rng(1)
+    prints = np.concatenate([index.prints[:8], draw.integers(0, 256, (30, decontaminate.BLOCKS), np.uint8)])
+    got = set(decontaminate.candidates(prints, keys, of))
+    want = {(w, k) for w in range(len(prints)) for k in range(5, 40) if (np.bitwise_count(prints[w] ^ index.prints[k]) <= 1).any()}
+    assert got == want
+
+
+def test_index_is_made_once_per_worker():
+    decontaminate._INDEXES.clear()
+    a = decontaminate._index("x", [(1, "a b c d e f")], 5, None)
+    assert decontaminate._index("x", [], 5, None) is a
+    assert decontaminate._index("y", [], 5, None) is not a and list(decontaminate._INDEXES) == ["y"]
