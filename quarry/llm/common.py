@@ -18,6 +18,8 @@ from quarry.session import scratch_path
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder and read it back.
@@ -25,9 +27,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The table outlives lost executors; every call gets a fresh path, so no
     frame ever reads a path that is written again.
     """
-    path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # the write's shuffle files go when it ends, not when the driver collects its garbage
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def digest(col: Column | str) -> Column:

@@ -61,7 +61,7 @@ class Words(dict):
     """word -> 64-bit hash of its lower case; bit 0: it ends a clause, bit 1: a long clause may be cut after it."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         value = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) & ~3
         value |= (word[-1] in ".!?,;:") | (len(word) % 8 == 0) << 1
@@ -122,7 +122,7 @@ _UNITS = "node long, text_key long, at int, n int, d long, before int, after int
 
 def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = Words()
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", 2 << 20):
         out: list[list[np.ndarray]] = [[] for _ in range(7)]
         for k, text in enumerate(batch.column(2).to_pylist()):
             a, starts, stops = units(text or "", known)
@@ -159,7 +159,7 @@ def _diagonals(found: DataFrame, min_words: int) -> DataFrame:
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = Words()
-    for batch in small_batches(batches, "text"):
+    for batch in small_batches(batches, "text", 2 << 20):
         row, at, parts = [], [], []
         for k, text in enumerate(batch.column(2).to_pylist()):
             a = known.of((text or "").split())
