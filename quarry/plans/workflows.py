@@ -45,7 +45,7 @@ def _memo(spark: SparkSession, sf_dir: str, step: str, fn):
 # ------------------------------------------------------- classification ----
 
 MODELS = ("rf", "gbt", "mlp")
-TUNING_ROWS = 4_000  # labelled rows, on average, that a search is tuned on
+TUNING_ROWS = 1_500  # labelled rows, on average, that a search is tuned on
 FOLDS = 5
 
 
