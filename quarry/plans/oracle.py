@@ -231,7 +231,7 @@ SELECT l_orderkey AS Row_ID, l_suppkey AS Household_ID, CAST(l_linenumber AS BIG
        p_brand AS Blind_Make, p_brand || '.' || (p_size % 5) AS Blind_Model, p_brand || '.' || p_size AS Blind_Submodel,
        CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_type END AS Cat1, l_linestatus AS Cat2,
        {_letter('l_partkey', 3)} AS Cat3, CASE WHEN l_linenumber > 5 THEN NULL ELSE {_letter('l_partkey', 4)} END AS Cat4,
-       CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE {_letter('l_suppkey', 3)} END AS Cat5, {_letter('l_partkey', 6)} AS Cat6,
+       CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE {_letter('l_suppkey', 3)} END AS Cat5, {_letter('l_partkey', 6)} AS Cat6,
        CASE WHEN l_returnflag <> 'R' THEN NULL ELSE l_returnflag END AS Cat7, {_letter('l_suppkey', 2)} AS Cat8,
        {_letter('l_suppkey', 5)} AS Cat9, {_letter('l_orderkey', 3)} AS Cat10, {_letter('l_orderkey', 7)} AS Cat11,
        CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE {_letter('l_orderkey', 8)} END AS Cat12,

