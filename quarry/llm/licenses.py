@@ -28,6 +28,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -102,8 +103,6 @@ def _templates(spark) -> DataFrame:
 
 
 def _vocabulary() -> list[str]:
-    import re
-
     words = Counter()
     for _, text in TEMPLATES:
         words.update(t.strip(".") for t in re.split(r"[^a-z0-9.]+", text.lower()))
@@ -118,15 +117,38 @@ def _idf(df: Column, n_files: Column) -> Column:
     return F.log((n_files + 1) / (F.greatest(F.coalesce(df, F.lit(1)), F.lit(1)) + 1)) + 1
 
 
-def _reached(held: str, squares: list[tuple[dict, float]]) -> Column:
-    """Whether the terms ``held`` (an array column) can reach the threshold with a template.
+def _reached(held: Column | str, squares: list[tuple[dict, float]]) -> Column:
+    """Whether the terms ``held`` (an array) can reach the threshold with a template.
 
     A cosine is at most the root of the share of the template's squared weight
     that lies on shared terms.
     """
-    weighed = [f"aggregate({held}, 0D, (a, t) -> a + coalesce(element_at(map({', '.join(f'{chr(39)}{t}{chr(39)}, {w!r}D' for t, w in of.items())}), t), 0D)) >= {least!r}D"
-               for of, least in squares]
-    return F.expr("(" + " OR ".join(weighed) + ")")
+    held = F.col(held) if isinstance(held, str) else held
+
+    def shared(of: dict) -> Column:
+        weight = F.create_map(*[F.lit(x) for t, w in of.items() for x in (t, w)])
+        return F.aggregate(held, F.lit(0.0), lambda a, t: a + F.coalesce(F.element_at(weight, t), F.lit(0.0)))
+
+    out = F.lit(False)
+    for of, least in squares:
+        out = out | (shared(of) >= F.lit(least))
+    return out
+
+
+def _needed(squares: list[tuple[dict, float]]) -> list[str]:
+    """Terms of which a text holds at least one if it reaches the threshold with any template.
+
+    Of each template the heaviest terms, until what the others weigh together is too little.
+    """
+    out = set()
+    for of, least in squares:
+        rest = sum(of.values())
+        for term, weight in sorted(of.items(), key=lambda tw: (-tw[1], tw[0])):
+            if rest < least:
+                break
+            out.add(term)
+            rest -= weight
+    return sorted(out)
 
 
 def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
@@ -153,7 +175,10 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
 
     # the text's terms are made once: array(x) binds them, and inline keeps later filters off the expression
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    possible = saved(held.where(_reached("held", squares)).select("row", "path", "text"), "license_files").dropDuplicates(["row"])
+    # most texts lack every heavy term, which a search for parts of words shows; the others' terms are bound once
+    parts = "|".join(re.escape(t) for t in _needed(squares))
+    bound = F.transform(F.array(F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})")), lambda h: _reached(h, squares))
+    possible = saved(files.where(F.lower("text").rlike(parts)).where(bound[0]).select("row", "path", "text"), "license_files").dropDuplicates(["row"])
     lines = possible.select(
         "row", "path", name.rlike(FILE_NAME).alias("is_license"),
         F.expr(f"transform(split(coalesce(text, ''), '\n'), line -> {terms('line')})").alias("lines"))
@@ -164,7 +189,7 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     starts = f"""transform(filter(sequence(1, {n}), i -> size(own[i - 1]) > 0), i ->
         struct(i AS at, slice(lines, i, {WINDOW}) AS lines, slice(own, i, {WINDOW}) AS own))"""
     windows = (lines.select("row", "path", F.inline(F.expr(starts)))
-               .where(_reached("array_distinct(flatten(own))", squares))
+               .where(_reached(F.expr("array_distinct(flatten(own))"), squares))
                .select("*", F.explode(F.expr(f"filter(sequence(1, {n}), j -> size(own[j - 1]) > 0)")).alias("length"))
                .withColumns({c: F.expr(f"slice({c}, 1, length)") for c in ("lines", "own")}))
     gaps = f"concat(array(0), filter(sequence(1, {n}), i -> size(lines[i - 1]) = 0), array({n} + 1))"
