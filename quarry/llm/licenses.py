@@ -84,6 +84,7 @@ TEMPLATES = (
                      "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
 )
 WINDOW = 10  # lines that a wrapped notice may take
+MOST_ROWS = 200_000  # row digests that may be broadcast
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 _BREAK = r"[^\p{L}0-9.]+"
 
@@ -159,7 +160,7 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     spark = files.sparkSession
     words = _sql_array(_vocabulary())
     templates = _templates(spark)
-    held = files.select("row", "path", "text", F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})").alias("held"))
+    held = saved(files.select("row", F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})").alias("held")), "held_terms")
     n_files = F.lit(float(max(1, files.count())))
     idf = saved(
         templates.select("term").distinct().join(
@@ -173,12 +174,13 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
         of_template.setdefault(r.template, {})[r.term] = r.w * r.w
     squares = [(of, (threshold * threshold - 1e-6) * sum(of.values())) for of in of_template.values()]
 
-    # the text's terms are made once: array(x) binds them, and inline keeps later filters off the expression
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    # most texts lack every heavy term, which a search for parts of words shows; the others' terms are bound once
-    parts = "|".join(re.escape(t) for t in _needed(squares))
-    bound = F.transform(F.array(F.expr(f"array_intersect({terms("coalesce(text, '')")}, {words})")), lambda h: _reached(h, squares))
-    possible = saved(files.where(F.lower("text").rlike(parts)).where(bound[0]).select("row", "path", "text"), "license_files").dropDuplicates(["row"])
+    # most texts lack every heavy term; the rows of the others are few as a rule, and broadcast up to MOST_ROWS
+    heavy = F.array(*[F.lit(t) for t in _needed(squares)])
+    rows = saved(held.where(F.arrays_overlap("held", heavy)).where(_reached("held", squares)).select("row").distinct(), "possible_rows")
+    few = rows.limit(MOST_ROWS + 1).count() <= MOST_ROWS
+    possible = files.join(F.broadcast(rows) if few else rows, "row", "left_semi").select("row", "path", "text")
+    possible = saved(possible, "license_files").dropDuplicates(["row"])
     lines = possible.select(
         "row", "path", name.rlike(FILE_NAME).alias("is_license"),
         F.expr(f"transform(split(coalesce(text, ''), '\n'), line -> {terms('line')})").alias("lines"))
