@@ -131,3 +131,16 @@ def test_registered_searches_run_the_original_grids(spark, sf_small, monkeypatch
 def test_claims_models_see_the_whole_width(spark, sf_small):
     _, _, ohe, idx = wf.claims_prepared(spark, sf_small)
     assert len(ohe) == len(idx) == 33 and "Cat7ohe" not in ohe
+
+
+def test_claims_tables_hold_numbers_only(spark, sf_small):
+    """One-hot vectors are made of the indices on reading; they say the same and are not written."""
+    balanced, test, hot, cats, nums = wf.claims_indexed(spark, sf_small)
+    for table in (balanced, test):
+        assert {f.dataType.simpleString() for f in table.schema.fields if f.name != "row_key"} <= {"double", "bigint"}
+        assert len(table.columns) == len(cats) + len(nums) + 2
+    row = hot.transform(test).first()
+    for c, size in zip(cats, hot.categorySizes):
+        vector = row[c + "ohe"]
+        at = int(row[c + "_index"])
+        assert vector.size == size - 1 and list(vector.indices) == ([at] if at < size - 1 else [])
