@@ -68,6 +68,37 @@ def test_perceptrons_share_only_what_is_equal():
     assert scores[0] == scores[3] == scores[6] == (1e-2, 3) and scores[8] == (1e-2, 5) and scores[2] == (1e-4, 9)
 
 
+def test_perceptrons_by_descent_share_real_fits(table):
+    """With the losses Spark notes, a descent that ran all its steps is also that of a smaller tolerance."""
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select("label", "features").coalesce(1).persist()
+    fits = []
+
+    def fit(p):
+        fits.append(p)
+        return tn.classifier("mlp").setParams(**p).fit(rows)
+
+    one = {"layers": [6, 4, 2], "solver": "gd", "stepSize": 0.03}
+    maps = {i: {**one, "tol": t, "maxIter": m} for i, (t, m) in enumerate((t, m) for t in (1e-9, 1e-8, 1e-7) for m in (2, 4))}
+    got = se._perceptrons(maps, fit, lambda model: list(model.weights))
+    assert len(fits) == 2
+    for m in (0, 5):
+        assert got[m] == list(tn.classifier("mlp").setParams(**maps[m]).fit(rows).weights)
+    rows.unpersist()
+
+
+def test_the_tuning_table_is_on_every_executor(table, monkeypatch):
+    """The fits of a search may run on any executor, not only on the one that holds the table."""
+    held, real = [], se.pinned
+
+    def recorded(df, level=None):
+        held.append(level)
+        return real(df)
+
+    monkeypatch.setattr(se, "pinned", recorded)
+    se.grid_scores(table, "rf", FEATURES, {"maxDepth": [1], "numTrees": [1]}, key="row_key", folds=2)
+    assert held[0].replication > 3 and held[0].useMemory
+
+
 def test_a_broken_off_search_goes_on(spark, table, tmp_path, monkeypatch):
     store, real, calls = str(tmp_path / "scores"), se._score, []
     monkeypatch.setattr(se, "_WRITE_EVERY", 1)
