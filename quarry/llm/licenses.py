@@ -13,7 +13,7 @@ templates' terms come first.  A cosine is at most the root of the share of the
 template's squared weight that lies on shared terms, so files, and then units,
 whose terms cover too little of every template are dropped: this loses nothing.
 The other terms of the units that are left get their frequencies from a second
-pass over the files, semi-joined with these terms and summed before the shuffle.
+pass over the files, summed before the shuffle and then semi-joined with these terms.
 Directories, not files, are joined with their ancestors; the templates' tables
 are a few hundred rows.
 
@@ -85,6 +85,7 @@ TEMPLATES = (
 )
 WINDOW = 10  # lines that a wrapped notice may take
 MOST_ROWS = 200_000  # row digests that may be broadcast
+TASK_ROWS = 1_000  # texts that one task cuts into units
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 _BREAK = r"[^\p{L}0-9.]+"
 
@@ -152,6 +153,12 @@ def _needed(squares: list[tuple[dict, float]]) -> list[str]:
     return sorted(out)
 
 
+def frequencies(files: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, df) of the ``wanted`` terms over all files' texts; only partial sums are shuffled."""
+    everywhere = files.select(F.explode(F.expr(f"array_distinct({terms("coalesce(text, '')")})")).alias("term"))
+    return everywhere.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(wanted, "term", "left_semi")
+
+
 def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     """(row, path, template, license, similarity) of every unit that reaches the threshold.
 
@@ -178,9 +185,10 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     # most texts lack every heavy term; the rows of the others are few as a rule, and broadcast up to MOST_ROWS
     heavy = F.array(*[F.lit(t) for t in _needed(squares)])
     rows = saved(held.where(F.arrays_overlap("held", heavy)).where(_reached("held", squares)).select("row").distinct(), "possible_rows")
-    few = rows.limit(MOST_ROWS + 1).count() <= MOST_ROWS
-    possible = files.join(F.broadcast(rows) if few else rows, "row", "left_semi").select("row", "path", "text")
-    possible = saved(possible, "license_files").dropDuplicates(["row"])
+    n_rows = rows.count()
+    possible = files.join(F.broadcast(rows) if n_rows <= MOST_ROWS else rows, "row", "left_semi").select("row", "path", "text")
+    # dealt by rows, not by bytes: a text of few bytes has many units
+    possible = saved(possible, "license_files").repartition(-(-max(1, n_rows) // TASK_ROWS), "row").dropDuplicates(["row"])
     lines = possible.select(
         "row", "path", name.rlike(FILE_NAME).alias("is_license"),
         F.expr(f"transform(split(coalesce(text, ''), '\n'), line -> {terms('line')})").alias("lines"))
@@ -208,11 +216,8 @@ def scan_units(files: DataFrame, threshold: float = 0.75) -> DataFrame:
     counted = saved(units.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("n")),
                     "license_units")
 
-    # the document frequencies of the units' other terms, over all files; partial sums before the shuffle
-    other = counted.select("term").distinct().join(F.broadcast(idf), "term", "left_anti")
-    everywhere = files.select(F.explode(F.expr(f"array_distinct({terms("coalesce(text, '')")})")).alias("term"))
-    others = (everywhere.join(other, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-              .select("term", _idf(F.col("df"), n_files).alias("idf")))
+    other = saved(counted.select("term").distinct().join(F.broadcast(idf), "term", "left_anti"), "other_terms")
+    others = frequencies(files, other).select("term", _idf(F.col("df"), n_files).alias("idf"))
     vectors = counted.join(saved(others.unionByName(idf), "unit_idf"), "term").withColumn("w", F.col("n") * F.col("idf"))
     lengths = vectors.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     products = (vectors.select(*unit, "term", F.col("w").alias("own"))

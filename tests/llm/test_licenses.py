@@ -142,3 +142,32 @@ def test_common_words_weigh_by_their_own_frequency(spark):
         best = max(best, sum(v * w.get(t, 0) for t, v in unit.items()) / lengths)
     (row,) = licenses.scan(spark.createDataFrame(files, "path string, row_key long, text string")).where("row_key = 0").collect()
     assert best > 0.75 and row.license == "MIT" and abs(row.similarity - best) < 1e-6
+
+
+def test_texts_and_terms_are_not_shuffled(spark, sf_small, monkeypatch):
+    """The scan's files come without an exchange, and only sums by term are shuffled for the frequencies."""
+    seen = []
+    frequencies = licenses.frequencies
+    monkeypatch.setattr(licenses, "frequencies", lambda files, wanted: seen.append((files, wanted)) or frequencies(files, wanted))
+    broadcast = sorted(map(str, op3_license_scan(spark, sf_small).collect()))
+    (files, wanted), = seen
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    plan = frequencies(files, wanted)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning"):].splitlines()[1]
+    assert "partial_count" in below
+    monkeypatch.setattr(licenses, "MOST_ROWS", 0)
+    assert sorted(map(str, op3_license_scan(spark, sf_small).collect())) == broadcast
+
+
+def test_licence_files_are_the_first_of_their_folder(spark, tmp_path):
+    rows = [(i, "ab"[i % 2] if i % 50 else None, "x") for i in (3, 7, 199, 200, 250, 407, 4001, 4002, 4100, 4203)] + [(None, "a", "x")]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    least = lambda size: {min(d for d, t, _ in rows if d is not None and (t, d // size) == g)
+                          for g in {(t, d // size) for d, t, _ in rows if d is not None and t}}
+    want = set()
+    for d, t, _ in rows:
+        top, leaf = t and d in least(4000), t and d in least(200)
+        parts = [t, d if d is None else d // 4000, None if top else d if d is None else d // 200]
+        want.add(("/".join([str(p) for p in parts if p is not None] + ["LICENSE" if top or leaf else f"{'' if d is None else d}.txt"]), d))
+    assert {(r.path, r.doc_id) for r in op3_license_scan(spark, str(tmp_path)).collect()} == want
