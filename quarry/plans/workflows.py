@@ -56,6 +56,8 @@ def particle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def particle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The particle file in full: label, 28 features and a row key (a hash of all values)."""
     rows = si.load_particle_csv(spark, sf_dir)
+    # numbers are parsed once: a filter on the key does not pass a generator, below which it would parse them all again
+    rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
     return rows.withColumn("row_key", F.xxhash64("label", *PARTICLE_FEATURES).cast("string"))
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from quarry.operators import search as se
 from quarry.operators import tuning as tn
 from quarry.plans import workflows as wf
+from quarry.sources import standins as si
 from quarry.sources.files import PARTICLE_FEATURES
+from quarry.sources.tables import load_table
 
 FEATURES = PARTICLE_FEATURES[:6]
 GRIDS = {
@@ -152,3 +154,14 @@ def test_the_tuning_table_is_pinned_while_it_is_needed(spark):
 def test_fingerprints_know_rows_not_order(spark):
     a = spark.range(100).selectExpr("id", "id * 2 AS b")
     assert se.fingerprint(a) == se.fingerprint(a.orderBy(F.desc("id"))) != se.fingerprint(a.where("id > 0"))
+
+
+def test_the_split_parses_every_number_once(spark, sf_small):
+    for side in wf.particle_split(spark, sf_small):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("try_cast(_c0" in line for line in plan.splitlines()) == 1
+
+
+def test_particle_csv_holds_the_written_rows(spark, sf_small):
+    written = si.particle_wide(load_table(spark, sf_small, "lineitem"))
+    assert se.fingerprint(wf.particle_rows(spark, sf_small).drop("row_key")) == se.fingerprint(written)
