@@ -1,7 +1,9 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import suffix
 from quarry.llm.queries import op2_suffix_dedup
@@ -91,3 +93,22 @@ def test_one_text_under_many_equal_rows(spark):
     docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
     rows = suffix.deduplicate(docs, length=400).groupBy("n_removed", "n_spans").count().collect()
     assert [tuple(r) for r in rows] == [(410, 1, 100_000)]
+
+
+def test_runs_of_a_hot_anchor_do_not_meet_in_one_task(spark, monkeypatch):
+    hot = [(i, 0, 7, 0, i, -i, 5, 0, 9) for i in range(2000)]  # one anchor hash, all runs different
+    cold = [(i, 0, 100 + i % 500, 0, i, -i, 5, 0, 9) for i in range(2000)]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "4096", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)  # counts of all keys are no small table, as at scale
+    try:
+        _, same, _ = suffix._counted(spark.createDataFrame(hot + cold, suffix._RUN), 400, "none")
+        rows = same.withColumn("file", F.input_file_name()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.key1, r.u1, r.copies, r.kinds) for r in rows) == sorted(
+        [(7, r[4], 1, 2000) for r in hot] + [(r[2], r[4], 1, 4) for r in cold])
+    per_task = Counter(r.file for r in rows if r.key1 == 7)
+    assert len(per_task) > 1 and max(per_task.values()) < 1000
