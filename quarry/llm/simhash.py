@@ -166,7 +166,8 @@ def links(prints: DataFrame, *, distance: int = 2, group: int = GROUP) -> DataFr
         raise ValueError("halves guarantee 3 differing bits at most")
     rows = prints.select("bits").mapInArrow(_replicate, "anchor long, bits long, home boolean")
     homes = rows.where("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("homes"))
-    met = saved(rows.join(homes, "anchor"), "met")
+    # Spark takes ``rows`` for as large as ``prints``, not 34 times that, and would broadcast it over the driver
+    met = saved(rows.hint("merge").join(homes, "anchor"), "met")
     sizes = met.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / group)).cast("int")
     both = met.join(sizes, "anchor").withColumns({"hs": F.when(F.col("n") > group, parts("homes")).otherwise(1), "ms": parts("n")})

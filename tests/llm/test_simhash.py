@@ -87,6 +87,20 @@ def test_links_equal_all_pairs(spark, distance, group):
     assert [got.get(s, s) for s in signed] == want
 
 
+def test_the_copies_at_anchors_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Spark sizes them by the table they were made of, 34 times too low."""
+    plans, real = {}, simhash.saved
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(simhash, "saved", recorded)
+    spark.createDataFrame([(1,), (3,), (1 << 40,)], "bits long").write.parquet(str(tmp_path / "prints"))
+    assert simhash.links(spark.read.parquet(str(tmp_path / "prints"))).count() == 2
+    assert "SortMergeJoin" in plans["met"] and "Broadcast" not in plans["met"]
+
+
 def rows():
     draw = random.Random(7)
     vocabulary = ["alpha", "Beta", "gamma", "delta", "é", "zeta", "eta", "theta", "iota", "kappa"]
