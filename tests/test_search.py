@@ -47,6 +47,41 @@ def test_the_first_trees_are_the_smaller_model(spark, table):
     assert cut.toDebugString.split("\n")[1:] == short.toDebugString.split("\n")[1:] and cut.treeWeights == short.treeWeights
 
 
+@pytest.mark.parametrize("trees,strategy", [(1, "all"), (4, "sqrt"), (3, "log2")])
+def test_the_first_levels_are_the_smaller_forest(table, trees, strategy):
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select("label", "features").coalesce(1).persist()
+    fit = lambda depth: tn.classifier("rf").setParams(maxDepth=depth, numTrees=trees, featureSubsetStrategy=strategy, subsamplingRate=0.5, maxBins=10).fit(rows)
+    deep = fit(8)
+    shown = lambda model: model.toDebugString.split("\n")[1:]
+    said = lambda model: [r.probability for r in model.transform(rows).select("probability").collect()]
+    for depth, cut in se.first_levels(deep, [0, 1, 3, 5, 8]).items():
+        own = fit(depth)
+        assert shown(cut) == shown(own) and said(cut) == said(own), depth
+    rows.unpersist()
+
+
+def test_forests_of_several_depths_are_one_fit():
+    fits = []
+
+    class Model:
+        def __init__(self, p):
+            fits.append(p["maxDepth"])
+            said = {"getNumTrees": 2, "numFeatures": 28, "numClasses": 2, "getMaxBins": 50, "getMaxMemoryInMB": 0}
+            self._java_obj = type("Java", (), {k: lambda self, v=v: v for k, v in said.items()})()
+
+    maps = {i: {"maxDepth": d, "numTrees": 2} for i, d in enumerate((1, 5, 10))}
+    # without memory, levels are split in parts: every depth is a fit of its own
+    assert set(se._forests(maps, Model, lambda model: 0.5)) == {0, 1, 2} and sorted(fits) == [1, 5, 10]
+    assert se._group("rf", maps[0]) == se._group("rf", maps[2])
+
+
+def test_a_search_fits_forests_once_for_all_depths(table, monkeypatch):
+    made, real = [], se.classifier
+    monkeypatch.setattr(se, "classifier", lambda *a, **k: made.append(a) or real(*a, **k))
+    se.grid_scores(table, "rf", FEATURES, {"maxDepth": [1, 2, 3], "numTrees": [2]}, key="row_key", folds=2)
+    assert len(made) == 1 + 2  # one for the grid, one per fold
+
+
 def test_perceptrons_share_only_what_is_equal():
     fits = []
 
